@@ -190,7 +190,7 @@ def distinct_nodes(rows: DataFrame, k: int) -> DataFrame:
 def build_index(nodes: DataFrame, shards: int, options: GraphOptions) -> DataFrame:
     """One row per (dim, shard): node ids, vectors and layers as bytes of flat arrays."""
 
-    def build(table: pa.Table) -> pa.Table:
+    def build(table):
         order = np.argsort(table.column("h").to_numpy(), kind="stable")
         ids = table.column("node").to_numpy()[order]
         vectors = np.stack(table.column("v").combine_chunks().values.to_numpy().reshape(len(order), -1))[order]

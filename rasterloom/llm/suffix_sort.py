@@ -265,7 +265,7 @@ def removal_spans(corpus: Corpus, width: int, partitions: int, hold: int = 48 <<
                 yield from table(flush())
         yield from table(flush())
 
-    def merge(key, found: pa.Table) -> pa.Table:
+    def merge(key, found):
         kind = key[0].as_py()
         rows = found.to_pylist()
         out: list[tuple[int, int, int, int]] = []

@@ -183,7 +183,7 @@ def removal_spans(corpus: Corpus, width: int, partitions: int, hold: int = 48 <<
                 yield from table()
         yield from table()
 
-    def subtrees(key, found: pa.Table) -> pa.Table:
+    def subtrees(key, found):
         rows = found.to_pylist()
         if key[0].as_py() == SPAN_KIND:
             both = [np.frombuffer(r["at"], "<i8").reshape(-1, 2) for r in rows]
