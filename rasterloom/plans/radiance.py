@@ -110,10 +110,9 @@ def run(spark: SparkSession, package: str, output: str, options: Options = Optio
     log.info("Read acquisition %s (%d bands to process)", scene["scene_id"], len(chosen))
     store = f"{output.rstrip('/')}/radiance.parquet"
     contexts = band_contexts(packages, options)
-    lines = radiance_lines(spark, contexts, [known[b]["path"].removeprefix("file:") for b in chosen], options) if chosen else None
+    lines = radiance_lines(spark, contexts, [known[b]["path"] for b in chosen], options) if chosen else None
     rows: list[dict] = []
     if lines is not None:
-        # line paths are plain, catalogue paths carry a scheme
         lines.write.mode("overwrite").partitionBy("band").parquet(store)
         stored = spark.read.parquet(store)
         rows = [r.asDict() for r in pixel_report(stored, ["band"], options.thresholds).collect()]

@@ -235,4 +235,5 @@ def read_tiff(spark: SparkSession, paths: list[str], *, window_lines: int = 2048
     if window_lines < 1:
         raise ValueError("window_lines must be positive")
     spark.dataSource.register(LineSource)
+    spark.conf.set("spark.sql.python.filterPushdown.enabled", True)
     return spark.read.format("tiff_lines").option("paths", "\n".join(paths)).option("window_lines", window_lines).option("real", str(real).lower()).load()
