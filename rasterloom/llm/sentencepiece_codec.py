@@ -1,7 +1,8 @@
 """SentencePiece encoding and decoding by a batched Viterbi search in numpy.
 
-A text is cut before every run of blanks, where no piece of the vocabulary can
-cross. Distinct words of equal length advance together, one character a step:
+A text is cut where no piece of the vocabulary can cross: before runs of
+blanks, and, if the vocabulary allows, where letters begin or end. Distinct
+words of equal length advance together, one character a step:
 hashes of the substrings that end there probe the sorted piece hashes, and the
 best predecessor of each word is kept as a backpointer.
 
@@ -17,6 +18,7 @@ from __future__ import annotations
 
 import re
 from dataclasses import dataclass, field
+from itertools import chain
 from pathlib import Path
 
 import numpy as np
@@ -27,7 +29,7 @@ from pyspark.sql import functions as F
 from ._common import slices
 
 BLANK = "▁"
-WORDS = re.compile(f"{BLANK}*[^{BLANK}]+|{BLANK}+")
+LETTER, OTHER = r"[^\W\d_]", rf"(?:[^\w{BLANK}]|[\d_])"
 DEFAULT_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 UNIGRAM, BPE = 1, 2
 #: Added to the least score for a character outside a unigram vocabulary.
@@ -108,8 +110,8 @@ class Codec:
     """Encoder and decoder of one worker; remembers the words and piece pairs it has seen, up to a bound."""
 
     pieces: Pieces
-    remember: int = 300_000
-    _words: dict[str, list[int]] = field(default_factory=dict)
+    remember: int = 200_000
+    _words: dict[str, bytes] = field(default_factory=dict)  # ids as bytes of int32
     _pairs: dict[int, bool] = field(default_factory=dict)
 
     def __post_init__(self):
@@ -123,11 +125,16 @@ class Codec:
         self.hashes, self.ids = hashes[order], ids[order]
         if len(np.unique(self.hashes)) < len(self.hashes):
             raise ValueError("two pieces share a hash")
-        self.powers = np.cumprod(np.concatenate([[np.uint64(1)], np.full(self.longest, MULTIPLIER)]))
+        self.maybe = np.zeros(1 << 22, dtype=bool)  # which values the top bits of a piece's hash take: most probes end here
+        self.maybe[self.hashes >> np.uint64(42)] = True
+        self.powers = np.cumprod(np.concatenate([np.ones(1, np.uint64), np.full(self.longest, MULTIPLIER)]))
         size = len(self.pieces.text)
         known = self.pieces.score[ids] if len(ids) else np.zeros(1, np.float32)
         self.score = np.append(self.pieces.score, np.float32(known.min() - np.float32(UNKNOWN_PENALTY)))  # at `size`: unknown
         self.unknown = size
+        self.pair_key = np.full(1 << 20, -1, dtype=np.int64)  # direct-mapped front of _pairs
+        self.pair_ok = np.zeros(1 << 20, dtype=bool)
+        self.words = self._cutter()
         self.raw = [t.replace(BLANK, " ").encode() for t in self.pieces.text]
         for byte, i in self.byte_id.items():
             self.raw[i] = bytes([byte])
@@ -135,6 +142,24 @@ class Codec:
             if k in (CONTROL, UNUSED):
                 self.raw[i] = b""
 
+    def _cutter(self) -> re.Pattern:
+        """Matches the stretches of a text between which no piece of the vocabulary reaches."""
+        letter = re.compile(LETTER)
+        ends, joins = False, set()  # a letter then another character in one piece; characters that come before a letter
+        for text in self.id_of:
+            for a, b in zip(text, text[1:], strict=False):
+                if b == BLANK and a != BLANK:
+                    raise ValueError(f"piece {text!r} has a blank inside")
+                if letter.match(a) and not letter.match(b):
+                    ends = True
+                elif not letter.match(a) and letter.match(b):
+                    joins.add(a)
+        if ends:
+            return re.compile(f"{BLANK}*[^{BLANK}]+|{BLANK}+")
+        before = "".join(map(re.escape, sorted(joins - {BLANK})))
+        tail = f"(?:(?<=[{before}]){LETTER}+)?" if before else ""
+        return re.compile(f"{BLANK}*{OTHER}+{tail}|{BLANK}*{LETTER}+|{BLANK}+")
+
     def merges(self, text: str) -> list[int]:
         """Byte-pair merges of a short string, done literally: best score first, leftmost on ties."""
         parts = list(text)
@@ -148,81 +173,107 @@ class Codec:
                 return [self.id_of.get(p, self.unknown) for p in parts]
             parts[where : where + 2] = [parts[where] + parts[where + 1]]
 
+    def _may_follow(self, key: int) -> bool:
+        a, b = key // (self.unknown + 2) - 1, key % (self.unknown + 2)
+        if b == self.unknown:
+            return True
+        if a in (-1, self.unknown):
+            return self.merges(self.pieces.text[b]) == [b]
+        return self.merges(self.pieces.text[a] + self.pieces.text[b]) == [a, b]
+
     def _allowed(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
-        """Whether the piece `right` may follow `left` (-1: nothing before) in a byte-pair result."""
-        base = self.unknown + 2
-        keys, back = np.unique((left + 1) * base + right, return_inverse=True)
-        if len(self._pairs) > 4 * self.remember:
-            self._pairs.clear()
-        out = np.zeros(len(keys), dtype=bool)
-        for i, key in enumerate(keys.tolist()):
-            ok = self._pairs.get(key)
-            if ok is None:
-                a, b = key // base - 1, key % base
-                if b == self.unknown:
-                    ok = True
-                elif a in (-1, self.unknown):
-                    ok = self.merges(self.pieces.text[b]) == [b]
-                else:
-                    ok = self.merges(self.pieces.text[a] + self.pieces.text[b]) == [a, b]
-                self._pairs[key] = ok
-            out[i] = ok
-        return out[back]
-
-    def viterbi(self, words: list[str]) -> list[list[int]]:
-        """Piece ids of words that all have the same length."""
+        """Whether the piece `right` may come after `left` (-1: nothing before) in a byte-pair result."""
+        key = (left + 1) * (self.unknown + 2) + right
+        slot = (key.astype(np.uint64) * MULTIPLIER >> np.uint64(44)).astype(np.int64)
+        ok = self.pair_ok[slot]
+        new = np.flatnonzero(self.pair_key[slot] != key)
+        if len(new):
+            keys, first, back = np.unique(key[new], return_index=True, return_inverse=True)
+            if len(self._pairs) > 5 * self.remember:
+                self._pairs.clear()
+            fresh = np.array([self._pairs[k] if k in self._pairs else self._pairs.setdefault(k, self._may_follow(k)) for k in keys.tolist()], dtype=bool)
+            ok[new] = fresh[back]
+            self.pair_key[slot[new[first]]], self.pair_ok[slot[new[first]]] = keys, fresh
+        return ok
+
+    def viterbi(self, words: list[str]) -> list[bytes]:
+        """Piece ids (bytes of int32) of words that all have the same length."""
         n, length = len(words), len(words[0])
         prefix = _hash(_codes(words))
         best = np.full((n, length + 1), -np.inf, dtype=np.float32)
         best[:, 0] = 0
         last = np.full((n, length + 1), -1, dtype=np.int64)
         came = np.zeros((n, length + 1), dtype=np.int64)
+        every = np.arange(n)
         for j in range(1, length + 1):
-            starts = np.arange(max(0, j - self.longest), j)
-            parts = prefix[:, j, None] - prefix[:, starts] * self.powers[j - starts]
-            at = np.minimum(np.searchsorted(self.hashes, parts), len(self.hashes) - 1)
-            hit = self.hashes[at] == parts
-            piece = np.where(hit, self.ids[at], self.unknown)
-            hit[:, -1] = True  # a single character outside the vocabulary is an unknown piece
-            hit &= best[:, starts] > -np.inf
+            low = max(0, j - self.longest)
+            parts = prefix[:, j, None] - prefix[:, low:j] * self.powers[j - low : 0 : -1]
+            row, column = np.nonzero(self.maybe[parts >> np.uint64(42)])
+            probe = parts[row, column]
+            at = np.minimum(np.searchsorted(self.hashes, probe), len(self.hashes) - 1)
+            hit = self.hashes[at] == probe
+            row, column, piece = row[hit], column[hit], self.ids[at[hit]]
+            # a single character outside the vocabulary is an unknown piece
+            alone = np.ones(n, dtype=bool)
+            alone[row[column == j - 1 - low]] = False
+            row, column = np.concatenate([row, every[alone]]), np.concatenate([column, np.full(alone.sum(), j - 1 - low)])
+            piece = np.concatenate([piece, np.full(alone.sum(), self.unknown)])
             if self.pieces.model_type == BPE:
-                row, column = np.nonzero(hit)
-                hit[row, column] = self._allowed(last[row, starts[column]], piece[row, column])
-            total = np.where(hit, best[:, starts] + self.score[piece], -np.inf)
+                ok = self._allowed(last[row, low + column], piece)
+                row, column, piece = row[ok], column[ok], piece[ok]
+            total = np.full(parts.shape, -np.inf, dtype=np.float32)
+            total[row, column] = best[row, low + column] + self.score[piece]
+            ids = np.full(parts.shape, -1, dtype=np.int64)
+            ids[row, column] = piece
             pick = total.argmax(axis=1)
-            every = np.arange(n)
-            best[:, j], last[:, j], came[:, j] = total[every, pick], piece[every, pick], starts[pick]
-        out = []
-        for r, word in enumerate(words):
-            found, j = [], length
-            while j and best[r, j] > -np.inf:
-                found.append(int(last[r, j]))
-                i = int(came[r, j])
-                if found[-1] == self.unknown:
-                    found[-1:] = [self.byte_id.get(b, self.unknown_id) for b in reversed(word[i:j].encode("utf-8", "surrogatepass"))]
-                j = i
-            if j:
-                raise ValueError(f"no segmentation of {word[:40]!r}")
-            out.append(found[::-1])
+            best[:, j], last[:, j], came[:, j] = total[every, pick], ids[every, pick], low + pick
+        if (best[:, length] == -np.inf).any():
+            raise ValueError(f"no segmentation of {words[int(best[:, length].argmin())][:40]!r}")
+        steps, at = [], np.full(n, length)
+        while (at > 0).any():
+            steps.append(np.where(at > 0, last[every, at], -1))
+            at = np.where(at > 0, came[every, at], 0)
+        path = np.array(steps[::-1]).T
+        kept = path >= 0
+        flat, ends = path[kept].astype("<i4").tobytes(), (4 * np.cumsum(kept.sum(axis=1))).tolist()
+        out = [flat[a:b] for a, b in zip([0, *ends[:-1]], ends, strict=True)]
+        for i in np.flatnonzero((path == self.unknown).any(axis=1)).tolist():
+            out[i] = self._spell_unknown(words[i], path[i][kept[i]].tolist())
         return out
 
-    def encode(self, texts: list[str]) -> list[list[int]]:
-        cut_up = [WORDS.findall((BLANK if self.pieces.add_blank else "") + t.replace(" ", BLANK)) if t else [] for t in texts]
-        if len(self._words) > self.remember:
-            self._words.clear()
+    def _spell_unknown(self, word: str, ids: list[int]) -> bytes:
+        """Replace unknown pieces, one character each, by byte pieces."""
+        out, at = [], 0
+        for i in ids:
+            if i == self.unknown:
+                out += [self.byte_id.get(b, self.unknown_id) for b in word[at].encode("utf-8", "surrogatepass")]
+                at += 1
+            else:
+                out.append(i)
+                at += len(self.pieces.text[i])
+        return np.array(out, dtype="<i4").tobytes()
+
+    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts end to end, and where each text's begin and end."""
+        start = BLANK if self.pieces.add_blank else ""
+        cut_up = [self.words.findall(start + t.replace(" ", BLANK)) if t else [] for t in texts]
         known = self._words
+        here = set(chain.from_iterable(cut_up))
+        if len(known) > self.remember:
+            known = self._words = {w: known[w] for w in here if w in known}
         by_length: dict[int, list[str]] = {}
-        for word in {w for words in cut_up for w in words if w not in known}:
+        for word in here.difference(known):
             by_length.setdefault(len(word), []).append(word)
         for length, words in by_length.items():
             step = max(1, 200_000 // (length + 1))
             for i in range(0, len(words), step):
                 known.update(zip(words[i : i + step], self.viterbi(words[i : i + step]), strict=True))
-        return [[i for w in words for i in known[w]] for words in cut_up]
+        found = [b"".join(map(known.__getitem__, words)) for words in cut_up]
+        ends = np.cumsum([0, *map(len, found)]) // 4
+        return np.frombuffer(b"".join(found), "<i4"), ends.astype(np.int32)
 
     def decode(self, ids: list[int]) -> str:
-        data = b"".join([self.raw[i] for i in ids])
-        text = data.decode("utf-8", "replace")
+        text = b"".join(map(self.raw.__getitem__, ids)).decode("utf-8", "replace")
         return text[1:] if self.pieces.add_blank and text.startswith(" ") else text
 
 
@@ -250,8 +301,9 @@ def encode(docs: DataFrame, *, model_path: str = DEFAULT_MODEL, id_col: str = "d
     def run(batches):
         codec = _codec(shared)
         for part in slices(batches):
-            ids = codec.encode([x or "" for x in part.column("text").to_pylist()])
-            yield pa.RecordBatch.from_arrays([part.column("id"), part.column("text"), pa.array(ids, pa.list_(pa.int32()))], ["id", "text", "ids"])
+            ids, ends = codec.encode([x or "" for x in part.column("text").to_pylist()])
+            lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(ids))
+            yield pa.RecordBatch.from_arrays([part.column("id"), part.column("text"), lists], ["id", "text", "ids"])
 
     found = rows.mapInArrow(run, f"id {rows.schema['id'].dataType.simpleString()}, text string, ids array<int>")
     return found.select(F.col("id").alias(id_col), *([F.col("text").alias(text_col)] if keep_text else []), "ids")
@@ -268,7 +320,10 @@ def decode(encoded: DataFrame, *, model_path: str = DEFAULT_MODEL, ids_col: str
         for batch in batches:
             for start in range(0, batch.num_rows, 500):
                 part = batch.slice(start, 500)
-                texts = [codec.decode(x or []) for x in part.column(where).to_pylist()]
+                lists = part.column(where)
+                flat = lists.flatten().to_numpy().tolist()
+                ends = np.cumsum(pa.compute.fill_null(pa.compute.list_value_length(lists), 0).to_numpy(zero_copy_only=False)).tolist()
+                texts = [codec.decode(flat[a:b]) for a, b in zip([0, *ends[:-1]], ends, strict=True)]
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts, pa.string())], [*(f"c{i}" for i in range(part.num_columns)), "decoded"])
 
     renamed = encoded.select(*[F.col(c).alias(f"c{i}") for i, c in enumerate(encoded.columns)])
