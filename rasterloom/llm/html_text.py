@@ -134,7 +134,8 @@ class Page:
     def write(self, text: str, keep: bool = False) -> None:
         if keep:
             head, *rest = text.replace("\r\n", "\n").split("\n")
-            self._put(head)
+            self._put((" " if self.space and self.line and head else "") + head)
+            self.space = False
             for more in rest:
                 self.flush(force=True)
                 self._put(more)
