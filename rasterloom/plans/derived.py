@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import item_id, micrometres, to_byte
-from ..operators import calibration, interpolation, preview, quality, raw_lines, reflectance, timing
+from ..operators import calibration, geometry, interpolation, preview, quality, raw_lines, reflectance, timing
 
 #: Start of the telemetry clock, and microseconds per line.
 ORIGIN_US, LINE_US = 1_704_153_600_000_000, 48_384_000_000
@@ -66,11 +66,16 @@ def samples(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def band_lines(spark: SparkSession, sf_dir: str, divide: float = 20.0) -> DataFrame:
-    """Lines with their context and temperature; the telemetry joins as one array per scene."""
+    """Lines with their context and temperature; the telemetry joins as one array per scene.
+
+    The temperature is worked out before the join with the coefficients, else
+    Spark would fold it into the per-pixel expression and repeat it there.
+    """
     context = scalars(spark, sf_dir).crossJoin(F.broadcast(coefficients(spark, sf_dir, divide)))  # one row
     held = interpolation.sample_array(samples(spark, sf_dir), ["scene"])
-    joined = lines(spark, sf_dir).join(context, "band").withColumn("scene", F.lit("scene")).join(held, "scene")
-    return joined.withColumn("t", interpolation.by_array(F.col("line"), F.col("samples"))).withColumn("nodata", F.lit(float(NODATA))).drop("samples", "scene")
+    taken = lines(spark, sf_dir).withColumn("scene", F.lit("scene")).join(held, "scene")
+    taken = taken.select("band", "line", "dn", interpolation.by_array(F.col("line"), F.col("samples")).alias("t"))
+    return taken.join(context, "band").withColumn("nodata", F.lit(float(NODATA)))
 
 
 def pixels(spark: SparkSession, sf_dir: str, divide: float = 20.0) -> DataFrame:
@@ -495,3 +500,36 @@ def dead_pixel_fill(spark, sf_dir):
 def stretch_levels(spark, sf_dir):
     levels = preview.stretched(radiance(spark, sf_dir), ["band"]).where(~F.isnan("level"))
     return levels.select("band", "line", "col", to_byte(F.col("level")).alias("level"))
+
+
+@query("line_times", sql("select band, line, cast(1000000 as double) + case when band % 2 = 1 then h - 1 - line else line end * cast(500 as double) as t_us from raw join (select band, max(line) + 1 as h from raw group by band) using (band)", "raw"))
+def line_times(spark, sf_dir):
+    """Odd bands scan backwards."""
+    taken = lines(spark, sf_dir).withColumn("h", F.max("line").over(Window.partitionBy("band")) + 1)
+    time = geometry.line_time_us(F.col("line"), F.lit(1e6), F.lit(500.0), F.col("h"), F.when(F.col("band") % 2 == 1, -1).otherwise(1))
+    return taken.select("band", "line", time.alias("t_us"))
+
+
+@query("state_linear", sql("select cast(line as bigint) as line, round(case when x1 is null or x0 = line then y0 when x0 is null then y1 else y0 + (y1 - y0) * ((line - x0) / (x1 - x0)) end, 9) as x from ln, useg where (x0 is null or x0 <= line) and (x1 is null or line < x1)", "ln", tele2="select x, any_value(y) as y from (select (epoch_us(ts) - 1704153600000000) / cast(48384000000 as double) as x, value as y from events where event_type = 'view') group by x having count(*) = 1", pcs="select x as x0, y as y0, lead(x) over (order by x) as x1, lead(y) over (order by x) as y1, row_number() over (order by x) as n from tele2", useg="select x0, y0, x1, y1 from pcs union all select null, null, x0, y0 from pcs where n = 1"))
+def state_linear(spark, sf_dir):
+    """Platform states (here one coordinate of the telemetry) between samples."""
+    unique = samples(spark, sf_dir).groupBy("scene", "x").agg(F.count("*").alias("n"), F.first("y").alias("y")).where("n = 1")
+    states = unique.select("scene", F.col("x").alias("t"), F.array("y").alias("state"))
+    times = _lines_of_scene(spark, sf_dir).select("scene", F.col("line").cast("double").alias("t"))
+    held = geometry.bracket(times, states, ["scene"])
+    at = geometry.linear(F.col("s0"), F.col("s1"), geometry.fraction(F.col("t"), F.col("t0"), F.col("t1")))
+    return held.select(F.col("t").cast("long").alias("line"), F.round(at[0], 9).alias("x"))
+
+
+@query("scene_mask", sql("select line, col, case when b > 12 and r > 12 and n > 12 then 'cloud' when b < 8 and r < 8 and n < 8 then 'shadow' when n > 12 and b > 12 then 'glint' else 'clear' end as mask from (select line, col, max(case when band = 0 then dn end) / 100.0::double as b, max(case when band = 1 then dn end) / 100.0::double as r, max(case when band = 2 then dn end) / 100.0::double as n from px where band < 3 group by all) where b is not null and r is not null and n is not null", "px"))
+def scene_mask(spark, sf_dir):
+    px = calibration.to_pixels(band_lines(spark, sf_dir), ["band", "line"]).where("band < 3")
+    side = px.groupBy("line", "col").pivot("band", [0, 1, 2]).agg(F.max("dn") / F.lit(100.0)).dropna()
+    return side.select("line", "col", reflectance.scene_mask(F.col("0"), F.col("1"), F.col("2"), 12.0, 8.0).alias("mask"))
+
+
+@query("destripe_columns", sql("select px.band, line, px.col, cast(floor((dn + bm - cm) * 1000000 + 0.25) as bigint) as dn_millionths from px join (select band, col, avg(dn::double) as cm from px group by all) c on px.band = c.band and px.col = c.col join (select band, avg(dn::double) as bm from px group by all) b on px.band = b.band", "px"))
+def destripe_columns(spark, sf_dir):
+    px = calibration.to_pixels(band_lines(spark, sf_dir), ["band", "line"]).select("band", "line", "col", F.col("dn").cast("double").alias("dn"))
+    # the quarter keeps halves, on which engines round differently, off the edge
+    return raw_lines.destripe(px, ["band"], "dn").select("band", "line", "col", F.floor(F.col("dn") * 1_000_000 + F.lit(0.25)).alias("dn_millionths"))

@@ -52,11 +52,15 @@ def band_contexts(packages: source.Packages, options: Options = Options()) -> Da
 
 
 def count_lines(spark: SparkSession, contexts: DataFrame, paths: list[str], options: Options = Options()) -> DataFrame:
-    """Lines of counts with their band's context and temperature `t`."""
+    """Lines of counts with their band's context and temperature `t`.
+
+    The temperature is worked out before the join with the coefficients, else
+    Spark would fold it into the per-pixel expression and repeat it there.
+    """
     lines = read_tiff(spark, paths, window_lines=options.window_lines).withColumnRenamed("values", "dn")
-    joined = lines.join(contexts, "path")
-    checked = calibration.check_lines(joined)
-    return checked.withColumn("t", interpolation.by_array(F.col("line"), F.col("samples"))).drop("samples")
+    timed = lines.join(contexts.select("path", "samples"), "path")
+    timed = timed.select("path", "line", "dn", interpolation.by_array(F.col("line"), F.col("samples")).alias("t"))
+    return calibration.check_lines(timed.join(contexts.drop("samples"), "path"))
 
 
 def radiance_lines(spark: SparkSession, contexts: DataFrame, paths: list[str], options: Options = Options()) -> DataFrame:
@@ -75,7 +79,9 @@ def pixel_report(lines: DataFrame, keys: list[str], thresholds: quality.Threshol
 
 
 def quicklook_pixels(lines: DataFrame, height: int, width: int, options: Options) -> tuple[DataFrame, int, int]:
-    """RGB bytes of the preview and its size; averages are combined before the shuffle."""
+    """RGB bytes of the preview and its size; averages are combined before the shuffle. An error if a band is missing."""
+    if missing := preview.missing_bands(lines.select("band").distinct(), RGB).first()["missing"]:
+        raise KeyError(f"missing bands for the quicklook: {missing}")
     out_height, out_width = preview.output_shape(height, width, options.quicklook_size)
     picked = lines.where(F.col("band").isin(*RGB)).select("band", "line", F.posexplode("radiance").alias("col", "radiance"))
     small = preview.decimate(picked, ["band"], F.lit(height), F.lit(width), F.lit(out_height), F.lit(out_width))

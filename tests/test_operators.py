@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from rasterloom.functions import columns, models
-from rasterloom.operators import calibration, interpolation, preview, quality, raw_lines, reflectance, timing
+from rasterloom.operators import calibration, geometry, interpolation, preview, quality, raw_lines, reflectance, timing
 
 NAN, INF = float("nan"), float("inf")
 
@@ -213,3 +213,22 @@ def test_destripe(spark):
     px = spark.createDataFrame([("R", i, c, float(i + 10 * c)) for i in range(3) for c in range(2)], "band string, line int, col int, radiance double")
     found = raw_lines.destripe(px, ["band"]).groupBy("col").agg(F.avg("radiance").alias("m")).collect()
     assert {r["m"] for r in found} == {6.0}
+
+
+def test_geometry(spark):
+    half = math.sqrt(0.5)
+    arr = lambda *x: F.array(*map(F.lit, x))
+    quarter, none = arr(0.0, 0.0, half, half), arr(0.0, 0.0, 0.0, 1.0)
+    row = spark.range(1).select(
+        geometry.rotate(quarter, arr(1.0, 0.0, 0.0)).alias("turned"),
+        geometry.slerp(none, quarter, F.lit(0.5)).alias("eighth"),
+        geometry.slerp(none, F.transform(quarter, lambda x: -x), F.lit(0.5)).alias("shorter"),
+        geometry.slerp(none, none, F.lit(0.3)).alias("same"),
+        geometry.hermite(arr(0.0), arr(1.0), arr(8.0), arr(12.0), F.lit(0.5), F.lit(2.0)).alias("cubic"),
+        geometry.viewing_ray(F.lit(5), F.lit(0), F.lit(5), F.lit(1.0), F.lit(10.0), F.array(arr(1.0, 0.0, 0.0), arr(0.0, 1.0, 0.0), arr(0.0, 0.0, 1.0)), quarter).alias("ray"),
+        geometry.line_time_us(F.lit(0), F.lit(10.0), F.lit(2.0), F.lit(4), F.lit(-1)).alias("backward"),
+    ).first()
+    assert row["turned"] == pytest.approx([0, 1, 0])
+    assert row["eighth"] == pytest.approx([0, 0, math.sin(math.pi / 8), math.cos(math.pi / 8)]) == row["shorter"]
+    assert row["same"] == [0, 0, 0, 1] and row["ray"] == pytest.approx([0, 0, 1]) and row["backward"] == 16.0
+    assert row["cubic"] == pytest.approx([0.5 * 8 + 2 * (0.125 * 1 - 0.125 * 12)])  # the four weights at the middle
