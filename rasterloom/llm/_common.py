@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import sys
 import tempfile
 from collections.abc import Iterable, Iterator
 
@@ -34,6 +36,23 @@ def row_key(id_col: str, text_col: str) -> Column:
     return F.xxhash64(F.col(id_col), F.col(text_col))
 
 
+#: Bytes of an Arrow batch that goes to a Python worker.
+BATCH_BYTES = 8 << 20
+
+
+def arrow_map(rows: DataFrame, function, schema: str) -> DataFrame:
+    """`mapInArrow` with batches bounded in bytes, not only in rows: texts may be long. The bound is a session setting."""
+    rows.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    return rows.mapInArrow(function, schema)
+
+
+def _give_back() -> None:
+    """Return freed memory to the system, as idle workers outlive their tasks."""
+    pa.default_memory_pool().release_unused()
+    if sys.platform == "linux":
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def slices(batches: Iterable[pa.RecordBatch], text_col: str = "text", limit: int = 4 << 20) -> Iterator[pa.RecordBatch]:
     """Cut Arrow batches so that each piece holds about `limit` bytes of text (one row at least)."""
     for batch in batches:
@@ -46,3 +65,4 @@ def slices(batches: Iterable[pa.RecordBatch], text_col: str = "text", limit: int
             held += size
         if start < len(sizes):
             yield batch.slice(start)
+    _give_back()

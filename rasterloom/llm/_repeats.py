@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ._common import slices
+from ._common import arrow_map, slices
 
 #: Stands for a null id; smaller than every other.
 NO_ID = -(1 << 63)
@@ -121,7 +121,8 @@ class Corpus:
                 k, h = part.column("k").to_numpy(), part.column("h").to_numpy()
                 yield pa.RecordBatch.from_arrays([pa.array(runs.hash, pa.int64()), pa.array(k[runs.doc]), pa.array(h[runs.doc]), pa.array(runs.ordinal.astype(np.int32))], ["anchor", "k", "h", "r"])
 
-        found = self.rows.join(self.firsts.select("k", "h").hint("shuffle_hash"), ["k", "h"]).select("k", "h", "text").mapInArrow(anchors, "anchor long, k long, h long, r int")
+        firsts = self.rows.join(self.firsts.select("k", "h").hint("shuffle_hash"), ["k", "h"]).select("k", "h", "text")
+        found = arrow_map(firsts, anchors, "anchor long, k long, h long, r int")
         places = F.count("*").over(Window.partitionBy("anchor"))
         repeated = found.withColumn("places", places).where("places > 1")
         code = F.col("r") * 2 + (F.col("places") > hot).cast("int")

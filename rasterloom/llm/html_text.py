@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._common import slices
+from ._common import arrow_map, slices
 
 # Element sets as HTML defines them.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -319,5 +319,5 @@ def extract(pages: DataFrame, *, id_col: str = "page_id", html_col: str = "html"
             texts = [render(x) if x else "" for x in part.column("html").to_pylist()]
             yield pa.RecordBatch.from_arrays([part.column("id"), pa.array(texts, pa.string())], ["id", "text"])
 
-    found = rows.mapInArrow(run, f"id {rows.schema['id'].dataType.simpleString()}, text string")
+    found = arrow_map(rows, run, f"id {rows.schema['id'].dataType.simpleString()}, text string")
     return found.withColumnRenamed("id", id_col)

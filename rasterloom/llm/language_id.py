@@ -16,11 +16,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._common import slices
+from ._common import arrow_map, slices
 
 UNDETERMINED = "und"
 #: More distinct training labels than this are taken for a wrong column.
 MAX_LANGUAGES = 1024
+#: Bytes of text scored at once; the arrays over its n-grams take some 200 times as much.
+CHUNK = 1 << 19
 
 
 @cache
@@ -87,14 +89,14 @@ def train(
 
     def count(batches):
         total = np.zeros((len(languages), 1 << bits), dtype=np.int64)
-        for part in slices(batches):
+        for part in slices(batches, limit=CHUNK):
             buckets, owners, _ = _grams(part.column("text").to_pylist(), bits)
             labels = np.array([number[x] for x in part.column("label").to_pylist()])
             total += np.bincount(labels[owners] * (1 << bits) + buckets, minlength=total.size).reshape(total.shape)
         label, bucket = np.nonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(label, pa.int32()), pa.array(bucket, pa.int32()), pa.array(total[label, bucket])], ["label", "bucket", "n"])
 
-    summed = sample.select("text", "label").mapInArrow(count, "label int, bucket int, n long").groupBy("label", "bucket").agg(F.sum("n").alias("n")).toArrow()
+    summed = arrow_map(sample.select("text", "label"), count, "label int, bucket int, n long").groupBy("label", "bucket").agg(F.sum("n").alias("n")).toArrow()
     total = np.full((len(languages), 1 << bits), alpha)
     total[summed.column("label").to_numpy(), summed.column("bucket").to_numpy()] += summed.column("n").to_numpy()
     likelihood = np.log(total / total.sum(axis=1, keepdims=True))
@@ -118,7 +120,7 @@ def predict(docs: DataFrame, model: tuple[list[str], np.ndarray], *, text_col: s
 
     def score(batches):
         table = shared.value
-        for part in slices(batches):
+        for part in slices(batches, limit=CHUNK):
             texts = [x or "" for x in part.column("text").to_pylist()]
             buckets, owners, has_letter = _grams(texts, bits)
             total = np.zeros((len(texts), len(languages)))
@@ -137,7 +139,7 @@ def predict(docs: DataFrame, model: tuple[list[str], np.ndarray], *, text_col: s
             scores = [float(certainty[i]) if languages and ok else 0.0 for i, ok in enumerate(has_letter)]
             yield pa.RecordBatch.from_arrays([*(part.column(f"c{i}") for i in range(len(carried))), pa.array(names, pa.string()), pa.array(scores, pa.float64())], [*(f"c{i}" for i in range(len(carried))), "lang_pred", "score"])
 
-    found = out.mapInArrow(score, f"{kinds}, lang_pred string, score double")
+    found = arrow_map(out, score, f"{kinds}, lang_pred string, score double")
     return found.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(carried)], "lang_pred", "score")
 
 

@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ._common import slices
+from ._common import arrow_map, slices
 
 SYMBOLS = b"#*$%&|<>"
 BLANKS = " \t\n\v\f\r"
@@ -81,7 +81,7 @@ def ledger(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -
             yield pa.RecordBatch.from_arrays([part.column("id"), *(pa.array(x, pa.int64()) for x in found)], ["id", *MEASURES])
 
     kind = rows.schema["id"].dataType.simpleString()
-    measured = rows.mapInArrow(run, f"id {kind}, " + ", ".join(f"{m} long" for m in MEASURES))
+    measured = arrow_map(rows, run, f"id {kind}, " + ", ".join(f"{m} long" for m in MEASURES))
     bits = sum((F.when(F.expr(condition), F.lit(bit(name)).cast("long")).otherwise(F.lit(0)) for name, condition in RULES.items()), F.lit(0).cast("long"))
     return measured.select(F.col("id").alias(id_col), *MEASURES, bits.alias("failed_bits"))
 

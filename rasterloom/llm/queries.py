@@ -21,9 +21,8 @@ def op2_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
-    encoded = sentencepiece_codec.encode(_table(spark, sf_dir, "documents"), keep_text=True)
-    back = sentencepiece_codec.decode(encoded)
-    return back.select("doc_id", F.size("ids").alias("n_pieces"), "ids", (F.coalesce("text", F.lit("")) == F.col("decoded")).alias("round_trip"))
+    encoded = sentencepiece_codec.encode(_table(spark, sf_dir, "documents"), check=True)
+    return encoded.select("doc_id", F.size("ids").alias("n_pieces"), "ids", "round_trip")
 
 
 def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._common import slices
+from ._common import arrow_map, slices
 
 BLANK = "▁"
 LETTER, OTHER = r"[^\W\d_]", rf"(?:[^\w{BLANK}]|[\d_])"
@@ -110,7 +110,7 @@ class Codec:
     """Encoder and decoder of one worker; remembers the words and piece pairs it has seen, up to a bound."""
 
     pieces: Pieces
-    remember: int = 200_000
+    remember: int = 120_000
     _words: dict[str, bytes] = field(default_factory=dict)  # ids as bytes of int32
     _pairs: dict[int, bool] = field(default_factory=dict)
 
@@ -246,7 +246,8 @@ class Codec:
         out, at = [], 0
         for i in ids:
             if i == self.unknown:
-                out += [self.byte_id.get(b, self.unknown_id) for b in word[at].encode("utf-8", "surrogatepass")]
+                spelled = [self.byte_id.get(b) for b in word[at].encode("utf-8", "surrogatepass")]
+                out += spelled if None not in spelled else [self.unknown_id]
                 at += 1
             else:
                 out.append(i)
@@ -265,7 +266,7 @@ class Codec:
         for word in here.difference(known):
             by_length.setdefault(len(word), []).append(word)
         for length, words in by_length.items():
-            step = max(1, 200_000 // (length + 1))
+            step = max(1, 80_000 // (length + 1))
             for i in range(0, len(words), step):
                 known.update(zip(words[i : i + step], self.viterbi(words[i : i + step]), strict=True))
         found = [b"".join(map(known.__getitem__, words)) for words in cut_up]
@@ -276,6 +277,12 @@ class Codec:
         text = b"".join(map(self.raw.__getitem__, ids)).decode("utf-8", "replace")
         return text[1:] if self.pieces.add_blank and text.startswith(" ") else text
 
+    def decode_all(self, lists: pa.ListArray) -> list[str]:
+        """Texts of all lists of ids; a null list gives an empty text."""
+        flat = lists.flatten().to_numpy().tolist()
+        ends = np.cumsum(pa.compute.fill_null(pa.compute.list_value_length(lists), 0).to_numpy(zero_copy_only=False)).tolist()
+        return [self.decode(flat[a:b]) for a, b in zip([0, *ends[:-1]], ends, strict=True)]
+
 
 _codecs: dict[int, Codec] = {}
 
@@ -288,8 +295,8 @@ def _codec(shared) -> Codec:
     return _codecs[id(shared.value)]
 
 
-def encode(docs: DataFrame, *, model_path: str = DEFAULT_MODEL, id_col: str = "doc_id", text_col: str = "text", keep_text: bool = False) -> DataFrame:
-    """id, `ids` array<int> and, if asked for, the text itself; one row per input row.
+def encode(docs: DataFrame, *, model_path: str = DEFAULT_MODEL, id_col: str = "doc_id", text_col: str = "text", keep_text: bool = False, check: bool = False) -> DataFrame:
+    """id, `ids` array<int>; one row per input row. `keep_text` adds the text, `check` whether the ids decode to it (`round_trip`).
 
     Null and empty texts have no pieces. A literal U+2581 counts as a blank,
     as in the model's own normalisation. Columns besides id and text are not
@@ -300,13 +307,20 @@ def encode(docs: DataFrame, *, model_path: str = DEFAULT_MODEL, id_col: str = "d
 
     def run(batches):
         codec = _codec(shared)
-        for part in slices(batches):
+        for part in slices(batches, limit=2 << 20):
             ids, ends = codec.encode([x or "" for x in part.column("text").to_pylist()])
             lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(ids))
-            yield pa.RecordBatch.from_arrays([part.column("id"), part.column("text"), lists], ["id", "text", "ids"])
+            columns = {"id": part.column("id"), "ids": lists}
+            if keep_text:
+                columns["text"] = part.column("text")
+            if check:
+                back = codec.decode_all(lists)
+                columns["round_trip"] = pa.array([a == (b.as_py() or "") for a, b in zip(back, part.column("text"), strict=True)], pa.bool_())
+            yield pa.RecordBatch.from_arrays(list(columns.values()), list(columns))
 
-    found = rows.mapInArrow(run, f"id {rows.schema['id'].dataType.simpleString()}, text string, ids array<int>")
-    return found.select(F.col("id").alias(id_col), *([F.col("text").alias(text_col)] if keep_text else []), "ids")
+    schema = f"id {rows.schema['id'].dataType.simpleString()}, ids array<int>" + ", text string" * keep_text + ", round_trip boolean" * check
+    found = arrow_map(rows, run, schema)
+    return found.select(F.col("id").alias(id_col), *([F.col("text").alias(text_col)] if keep_text else []), "ids", *(["round_trip"] if check else []))
 
 
 def decode(encoded: DataFrame, *, model_path: str = DEFAULT_MODEL, ids_col: str = "ids", into: str = "decoded") -> DataFrame:
@@ -320,12 +334,9 @@ def decode(encoded: DataFrame, *, model_path: str = DEFAULT_MODEL, ids_col: str
         for batch in batches:
             for start in range(0, batch.num_rows, 500):
                 part = batch.slice(start, 500)
-                lists = part.column(where)
-                flat = lists.flatten().to_numpy().tolist()
-                ends = np.cumsum(pa.compute.fill_null(pa.compute.list_value_length(lists), 0).to_numpy(zero_copy_only=False)).tolist()
-                texts = [codec.decode(flat[a:b]) for a, b in zip([0, *ends[:-1]], ends, strict=True)]
+                texts = codec.decode_all(part.column(where))
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts, pa.string())], [*(f"c{i}" for i in range(part.num_columns)), "decoded"])
 
     renamed = encoded.select(*[F.col(c).alias(f"c{i}") for i, c in enumerate(encoded.columns)])
-    found = renamed.mapInArrow(run, f"{schema}, decoded string")
+    found = arrow_map(renamed, run, f"{schema}, decoded string")
     return found.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(encoded.columns)], F.col("decoded").alias(into))

@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._common import cut, slices
+from ._common import arrow_map, cut, slices
 from ._graph import connected_components
 
 FINGERPRINT_BITS = 64
@@ -81,7 +81,7 @@ def fingerprints(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "te
         for part in slices(batches):
             yield pa.RecordBatch.from_arrays([part.column("id"), pa.array(_fingerprint_chunk(part.column("text").to_pylist(), width))], ["id", "fp"])
 
-    return rows.mapInArrow(run, f"id {rows.schema['id'].dataType.simpleString()}, fp long").withColumnRenamed("id", id_col)
+    return arrow_map(rows, run, f"id {rows.schema['id'].dataType.simpleString()}, fp long").withColumnRenamed("id", id_col)
 
 
 class BKForest:

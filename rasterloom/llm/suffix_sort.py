@@ -26,6 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ._common import arrow_map
 from ._repeats import NO_ID, Corpus, chosen, chunks, find_runs, merge_spans
 
 GRAM = 50
@@ -305,7 +306,7 @@ def removal_spans(corpus: Corpus, width: int, partitions: int, hold: int = 48 <<
 
     runs = corpus.repeated_runs(byte_symbols, width, GRAM)
     schema = "kind int, part int, " + ", ".join(f"{c} binary" for c in RUN_COLUMNS)
-    sorted_runs = corpus.with_runs(runs).mapInArrow(sort_runs, schema)
+    sorted_runs = arrow_map(corpus.with_runs(runs), sort_runs, schema)
     return sorted_runs.groupBy("kind", "part").applyInArrow(merge, "k long, h long, start int, stop int")
 
 
@@ -340,5 +341,5 @@ def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
             yield pa.RecordBatch.from_arrays([part.column("k"), *(pa.array(c, pa.int64()) for c in columns[:3]), pa.array(columns[3], pa.binary())], ["k", "n_bytes", "n_removed", "n_spans", "kept"])
 
     spans = removal_spans(corpus, width, partitions)
-    found = corpus.without(spans).mapInArrow(cut_out, "k long, n_bytes long, n_removed long, n_spans long, kept binary")
+    found = arrow_map(corpus.without(spans), cut_out, "k long, n_bytes long, n_removed long, n_spans long, kept binary")
     return found.select(F.nullif("k", F.lit(NO_ID)).alias(id_col), "n_bytes", "n_removed", "n_spans", "kept")

@@ -24,6 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ._common import arrow_map
 from ._repeats import NO_ID, Corpus, chosen, chunks, find_runs, merge_spans
 
 GRAM = 8
@@ -199,7 +200,7 @@ def removal_spans(corpus: Corpus, width: int, partitions: int, hold: int = 48 <<
 
     runs = corpus.repeated_runs(word_symbols, width, GRAM)
     schema = "kind int, part int, words binary, k binary, h binary, at binary"
-    stretches = corpus.with_runs(runs).mapInArrow(gather, schema)
+    stretches = arrow_map(corpus.with_runs(runs), gather, schema)
     return stretches.groupBy("kind", "part").applyInArrow(subtrees, "k long, h long, start int, stop int")
 
 
@@ -235,5 +236,5 @@ def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
             n, removed, kept = zip(*rows, strict=True)
             yield pa.RecordBatch.from_arrays([part.column("k"), pa.array(n, pa.int64()), pa.array(removed, pa.int64()), pa.array(kept, pa.binary())], ["k", "n_words", "n_removed", "kept"])
 
-    found = corpus.without(removal_spans(corpus, width, partitions)).mapInArrow(cut_out, "k long, n_words long, n_removed long, kept binary")
+    found = arrow_map(corpus.without(removal_spans(corpus, width, partitions)), cut_out, "k long, n_words long, n_removed long, kept binary")
     return found.select(F.nullif("k", F.lit(NO_ID)).alias(id_col), "n_words", "n_removed", "kept")
