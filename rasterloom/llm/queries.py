@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import ann, html_text, language_id, mixing, quality_rules, secret_scan, sentencepiece_codec, simhash, suffix_sort, suffix_tree
+from .sql import SQL
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -71,4 +72,5 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    """The other operators are tested against brute force."""
+    return dict(SQL)
