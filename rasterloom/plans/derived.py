@@ -41,9 +41,10 @@ def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def coefficients(spark: SparkSession, sf_dir: str, divide: float = 20.0) -> DataFrame:
-    """One row: the three coefficient arrays, in column order."""
-    part = table(spark, sf_dir, "part").where(F.col("p_partkey") < COLUMNS)
-    ranked = F.array_sort(F.collect_list(F.struct("p_partkey", "p_size", "p_retailprice")))
+    """One row: the three coefficient arrays, in column order; of the parts dealt to a column the one with the least key."""
+    part = table(spark, sf_dir, "part").groupBy((F.col("p_partkey") % COLUMNS).alias("col"))
+    part = part.agg(F.min_by("p_size", "p_partkey").alias("p_size"), F.min_by("p_retailprice", "p_partkey").alias("p_retailprice"))
+    ranked = F.array_sort(F.collect_list(F.struct("col", "p_size", "p_retailprice")))  # COLUMNS entries
     rows = part.agg(ranked.alias("p"))
     number = lambda f: F.transform("p", lambda p: f(p).cast("float"))
     return rows.select(
@@ -93,7 +94,7 @@ RELATIONS: dict[str, str] = {
     "raw": "select label as band, row_number() over (partition by label order by vec_id) - 1 as line, embedding as e from embeddings",
     "counted": "select band, line, generate_subscripts(e, 1) - 1 as col, cast(floor((cast(unnest(e) as double) + 1) * 1024) as int) as d from raw",
     "px": "select band, line, col, case when d % 97 = 0 then 0 else d end as dn from counted",
-    "co": "select p_partkey as col, cast(1 + (p_size - 25) / cast(1000 as double) as float) as nu, cast(p_retailprice / cast({divide} as double) as float) as ti, cast(p_size / cast(100 as double) as float) as tg from part where p_partkey < 64",
+    "co": "select col, cast(1 + (p_size - 25) / cast(1000 as double) as float) as nu, cast(p_retailprice / cast({divide} as double) as float) as ti, cast(p_size / cast(100 as double) as float) as tg from (select p_partkey % 64 as col, arg_min(p_size, p_partkey) as p_size, arg_min(p_retailprice, p_partkey) as p_retailprice from part group by 1)",
     "sc": "select n_nationkey as band, cast((n_nationkey + 1) / cast(100 as double) as float) as a, cast(n_regionkey as float) as o from nation",
     "tele": "select event_id as ord, (epoch_us(ts) - 1704153600000000) / cast(48384000000 as double) as x, value as y from events where event_type = 'view'",
     "pieces": "select x as x0, y as y0, lead(x) over (order by x, ord) as x1, lead(y) over (order by x, ord) as y1, row_number() over (order by x, ord) as n from tele",
@@ -201,7 +202,7 @@ def interp_temperature_window(spark, sf_dir):
     return interpolation.by_window(_lines_of_scene(spark, sf_dir), samples(spark, sf_dir), ["scene"]).select(F.col("line").cast("int").alias("line"), "t")
 
 
-UNIFORM = "select row_number() over (order by event_id) - 1 as ord, value as y, count(*) over () as k from events where event_type = 'view' and event_id < 300"
+UNIFORM = "select row_number() over (order by event_id) - 1 as ord, value as y, count(*) over () as k from events where event_type = 'view'"
 SPREAD = "select ord, y, case when ord = k - 1 then 999.0 else ord * (cast(999 as double) / (k - 1)) end as x from uni"
 USEG = "select x as x0, y as y0, lead(x) over (order by x, ord) as x1, lead(y) over (order by x, ord) as y1 from spread"
 
@@ -209,19 +210,19 @@ USEG = "select x as x0, y as y0, lead(x) over (order by x, ord) as x1, lead(y) o
 @query("interp_temperature_uniform", sql("select l.line, cast(case when x1 is null or x0 = l.line then y0 else (y1 - y0) / (x1 - x0) * (l.line - x0) + y0 end as float) as t from (select unnest(range(1000)) as line) l, useg where x0 <= l.line and (x1 is null or l.line < x1)", uni=UNIFORM, spread=SPREAD, useg=USEG))
 def interp_temperature_uniform(spark, sf_dir):
     """A thousand lines, samples without times."""
-    few = samples(spark, sf_dir).where("ord < 300").select("scene", "ord", "y")
-    spread = interpolation.uniform_positions(few, F.lit(1000), ["scene"])
+    spread = interpolation.uniform_positions(samples(spark, sf_dir).select("scene", "ord", "y"), F.lit(1000), ["scene"])
     held = interpolation.sample_array(spread, ["scene"])
     every = spark.range(1000).select(F.col("id").alias("line"), F.lit("scene").alias("scene")).join(held, "scene")
     return every.select("line", interpolation.by_array(F.col("line"), F.col("samples")).alias("t"))
 
 
-@query("single_sample_profile", sql("select l.line, cast(e.value as float) as t from (select unnest(range(100)) as line) l, (select value from events where event_id = 0) e"))
+@query("single_sample_profile", sql("select e.event_type as scene, l.line, cast(e.value as float) as t from (select unnest(range(100)) as line) l, (select event_type, max(value) as value from events group by 1) e"))
 def single_sample_profile(spark, sf_dir):
-    one = table(spark, sf_dir, "events").where("event_id = 0").select(F.lit("scene").alias("scene"), F.col("event_id").alias("ord"), F.lit(50.0).alias("x"), F.col("value").alias("y"))
+    """Event types as scenes; the one sample of each is its largest value."""
+    one = table(spark, sf_dir, "events").groupBy(F.col("event_type").alias("scene")).agg(F.max("value").alias("y")).withColumns({"x": F.lit(50.0), "ord": F.lit(0)})
     held = interpolation.sample_array(one, ["scene"])
-    every = spark.range(100).select(F.col("id").alias("line"), F.lit("scene").alias("scene")).join(held, "scene")
-    return every.select("line", interpolation.by_array(F.col("line"), F.col("samples")).alias("t"))
+    every = held.withColumn("line", F.explode(F.sequence(F.lit(0), F.lit(99))))
+    return every.select("scene", "line", interpolation.by_array(F.col("line"), F.col("samples")).alias("t"))
 
 
 CLOCK = "(cast(e.event_id as double) * 500 - (cast(a.o_orderkey as double) * 10 + (cast(1000 as double) - a.o_custkey) * 1000.0 + cast(-0.5 as double) * 1e6)) / cast(250 as double)"
