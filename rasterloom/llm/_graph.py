@@ -11,6 +11,8 @@ from ._common import cut
 def _with_least_neighbour(pairs: DataFrame) -> DataFrame:
     """Add to each (u, v) the least of u and all its neighbours; the minimum is combined before the shuffle."""
     least = pairs.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+    # dealt anew, so that the join does not inherit the grouping's partitions and Spark can split a node with many neighbours
+    least = least.repartition(int(pairs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     return pairs.join(least, "u")
 
 
