@@ -21,7 +21,7 @@ from functools import cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ._common import arrow_map, slices
@@ -123,8 +123,11 @@ class Corpus:
 
         firsts = self.rows.join(self.firsts.select("k", "h").hint("shuffle_hash"), ["k", "h"]).select("k", "h", "text")
         found = arrow_map(firsts, anchors, "anchor long, k long, h long, r int")
-        places = F.count("*").over(Window.partitionBy("anchor"))
-        repeated = found.withColumn("places", places).where("places > 1")
+        # counts are combined before their shuffle and dealt anew, so that the join does not inherit the
+        # grouping's partitions and Spark can split the side of a frequent anchor
+        places = found.groupBy("anchor").agg(F.count("*").alias("places")).where("places > 1")
+        places = places.repartition(int(found.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+        repeated = found.join(places, "anchor")
         code = F.col("r") * 2 + (F.col("places") > hot).cast("int")
         return repeated.groupBy("k", "h").agg(F.collect_list(code).alias("runs"))
 
