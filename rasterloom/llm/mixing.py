@@ -23,6 +23,8 @@ from ._common import WORD_PATTERN, cut
 #: Weights by the source's place in code-point order, repeating.
 WEIGHTS = (3.0, 1.0, 2.0)
 MAX_SOURCES = 65_536
+#: Documents whose running sum one window takes, over all sources.
+CHUNK = 1_024
 #: Odd number nearest to 2**31 / golden ratio: i * GOLDEN mod 2**31 is a golden-ratio sequence in exact integers.
 GOLDEN, MODULUS = 1_327_217_885, 1 << 31
 
@@ -64,7 +66,7 @@ def schedule(spark, quotas: list[int], slots: int) -> DataFrame:
             source = np.minimum(np.searchsorted(edges, point, side="right"), len(quotas) - 1).astype(np.int32)
             yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(source)], ["slot", "source_no"])
 
-    dealt = spark.range(slots).mapInArrow(deal, "slot long, source_no int").withColumn("chunk", F.shiftright("slot", 16))
+    dealt = spark.range(slots).mapInArrow(deal, "slot long, source_no int").withColumn("chunk", F.shiftright("slot", 12))
     before = (
         dealt.groupBy("source_no", "chunk").agg(F.count("*").alias("n"))
         .select("source_no", "chunk", (F.sum("n").over(Window.partitionBy("source_no").orderBy("chunk")) - F.col("n")).alias("before"))
@@ -114,7 +116,7 @@ def mix(
         "source_no int, source string, source_size long, target double, quota long, block long",
     )
     facts = F.broadcast(facts)  # at most MAX_SOURCES rows
-    chunks = max(1, sum(r["rows"] for r in totals) // 32_768)
+    chunks = max(1, sum(r["rows"] for r in totals) // CHUNK)
     placed = sized.join(facts.withColumnRenamed("source", "named"), F.col("source").eqNullSafe(F.col("named"))).withColumn("chunk", F.pmod("key", F.lit(chunks)))
     before = (
         placed.groupBy("source_no", "chunk").agg(F.sum("size").alias("n"))
