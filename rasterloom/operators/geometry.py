@@ -26,9 +26,10 @@ def bracket(times: DataFrame, states: DataFrame, keys: list[str]) -> DataFrame:
     value = F.struct(F.col("t"), F.col("state"))
     kind = states.schema["state"].dataType
     both = states.select(*keys, "t", "state", F.lit(0).alias("kind")).unionByName(times.select(*keys, "t").distinct().withColumn("state", F.lit(None).cast(kind)).withColumn("kind", F.lit(1)))
-    along = Window.partitionBy(*keys).orderBy("t", "kind")
+    along = Window.partitionBy(*keys).orderBy("t", "kind").rowsBetween(Window.unboundedPreceding, 0)
+    ahead = Window.partitionBy(*keys).orderBy(F.desc("t"), F.desc("kind")).rowsBetween(Window.unboundedPreceding, -1)
     known = F.when(F.col("kind") == 0, value)
-    found = both.withColumn("a", F.last(known, True).over(along.rowsBetween(Window.unboundedPreceding, 0))).withColumn("b", F.first(known, True).over(along.rowsBetween(1, Window.unboundedFollowing)))
+    found = both.withColumn("a", F.last(known, True).over(along)).withColumn("b", F.last(known, True).over(ahead))
     a, b = F.coalesce("a", "b"), F.coalesce("b", "a")
     found = found.where("kind = 1").select(*keys, "t", a["t"].alias("t0"), a["state"].alias("s0"), b["t"].alias("t1"), b["state"].alias("s1"))
     return times.join(found, [*keys, "t"])

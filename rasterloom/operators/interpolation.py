@@ -49,13 +49,15 @@ def by_segments(lines: DataFrame, samples: DataFrame, keys: list[str]) -> DataFr
 
 def by_window(lines: DataFrame, samples: DataFrame, keys: list[str]) -> DataFrame:
     """The same by one sort per key: the last sample at or before each line and the first after it."""
-    along = Window.partitionBy(*keys).orderBy("x", "kind", "ord")
+    along = Window.partitionBy(*keys).orderBy("x", "kind", "ord").rowsBetween(Window.unboundedPreceding, 0)
+    # looking ahead is looking back in the opposite order: a running frame, where one that ends at infinity is read anew for each row
+    ahead = Window.partitionBy(*keys).orderBy(F.desc("x"), F.desc("kind"), F.desc("ord")).rowsBetween(Window.unboundedPreceding, -1)
     point = F.struct(F.col("x"), F.col("y"))
     marked = samples.select(*keys, "x", "y", F.lit(0).alias("kind"), F.col("ord").cast("long").alias("ord")).unionByName(
         lines.select(*keys, "line").distinct().select(*keys, F.col("line").cast("double").alias("x"), F.lit(None).cast("double").alias("y"), F.lit(1).alias("kind"), F.col("line").cast("long").alias("ord"))
     )
     sample = F.when(F.col("kind") == 0, point)
-    found = marked.withColumn("a", F.last(sample, True).over(along.rowsBetween(Window.unboundedPreceding, 0))).withColumn("b", F.first(sample, True).over(along.rowsBetween(1, Window.unboundedFollowing)))
+    found = marked.withColumn("a", F.last(sample, True).over(along)).withColumn("b", F.last(sample, True).over(ahead))
     found = found.where("kind = 1").select(*keys, F.col("ord").alias("line"), _between(F.col("x"), F.col("a.x"), F.col("a.y"), F.col("b.x"), F.col("b.y")).cast("float").alias("t"))
     return lines.join(found, [*keys, "line"])
 

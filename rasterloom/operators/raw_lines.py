@@ -31,9 +31,10 @@ def line_gaps(lines: DataFrame, keys: list[str]) -> DataFrame:
 
 def fill_dead_columns(pixels: DataFrame, keys: list[str], value: str = "radiance") -> DataFrame:
     """Replace pixels whose `dead` is true by the mean of their nearest live neighbours in the line."""
-    along = Window.partitionBy(*keys, "line").orderBy("col")
+    before = Window.partitionBy(*keys, "line").orderBy("col").rowsBetween(Window.unboundedPreceding, -1)
+    after = Window.partitionBy(*keys, "line").orderBy(F.desc("col")).rowsBetween(Window.unboundedPreceding, -1)
     live = F.when(~F.col("dead"), F.col(value))
-    left, right = F.last(live, True).over(along.rowsBetween(Window.unboundedPreceding, -1)), F.first(live, True).over(along.rowsBetween(1, Window.unboundedFollowing))
+    left, right = F.last(live, True).over(before), F.last(live, True).over(after)
     mean = F.when(left.isNull(), right).when(right.isNull(), left).otherwise((left + right) / 2)
     return pixels.withColumn(value, F.when(F.col("dead"), mean.cast(pixels.schema[value].dataType)).otherwise(F.col(value)))
 

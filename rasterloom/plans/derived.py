@@ -67,15 +67,14 @@ def samples(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def band_lines(spark: SparkSession, sf_dir: str, divide: float = 20.0) -> DataFrame:
-    """Lines with their context and temperature; the telemetry joins as one array per scene.
+    """Lines with their context and temperature.
 
-    The temperature is worked out before the join with the coefficients, else
-    Spark would fold it into the per-pixel expression and repeat it there.
+    All bands share the scene's temperatures, so these are worked out once a
+    line; this telemetry grows with the tables, so by the one-sort form.
     """
     context = scalars(spark, sf_dir).crossJoin(F.broadcast(coefficients(spark, sf_dir, divide)))  # one row
-    held = interpolation.sample_array(samples(spark, sf_dir), ["scene"])
-    taken = lines(spark, sf_dir).withColumn("scene", F.lit("scene")).join(held, "scene")
-    taken = taken.select("band", "line", "dn", interpolation.by_array(F.col("line"), F.col("samples")).alias("t"))
+    known = interpolation.by_window(_lines_of_scene(spark, sf_dir), samples(spark, sf_dir), ["scene"]).select("line", "t")
+    taken = lines(spark, sf_dir).join(known, "line")
     return taken.join(context, "band").withColumn("nodata", F.lit(float(NODATA)))
 
 
