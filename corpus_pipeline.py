@@ -8,7 +8,7 @@ weights; SentencePiece turns what is left into ids.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rasterloom.llm import language_id, mixing, secret_scan, sentencepiece_codec, simhash
@@ -19,6 +19,21 @@ COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 MIN_LANGUAGE_SCORE = 0.5
 
 
+def _row(columns: list[str]) -> Column:
+    """Tells apart rows that differ in their id or in `columns`, nulls included; null ids sort last and no part is null."""
+    nulls = [F.col(c).isNull() for c in columns]  # the hash skips nulls, so their places go in too
+    return F.struct(
+        F.col("doc_id").isNull().alias("no_id"),
+        F.coalesce("doc_id", F.lit(0)).alias("id"),
+        F.xxhash64(*columns, *nulls).alias("rest"),
+    )
+
+
+def _by_row(docs: DataFrame, columns: list[str]) -> DataFrame:
+    """(row, whole): one entry for all rows that `_row` does not tell apart, the least of them."""
+    return docs.groupBy(_row(columns).alias("row")).agg(F.min(F.struct(*COLUMNS)).alias("whole"))
+
+
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep the documents whose language is told; the label column is left as it came."""
     model = language_id.train(docs.where(~language_id.held_out()))
@@ -27,9 +42,10 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep the document with the smallest id of each group; one row of it, should rows repeat an id."""
-    groups = simhash.near_duplicates(docs).where("is_representative").select("doc_id").distinct()
-    return docs.join(groups, "doc_id", "left_semi").select(COLUMNS).dropDuplicates(["doc_id"])
+    """Keep one row of each group: that with the smallest id, null ids last; rows of one id go by a hash of their text."""
+    named = docs.select(_row(["text"]).alias("row"), "text")
+    kept = simhash.near_duplicates(named, id_col="row").where("is_representative").select("row").distinct()
+    return _by_row(docs, ["text"]).join(kept, "row", "left_semi").select("whole.*")
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -40,10 +56,13 @@ def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Emit a document as often as the mix takes its words, to the nearest whole number (0 to 2)."""
-    taken = mixing.mix(docs)[1]
-    copies = taken.select("doc_id", F.floor(F.col("taken") / F.greatest("size", F.lit(1)) + 0.5).cast("int").alias("copies")).where("copies > 0")
-    return docs.join(copies, "doc_id").withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies")))).select(COLUMNS)
+    """Emit a document as often as the mix takes its words, to the nearest whole number (0 to 2); every row is a document."""
+    rest = COLUMNS[1:]
+    taken = mixing.mix(docs.select(_row(rest).alias("row"), "text", "source"), id_col="row")[1]
+    copies = F.floor(F.col("taken") / F.greatest("size", F.lit(1)) + 0.5).cast("int")
+    # equal rows stand for each other, so their copies add up
+    emitted = taken.groupBy("row").agg(F.sum(copies).cast("int").alias("copies")).where("copies > 0")
+    return _by_row(docs, rest).join(emitted, "row").withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies")))).select("whole.*")
 
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

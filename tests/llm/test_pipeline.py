@@ -1,14 +1,16 @@
 """The corpus pipeline against a plain run of its decisions, and registration."""
 
 import re
+from collections import Counter
 
 import pytest
 import sentencepiece
+from awkward import AWKWARD
 from test_other_operators import plain_base
 
 import __spark_entry__
 import corpus_pipeline
-from rasterloom.llm import queries, secret_scan, sentencepiece_codec
+from rasterloom.llm import mixing, queries, secret_scan, sentencepiece_codec
 
 SF = "/root/testdata/sf0.001"
 
@@ -87,3 +89,56 @@ def test_native_scan_has_no_python(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     plan = secret_scan.find_secrets(docs)._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Arrow|Pandas", plan)
+
+
+#: Awkward rows, one id with two unrelated texts (one of them a copy of a smaller id's), and a text that only rows without id hold.
+KEYED = [
+    *AWKWARD,
+    (7, "the quick brown fox jumps over the lazy dog near the river bank today", "en", "a"),
+    (8, "the quick brown fox jumps over the lazy dog near the river bank today", "en", "a"),
+    (8, "many ships sail north in spring when the ice has left the wide harbour", "en", "b"),
+    (None, "no row with an id holds this sentence about green apples and old carts", "en", "b"),
+    (None, "no row with an id holds this sentence about green apples and old carts", "en", "b"),
+]
+
+
+def _keyed(docs_of):
+    return docs_of(KEYED).select(corpus_pipeline.COLUMNS)
+
+
+def test_one_row_of_each_group_stays_whatever_its_id(spark, docs_of):
+    from test_simhash import fingerprint, groups
+
+    kept = sorted(((r["doc_id"], r["text"]) for r in corpus_pipeline.drop_near_duplicates(spark, _keyed(docs_of), SF).collect()), key=str)
+    rows = sorted(KEYED, key=lambda r: (r[0] is None, r[0] or 0))
+    label = groups([fingerprint(r[1]) for r in rows])
+    found = [next(g for g, r in zip(label, rows, strict=True) if r[:2] == k) for k in kept]
+    assert sorted(found) == sorted(set(label))  # every group once
+    assert [k[0] for k in kept] == [rows[g][0] for g in found]
+
+
+def test_redaction_and_ids_take_every_row(spark, docs_of):
+    key = lambda r: (str(r["doc_id"]), str(r["text"]))
+    docs = _keyed(docs_of)
+    redacted = corpus_pipeline.redact_secrets(spark, docs, SF)
+    assert sorted(map(key, redacted.collect())) == sorted(map(key, docs.collect()))
+    assert sorted(str(r["doc_id"]) for r in corpus_pipeline.tokenize(spark, docs, SF).collect()) == sorted(str(r[0]) for r in KEYED)
+
+
+def test_language_stage_keeps_rows_without_id(spark, docs_of):
+    kept = [(r["doc_id"], r["text"]) for r in corpus_pipeline.identify_language(spark, _keyed(docs_of), SF).collect()]
+    assert sorted(map(str, kept)) == sorted(str(r[:2]) for r in KEYED if r[1] and r[1].strip())
+
+
+def test_mix_emits_each_row_by_itself(spark, docs_of):
+    docs = _keyed(docs_of)
+    got = Counter((r["doc_id"], r["text"], r["source"]) for r in corpus_pipeline.mix_sources(spark, docs, SF).collect())
+    held = Counter((r[0], r[1], r[3]) for r in KEYED)
+    assert all(n <= 2 * held[k] for k, n in got.items())
+    sized = mixing.mix(docs)[1].collect()
+    for source in {r[3] for r in KEYED}:  # a source that is taken twice over emits each of its rows twice, those without id too
+        rows = [k for k in held if k[2] == source and k[1] and k[1].split()]
+        words = sum(held[k] * len(k[1].split()) for k in rows)
+        if {r["target"] for r in sized if r["source_size"] == words} == {2.0 * words}:
+            assert all(got[k] == 2 * held[k] for k in rows)
+    assert any(k[0] is None for k in got)
