@@ -34,14 +34,16 @@ CLOSED_BY = {
     "dd": ({"dt", "dd"}, {"dl", "table", "td", "th"}),
     "option": ({"option"}, {"select", "datalist"}),
     "optgroup": ({"option", "optgroup"}, {"select"}),
-    "td": ({"td", "th"}, {"tr", "table"}),
-    "th": ({"td", "th"}, {"tr", "table"}),
-    "tr": ({"tr"}, {"table"}),
-    "tbody": ({"tbody", "thead", "tfoot", "caption"}, {"table"}),
-    "thead": ({"tbody", "thead", "tfoot", "caption"}, {"table"}),
-    "tfoot": ({"tbody", "thead", "tfoot", "caption"}, {"table"}),
+    "td": ({"td", "th", "colgroup", "caption"}, {"tr", "table"}),
+    "th": ({"td", "th", "colgroup", "caption"}, {"tr", "table"}),
+    "tr": ({"tr", "colgroup", "caption"}, {"table"}),
+    "tbody": ({"tbody", "thead", "tfoot", "colgroup", "caption"}, {"table"}),
+    "thead": ({"tbody", "thead", "tfoot", "colgroup", "caption"}, {"table"}),
+    "tfoot": ({"tbody", "thead", "tfoot", "colgroup", "caption"}, {"table"}),
+    "colgroup": ({"tbody", "thead", "tfoot", "colgroup", "caption"}, {"table"}),
     "body": ({"head"}, set()),
 }
+SECTIONS = ("thead", "tbody", "tfoot")
 TOKEN = re.compile(
     r"<!--.*?(?:--!?>|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|</?([a-zA-Z][^\s/>]*)((?:[^<>\"']|\"[^\"]*\"|'[^']*'|[\"'<])*?)>", re.S
 )
@@ -74,6 +76,8 @@ def parse(html: str) -> Node:
 
     def text(piece: str) -> None:
         if piece:
+            if stack[-1].tag == "head" and SPACES.sub("", piece):
+                stack.pop()  # the body may start unannounced
             stack[-1].children.append(unescape(piece))
 
     at = 0
@@ -96,10 +100,13 @@ def parse(html: str) -> Node:
             continue
         if tag in CLOSES_P:
             close({"p"}, {"table", "td", "th", "button", "li", "dd", "dt"} - ({tag} if tag in ("li", "dd", "dt") else set()))
+        if stack[-1].tag == "head" and tag not in HIDDEN:
+            stack.pop()
         if tag in CLOSED_BY:
             close(*CLOSED_BY[tag])
-        elif stack[-1].tag == "head" and tag not in HIDDEN:
-            stack.pop()  # the body may start unannounced
+        if tag in ("td", "th") and stack[-1].tag in ("table", *SECTIONS) and len(stack) < MAX_DEPTH:
+            stack[-1].children.append(Node("tr", {}))
+            stack.append(stack[-1].children[-1])
         attributes = {}
         for name, value in ATTRIBUTE.findall(token[2]):
             attributes.setdefault(name.lower(), unescape(value[1:-1] if value[:1] in "\"'" and value else value))
@@ -195,26 +202,27 @@ def _items(node: Node, page: Page, pre: bool) -> None:
     page.indent = outer
 
 
-def _rows(node: Node) -> list[Node]:
+def _rows(node: Node, page: Page) -> list[Node]:
+    """The rows of a table or of a part of it; what is in no row is shown at once."""
     found = []
     for child in node.children:
-        if isinstance(child, Node) and visible(child):
-            if child.tag == "tr":
-                found.append(child)
-            elif child.tag in ("thead", "tbody", "tfoot"):
-                found += _rows(child)
+        tag = child.tag if isinstance(child, Node) else ""
+        if tag == "tr":
+            found += [child] if visible(child) else []
+        elif tag in SECTIONS or tag == "form" and any(isinstance(x, Node) and x.tag in ("tr", *SECTIONS) for x in child.children):
+            found += _rows(child, page) if visible(child) else []
+        else:
+            _render(child, page, False)
+            page.flush()
     return found
 
 
 def _table(node: Node, page: Page) -> None:
     """Cells padded to their columns' widths; what is not in a cell comes before the grid."""
-    for child in node.children:
-        if not isinstance(child, Node) or child.tag not in ("thead", "tbody", "tfoot", "tr", "colgroup"):
-            _render(child, page, False)
-            page.flush()
+    rows = _rows(node, page)
     grid: list[dict[int, tuple[list[str], int]]] = []
     held: dict[int, int] = {}  # column -> rows that a rowspan still covers
-    for row in _rows(node):
+    for row in rows:
         cells: dict[int, tuple[list[str], int]] = {}
         column = 0
         for cell in row.children:

@@ -306,3 +306,24 @@ def test_deep_nesting_and_awkward_pages(spark):
     pages = spark.createDataFrame([(1, None, "t"), (1, None, "t"), (2, "", "t"), (None, "<p>a", "t")], "page_id long, html string, text string")
     assert sorted((r["page_id"] or 0, r["text"]) for r in html_text.extract(pages).collect()) == [(0, "a"), (1, ""), (1, ""), (2, "")]
     assert html_text.extract(pages.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize(
+    ("html", "text"),
+    [
+        ("<table><colgroup><col><col><tr><td>a</td></tr></table>", "a"),
+        ("<table><colgroup><col><tbody><tr><td>a<td>b</table>", "a  b"),
+        ("<table><colgroup>x<td>y<td>z</table>", "x\ny  z"),
+        ("<table><tbody>text<tr><td>a</table>", "text\na"),
+        ("<table><tbody><td>a</td><td>b</td></table>", "a  b"),
+        ("<table><tbody><form><tr><td>a<td>b</tr></form></table>", "a  b"),
+        ("<head><title>t</title>Hello", "Hello"),
+        ("<head><li>one<li>two", "one\ntwo"),
+        ("<head><dt>a<dd>b", "a\n    b"),
+        ("<head> <title>t</title> </head><body>x", "x"),
+        ("<div>" * (html_text.MAX_DEPTH - 3) + "<table><tbody><tr><td>deep</td></tr></table>", "deep"),
+        ("<table><colgroup hidden>no</colgroup><tr><td>a</table>", "a"),
+    ],
+)
+def test_left_out_tags_hide_no_text(html, text):
+    assert html_text.render(html).replace("- ", "") == text
