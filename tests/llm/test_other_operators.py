@@ -1,5 +1,7 @@
+import base64
 import hashlib
 import math
+import random
 import re
 import time
 from collections import Counter
@@ -159,6 +161,48 @@ def test_secrets_of_awkward_rows_and_redaction(docs_of):
     assert text.startswith("assign:") and hashlib.sha256(b"").hexdigest() == found.where("doc_id = 1").select(F.sha2(secret_scan.spans_text(F.col("base_spans")), 256)).first()[0]
 
 
+def plain_all(text, rule=secret_scan.EntropyRule()):
+    base = plain_base(text)
+    found = list(base)
+    for m in re.finditer(rule.candidate, text or ""):
+        value = m[0]
+        if any(a <= m.start() and m.end() <= b for a, _, b in base) or not re.search("[0-9]", value) or not re.search("[A-Za-z]", value):
+            continue
+        if any(re.search(p, value) for p in rule.allowed):
+            continue
+        least = next(bits for p, bits in rule.classes if re.search(p, value))
+        windows = (value[i : i + rule.window] for i in range(len(value) - rule.window + 1))
+        if any(plain_entropy(w, rule.window) >= least - 1e-9 and not re.search(rule.allowed_words, w) for w in windows):
+            found.append((m.start(), 3, m.end()))
+    return sorted(found)
+
+
+def test_all_spans_equal_a_plain_scan(spark, small):
+    drawn = random.Random(5)
+    letters = "abcdefABCDEF0123456789+/=_- " * 3 + "xyzGHI"
+    rows = [(i, t) for i, t in enumerate(SECRETS)] + [(1000 + r["doc_id"], r["text"]) for r in small.collect()]
+    rows += [(5000 + i, "".join(drawn.choice(letters) for _ in range(400)) + drawn.choice(["", "AKIA", "sample", "token="]) + "%040x" % drawn.getrandbits(160)) for i in range(200)]
+    rows.append((9000, "A1" + "deadbeef" * 4 + "Zz9Yx8Wv7Ut6Sr5 sample-q7Rt2LmX9pKd4ZwYv8Bn3Q"))  # covered in part; an allowed word beside a random window
+    for r in secret_scan.find_secrets(spark.createDataFrame(rows, "doc_id long, text string")).collect():
+        assert [(s["start"], s["rank"], s["stop"]) for s in r["all_spans"]] == plain_all(r["text"])
+        if r["doc_id"] == 9000:
+            assert [s["rank"] for s in r["all_spans"]] == [3, 2, 3]
+
+
+def test_long_candidates_and_many_matches_take_seconds(spark):
+    drawn = random.Random(6)
+    token = lambda: "Ab1" + "%030x" % drawn.getrandbits(120)
+    texts = [base64.b64encode(drawn.randbytes(750_000)).decode(), " ".join(token() for _ in range(20_000)), "snow \u2603 " * 50_000 + "password=abcdef"]
+    spark.createDataFrame([(texts[2],)], "text string").transform(secret_scan.find_secrets).count()
+    began = time.monotonic()
+    found = secret_scan.find_secrets(spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string"))
+    rows = found.select("doc_id", F.size("all_spans").alias("n"), secret_scan.redact(F.col("text"), F.col("all_spans")).alias("clean")).collect()
+    assert time.monotonic() - began < 120
+    n, clean = {r["doc_id"]: r["n"] for r in rows}, {r["doc_id"]: r["clean"] for r in rows}
+    assert n[0] == 1 and clean[0].startswith("[SECRET]") and n[2] == 1 and clean[2] == "snow \u2603 " * 50_000 + "[SECRET]"
+    assert n[1] >= 20_000 and len(clean[1].split()) == 20_000 and set(clean[1].split()) <= {"[SECRET]", "A[SECRET]"}  # the hex run starts at b
+
+
 # ---- quality rules ---------------------------------------------------------------------------
 
 
