@@ -31,6 +31,11 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def partitions(spark: SparkSession) -> int:
+    """Partitions of a shuffle, as the session has them now."""
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 def row_key(id_col: str, text_col: str) -> Column:
     """Tells apart rows that share an id but not a text; equal rows share the key."""
     return F.xxhash64(F.col(id_col), F.col(text_col))

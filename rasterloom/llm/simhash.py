@@ -12,11 +12,15 @@ components, never all pairs; the stars are joined by a distributed
 connected-components job.
 
 Trees grow with the corpus, so they are not broadcast: each tree is built in
-the task that the shuffle of its shard's fingerprints ends in.
+the task that the shuffle of its shard's fingerprints ends in. A shard of many
+fingerprints goes to several tasks, each of which searches its tree for a
+share of them.
 """
 
 from __future__ import annotations
 
+import re
+from collections.abc import Iterator
 from itertools import combinations
 
 import numpy as np
@@ -25,29 +29,45 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._common import arrow_map, cut, slices
+from ._common import arrow_map, cut, partitions, slices
 from ._graph import connected_components
 
 FINGERPRINT_BITS = 64
 SEED = 42
 
 
-def _shingle_hashes(text: str | None, width: int) -> list[int]:
-    words = (text or "").encode("utf-8", "surrogatepass").lower().split()
-    if not words:
-        return []
+BLANK = re.compile(rb"[\x20\x09-\x0d]")
+#: Bytes of text that are split into words at once.
+PIECE = 1 << 20
+#: Fingerprints of a shard that one task searches for.
+SHARD = 16_384
+
+
+def shingle_hashes(text: str | None, width: int, piece: int = PIECE) -> Iterator[list[int]]:
+    """Hashes of all shingles, repeats included, some for each piece of the text; none if it has no word."""
+    data = (text or "").encode("utf-8", "surrogatepass").lower()
     digest = xxhash.xxh64_intdigest
-    joined = b" ".join(words)
-    if len(words) <= width:
-        return [digest(joined, SEED)]
-    ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1)
-    starts = np.concatenate([[0], ends[: len(words) - width]]).tolist()
-    return [digest(joined[a:b], SEED) for a, b in zip(starts, (ends[width - 1 :] - 1).tolist(), strict=True)]
+    at, held, fresh = 0, [], True
+    while at < len(data):
+        blank = BLANK.search(data, at + piece) if len(data) - at > piece else None
+        stop = blank.start() if blank else len(data)
+        words = held + data[at:stop].split()
+        at = stop
+        if len(words) >= width:
+            joined = b" ".join(words)
+            ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1)
+            starts = np.concatenate([[0], ends[: len(words) - width]]).tolist()
+            yield [digest(joined[a:b], SEED) for a, b in zip(starts, (ends[width - 1 :] - 1).tolist(), strict=True)]
+            fresh = False
+        held = words[max(0, len(words) - width + 1) :]
+    if fresh and held:
+        yield [digest(b" ".join(held), SEED)]
 
 
 def _fingerprint_chunk(texts: list[str | None], width: int) -> np.ndarray:
     """Signed 64-bit fingerprints; a text without words has fingerprint 0."""
-    found = np.zeros(len(texts), dtype=np.uint64)
+    totals = np.zeros((len(texts), FINGERPRINT_BITS), dtype=np.int64)
+    sizes = np.zeros(len(texts), dtype=np.int64)
     hashes: list[int] = []
     owners: list[int] = []
     counts: list[int] = []
@@ -56,21 +76,19 @@ def _fingerprint_chunk(texts: list[str | None], width: int) -> np.ndarray:
         if not owners:
             return
         bits = np.unpackbits(np.array(hashes, dtype="<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-        sums = np.add.reduceat(bits, np.concatenate([[0], np.cumsum(counts)[:-1]]), axis=0, dtype=np.int32)
-        majority = sums * 2 > np.array(counts)[:, None]
-        found[owners] = np.packbits(majority, axis=1, bitorder="little").view("<u8").ravel()
+        np.add.at(totals, owners, np.add.reduceat(bits, np.concatenate([[0], np.cumsum(counts)[:-1]]), axis=0, dtype=np.int64))
+        np.add.at(sizes, owners, counts)
         hashes.clear(), owners.clear(), counts.clear()
 
     for i, text in enumerate(texts):
-        own = _shingle_hashes(text, width)
-        if own:
+        for own in shingle_hashes(text, width):
             hashes.extend(own)
             owners.append(i)
             counts.append(len(own))
-        if len(hashes) > 100_000:
-            settle()
+            if len(hashes) > 100_000:
+                settle()
     settle()
-    return found.view(np.int64)
+    return np.packbits(totals * 2 > sizes[:, None], axis=1, bitorder="little").view("<i8").ravel()
 
 
 def fingerprints(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", width: int = 4) -> DataFrame:
@@ -117,18 +135,22 @@ class BKForest:
         self.children = linked[np.lexsort((self.edge[linked], self.parent[linked]))]
         self.first = np.concatenate([[0], np.cumsum(np.bincount(self.parent[linked], minlength=n))])
 
-    def components(self, radius: int, frontier: int = 1 << 21) -> np.ndarray:
+    def components(self, radius: int, frontier: int = 1 << 21, asking: np.ndarray | None = None) -> np.ndarray:
         """The least row number of each value's group, values of a shard within `radius` being linked.
 
-        Queries go in blocks, so that the (query, node) pairs in flight stay near `frontier`.
+        With `asking`, only links of these rows count. Queries go in blocks,
+        so that the (query, node) pairs in flight stay near `frontier`.
         """
         n = len(self.values)
         label = np.arange(n)
+        asking = label if asking is None else asking
         largest = int(np.diff(np.append(self.roots, n)).max(initial=1))
-        block = max(64, min(1 << 16, frontier // largest))
-        for start in range(0, n, block):
-            uniform = self._uniform(label)
-            query = np.arange(start, min(n, start + block))
+        block = max(1, min(1 << 16, frontier // largest))
+        uniform, again = None, 0
+        for start in range(0, len(asking), block):
+            if start >= again:  # an old answer is still right, only later than it could be
+                uniform, again = self._uniform(label), start + max(block, len(asking) // 64)
+            query = asking[start : start + block]
             node = self.root_of[query]
             links = []
             while len(query):
@@ -184,28 +206,41 @@ def links(distinct: DataFrame, radius: int) -> DataFrame:
             key, width = F.shiftleft(key, length).bitwiseOR(part), width + length
         keys.append(key)
     sharded = distinct.select("fp", F.explode(F.array(*keys)).alias("shard"))
-    shared = sharded.repartition("shard").sortWithinPartitions("shard", "fp")
+    # counts are dealt anew, so that the join does not inherit the grouping's partitions and Spark can split a large shard
+    large = sharded.groupBy("shard").agg(F.count("*").alias("n")).where(F.col("n") > SHARD)
+    large = large.select("shard", F.ceil(F.col("n") / SHARD).cast("int").alias("slices")).repartition(partitions(distinct.sparkSession))
+    placed = sharded.join(large, "shard", "left").select("fp", "shard", F.coalesce("slices", F.lit(1)).alias("slices"))
+    placed = placed.withColumn("slice", F.explode(F.sequence(F.lit(0), F.col("slices") - 1)))
+    shared = placed.repartition("shard", "slice").sortWithinPartitions("shard", "slice", "fp")
+
+    def stars(batch):
+        shard, part, slices, fp = (batch.column(c).to_numpy() for c in ("shard", "slice", "slices", "fp"))
+        edge = (np.diff(shard, prepend=shard[0]) != 0) | (np.diff(part, prepend=part[0]) != 0)
+        forest = BKForest(np.cumsum(edge), fp.view(np.uint64))
+        share = ((fp.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(40)).astype(np.int64) % slices
+        asks = np.flatnonzero(share == part)
+        label = forest.components(radius, asking=asks)
+        linked = np.flatnonzero(label != np.arange(len(fp)))
+        return pa.RecordBatch.from_arrays([pa.array(fp[linked]), pa.array(fp[label[linked]])], ["u", "v"])
 
     def search(batches):
-        tail_shard, tail_fp = np.zeros(0, np.int64), np.zeros(0, np.int64)
-
-        def stars(shard, fp):
-            forest = BKForest(shard, fp.view(np.uint64))
-            label = forest.components(radius)
-            linked = np.flatnonzero(label != np.arange(len(fp)))
-            return pa.RecordBatch.from_arrays([pa.array(fp[linked]), pa.array(fp[label[linked]])], ["u", "v"])
-
+        held, size = [], 0
         for batch in batches:
-            shard = np.concatenate([tail_shard, batch.column("shard").to_numpy()])
-            fp = np.concatenate([tail_fp, batch.column("fp").to_numpy()])
-            whole = np.searchsorted(shard, shard[-1]) if len(shard) else 0  # the last shard may go on
-            if whole:
-                yield stars(shard[:whole], fp[:whole])
-            tail_shard, tail_fp = shard[whole:], fp[whole:]
-        if len(tail_fp):
-            yield stars(tail_shard, tail_fp)
-
-    return shared.select("shard", "fp").mapInArrow(search, "u long, v long")
+            held.append(batch)
+            size += batch.num_rows
+            if size < 4 * SHARD:
+                continue
+            rows = pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+            shard, part = rows.column("shard").to_numpy(), rows.column("slice").to_numpy()
+            whole = int(np.flatnonzero((shard != shard[-1]) | (part != part[-1]))[-1] + 1) if (shard[0], part[0]) != (shard[-1], part[-1]) else 0
+            if whole:  # the last shard may go on
+                yield stars(rows.slice(0, whole))
+                rows = rows.slice(whole)
+                held, size = [rows], rows.num_rows
+        if size:
+            yield stars(pa.Table.from_batches(held).combine_chunks().to_batches()[0])
+
+    return shared.select("shard", "slice", "slices", "fp").mapInArrow(search, "u long, v long")
 
 
 def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", radius: int = 4, width: int = 4) -> DataFrame:
@@ -215,13 +250,15 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     smallest id reachable. Null and wordless texts have fingerprint zero and
     are linked like any other. Rows that repeat an id each get a row; a null
     id joins its group but is never its least id unless all are null. The
-    table may be empty; columns besides id and text are not read.
+    table may be empty; columns besides id and text are not read. A long text
+    is hashed piece by piece.
     """
     prints = cut(fingerprints(docs, id_col=id_col, text_col=text_col, width=width).withColumnRenamed(id_col, "id"))
     distinct = cut(prints.groupBy("fp").agg(F.min("id").alias("least")))
     groups = connected_components(links(distinct.select("fp"), radius))
     grouped = distinct.join(groups, distinct.fp == groups.node, "left").select("fp", "least", F.coalesce("component", "fp").alias("component"))
-    named = grouped.groupBy("component").agg(F.min("least").alias("component_id"))
+    # the least ids are combined before their shuffle and dealt anew, so that Spark can split a large component in the join
+    named = grouped.groupBy("component").agg(F.min("least").alias("component_id")).repartition(partitions(docs.sparkSession))
     labels = grouped.select("fp", "component").join(named, "component").select("fp", "component_id")
     return prints.join(labels, "fp").select(
         F.col("id").alias(id_col),

@@ -92,3 +92,24 @@ def test_components(spark, edges):
             if u != v:
                 label[u] = label[v] = min(label[u], label[v])
     assert found == label
+
+
+def test_a_large_shard_is_split_without_losing_links(spark, monkeypatch):
+    monkeypatch.setattr(simhash, "SHARD", 16)
+    rng = np.random.default_rng(9)
+    values = sorted({int(5 ^ (1 << int(a)) ^ (1 << int(b)) ^ (1 << int(c))) for a, b, c in rng.integers(0, 62, (250, 3))})
+    frame = spark.createDataFrame([(v,) for v in values], "fp long")
+    found = {r["node"]: r["component"] for r in _graph.connected_components(simhash.links(frame, 4)).collect()}
+    want = {v: values[g] for v, g in zip(values, groups(values), strict=True)}
+    assert {v: found.get(v, v) for v in values} == want
+
+
+def test_long_texts_are_hashed_in_pieces():
+    text = "  one two\tthree FOUR five six\nseven " * 40 + "last"
+    for width in (1, 4, 5):
+        whole = [x for own in simhash.shingle_hashes(text, width) for x in own]
+        for piece in (1, 7, 64):
+            assert [x for own in simhash.shingle_hashes(text, width, piece) for x in own] == whole
+    assert list(simhash.shingle_hashes("a b", 4, 1)) == list(simhash.shingle_hashes("a b", 4))
+    long = "word%d " * 9 % tuple(range(9)) * 300_000
+    assert int(simhash._fingerprint_chunk([long], 4).view(np.uint64)[0]) == fingerprint(long)
