@@ -1,10 +1,10 @@
 """A training-data pipeline: every stage works on all that the one before kept.
 
 Stages, in order: language identification drops texts whose language cannot be
-told; SimHash keeps one document of each near-duplicate group; the secret scan
-redacts; documents that share four fifths of their five-word shingles with
-another then leave one of them; mixing draws documents so that sources come near their target
-weights; SentencePiece turns what is left into ids.
+told; SimHash, completed to all links of a five-word similarity of 0.8, keeps
+one document of each near-duplicate group; the secret scan redacts; mixing
+draws documents so that sources come near their target weights; SentencePiece
+turns what is left into ids.
 """
 
 from __future__ import annotations
@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rasterloom.llm import language_id, mixing, near_copies, secret_scan, sentencepiece_codec, simhash
+from rasterloom.llm import language_id, mixing, near_copies, secret_scan, sentencepiece_codec
 from rasterloom.llm._common import cut
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -43,10 +43,16 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep one row of each group: that with the smallest id, null ids last; rows of one id go by a hash of their text."""
-    named = docs.select(_row(["text"]).alias("row"), "text")
-    kept = simhash.near_duplicates(named, id_col="row").where("is_representative").select("row").distinct()
-    return _by_row(docs, ["text"]).join(kept, "row", "left_semi").select("whole.*")
+    """Keep one row of each group of documents linked by a five-word similarity of 0.8 or more.
+
+    It is the row with the smallest id, null ids last; rows of one id go by a
+    hash of their text. Texts without words are compared whole.
+    """
+    node = F.xxhash64("text", F.col("text").isNull())
+    found = near_copies.groups(docs.where("text is not null").groupBy(node.alias("node")).agg(F.min("text").alias("text")))
+    placed = docs.withColumn("node", node).join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    least = placed.groupBy("component").agg(F.min(F.struct(_row(["text"]).alias("row"), F.struct(*COLUMNS).alias("whole"))).alias("least"))
+    return least.select("least.whole.*")
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -56,15 +62,6 @@ def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     return found.withColumn("text", text).withColumn("n_chars", F.length("text").cast("long")).select(COLUMNS)
 
 
-def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep one row of each group of near copies, chosen as above; rows without words are compared by their text only."""
-    node = F.xxhash64("text", F.col("text").isNull())
-    found = near_copies.groups(docs.where("text is not null").groupBy(node.alias("node")).agg(F.min("text").alias("text")))
-    placed = docs.withColumn("node", node).join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    least = placed.groupBy("component").agg(F.min(F.struct(_row(["text"]).alias("row"), F.struct(*COLUMNS).alias("whole"))).alias("least"))
-    return least.select("least.whole.*")
-
-
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Emit a document as often as the mix takes its words, to the nearest whole number (0 to 2); every row is a document."""
     rest = COLUMNS[1:]
@@ -85,7 +82,6 @@ STAGES = [
     ("language_id", identify_language),
     ("near_duplicates", drop_near_duplicates),
     ("secret_scan", redact_secrets),
-    ("near_copies", drop_near_copies),
     ("source_mixing", mix_sources),
     ("sentencepiece", tokenize),
 ]

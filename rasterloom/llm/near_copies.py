@@ -1,11 +1,17 @@
-"""Near copies: documents whose sets of five-word shingles have a Jaccard similarity of 0.8 or more.
-
-MinHash bands name candidates; a pair at similarity 0.8 shares none of the 32
-bands of five once in 300,000 times. Every candidate link is then confirmed on
-the whole shingle sets. First each document of a bucket meets one pivot of the
-bucket (another in each band), which joins large groups at a linear cost; then
-all pairs of a bucket that are still in different groups meet, so that no
-candidate goes unseen.
+"""Near copies: texts whose sets of five-word shingles have a Jaccard similarity of 0.8 or more.
+
+SimHash proposes links first: five-word fingerprints, searched with BK-trees as
+in `simhash`. At a similarity of 0.8 two fingerprints differ in some ten of 64
+bits, far beyond a radius that any exact search of Hamming balls can afford,
+so most such links would be missed. MinHash bands therefore complete the
+candidates: a pair at 0.8 shares none of the 32 bands of five once in 300,000
+times. Every link is confirmed on the whole shingle sets.
+
+Each text of a bucket first meets the bucket's most central text, that which
+shares the most buckets with others; this joins large groups at a linear cost.
+What is still outside its bucket's main group then meets all of the bucket:
+pair by pair in buckets of a few texts, in blocks inside a task in larger ones,
+so no candidate goes unseen and no list of a large bucket's pairs is written.
 """
 
 from __future__ import annotations
@@ -15,21 +21,31 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._common import arrow_map, cut, slices
+from . import simhash
+from ._common import arrow_map, cut, partitions, slices
 from ._graph import connected_components
-from .simhash import _shingle_hashes
 
 WIDTH, SIMILARITY = 5, 0.8
 BANDS, ROWS = 32, 5
 #: Shingles that are hashed at once.
 CHUNK = 50_000
+#: Texts of a block that asks, and of a block that answers.
+ASKING, ANSWERING = 128, 1024
+#: Buckets up to this size are compared as pairs.
+SMALL = 12
 
 
-def _buckets(sets: list[list[int]]) -> np.ndarray:
+def _hashes(text: str | None) -> np.ndarray:
+    """Hashes of all shingles of a text, repeats included."""
+    pieces = [np.array(own, dtype=np.uint64) for own in simhash.shingle_hashes(text, WIDTH)]
+    return np.concatenate(pieces) if pieces else np.zeros(0, np.uint64)
+
+
+def _buckets(sets: list[np.ndarray]) -> np.ndarray:
     """(text, band): one number per band from the least of each of its hash functions; no set is empty."""
     draw = np.random.default_rng(42)
     times, plus = (draw.integers(0, 1 << 63, BANDS * ROWS, dtype=np.uint64) for _ in range(2))
-    hashes = np.concatenate([np.array(x, dtype=np.uint64) for x in sets])
+    hashes = np.concatenate(sets)
     starts = np.cumsum([0, *map(len, sets[:-1])])
     found = np.zeros((len(sets), BANDS), dtype=np.uint64)
     for band in range(BANDS):
@@ -48,14 +64,14 @@ def _entries(texts: DataFrame) -> DataFrame:
 
     def run(batches):
         def settle():
-            nodes, sets = np.array([n for n, _ in held], dtype=np.int64), [s for _, s in held]
-            return pa.RecordBatch.from_arrays([pa.array(np.repeat(nodes, BANDS)), pa.array(_buckets(sets).ravel())], ["node", "bucket"])
+            nodes = np.array([n for n, _ in held], dtype=np.int64)
+            return pa.RecordBatch.from_arrays([pa.array(np.repeat(nodes, BANDS)), pa.array(_buckets([s for _, s in held]).ravel())], ["node", "bucket"])
 
         for part in slices(batches):
             held, size = [], 0
             for node, text in zip(part.column("node").to_pylist(), part.column("text").to_pylist(), strict=True):
-                own = _shingle_hashes(text, WIDTH)
-                if own:
+                own = _hashes(text)
+                if len(own):
                     held.append((node, own))
                     size += len(own)
                 if size > CHUNK:
@@ -68,11 +84,11 @@ def _entries(texts: DataFrame) -> DataFrame:
 
 
 def _sets(texts: DataFrame) -> DataFrame:
-    """(node, shingles): the distinct shingle hashes."""
+    """(node, shingles): the distinct shingle hashes, in order."""
 
     def run(batches):
         for part in slices(batches):
-            found = [np.unique(np.array(_shingle_hashes(x, WIDTH), dtype=np.uint64)).view(np.int64) for x in part.column("text").to_pylist()]
+            found = [np.unique(_hashes(x)).view(np.int64) for x in part.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([part.column("node"), pa.array(found, pa.list_(pa.int64()))], ["node", "shingles"])
 
     return arrow_map(texts, run, "node long, shingles array<long>")
@@ -87,23 +103,80 @@ def _confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return both.withColumn("same", same).where(F.col("same") >= SIMILARITY * (F.col("nu") + F.col("nv") - F.col("same"))).select("u", "v")
 
 
+def _block_links(key, table):
+    """Stars of the links between the texts of a block that ask and those that answer."""
+    nodes = table.column("node").to_numpy()
+    asks = table.column("asks").to_numpy()
+    lists = table.column("shingles").combine_chunks()
+    flat = lists.flatten().to_numpy().view(np.uint64)
+    sizes = np.diff(lists.offsets.to_numpy())
+    ends = np.cumsum(sizes)
+    starts = ends - sizes
+    one, other = [], []
+    for i in np.flatnonzero(asks):
+        own = flat[starts[i] : ends[i]]
+        at = np.searchsorted(own, flat)
+        hit = own[np.minimum(at, len(own) - 1)] == flat
+        same = np.add.reduceat(hit, starts, dtype=np.int64)
+        near = np.flatnonzero((same >= SIMILARITY * (sizes + sizes[i] - same)) & (nodes != nodes[i]))
+        one.append(np.full(len(near), i))
+        other.append(near)
+    label = simhash._merge(np.arange(len(nodes)), np.concatenate(one or [np.zeros(0, int)]), np.concatenate(other or [np.zeros(0, int)]))
+    linked = np.flatnonzero(label != np.arange(len(nodes)))
+    return pa.table({"u": nodes[linked], "v": nodes[label[linked]]})
+
+
+def _rest(shared: DataFrame, labels: DataFrame, known: DataFrame, sets: DataFrame) -> DataFrame:
+    """Links of texts that are outside the largest group of a bucket with any text of the bucket; `known` pairs are not compared again."""
+    spark = shared.sparkSession
+    placed = cut(shared.join(labels, "node", "left").select("bucket", "node", F.coalesce("component", "node").alias("label")))
+    counts = placed.groupBy("bucket", "label").agg(F.count("*").alias("n"))
+    mixed = counts.groupBy("bucket").agg(F.max_by("label", F.struct("n", "label")).alias("major"), F.max("n").alias("most"), F.sum("n").alias("n"), F.count("*").alias("k")).where("k > 1")
+    mixed = mixed.select(
+        "bucket", "major", "n", F.ceil((F.col("n") - F.col("most")) / ASKING).cast("int").alias("askers"), F.ceil(F.col("n") / ANSWERING).cast("int").alias("answerers")
+    ).repartition(partitions(spark))  # dealt anew, so that Spark can split a large bucket
+    rows = cut(placed.join(mixed, "bucket"))
+
+    few = rows.where(F.col("n") <= SMALL)
+    one = few.where("label <> major").select("bucket", F.col("node").alias("a"), F.col("label").alias("la"))
+    other = few.select("bucket", F.col("node").alias("b"), F.col("label").alias("lb"), "major")
+    pairs = one.join(other, "bucket").where("la <> lb and (lb = major or a < b)").select(F.least("a", "b").alias("u"), F.greatest("a", "b").alias("v")).distinct()
+    linked = _confirmed(pairs.join(known, ["u", "v"], "left_anti"), sets)
+
+    many = rows.where(F.col("n") > SMALL)
+    place = lambda salt, n: F.pmod(F.xxhash64(F.lit(salt), "node"), F.col(n)).cast("int")
+    asking = many.where("label <> major").select("bucket", "node", F.lit(True).alias("asks"), place(1, "askers").alias("a"), F.explode(F.sequence(F.lit(0), F.col("answerers") - 1)).alias("b"))
+    answering = many.select("bucket", "node", F.lit(False).alias("asks"), F.explode(F.sequence(F.lit(0), F.col("askers") - 1)).alias("a"), place(2, "answerers").alias("b"))
+    blocks = asking.unionByName(answering).join(sets, "node")
+    return linked.unionByName(blocks.groupBy("bucket", "a", "b").applyInArrow(_block_links, "u long, v long"))
+
+
 def groups(texts: DataFrame) -> DataFrame:
-    """From (node long, text), one row per distinct text, to (node, component) of all texts that have a near copy."""
-    entries = cut(_entries(texts))
-    pivots = entries.groupBy("bucket").agg(F.count("*").alias("n"), F.min_by("node", F.xxhash64("node", "bucket")).alias("pivot")).where("n > 1")
-    shared = cut(entries.join(pivots, "bucket").select("bucket", "node", "pivot"))
-    sets = cut(_sets(texts.join(shared.select("node").distinct(), "node", "left_semi").select("node", "text")))
-    ordered = (F.least("a", "b").alias("u"), F.greatest("a", "b").alias("v"))
+    """From (node long, text), one row per distinct text, to (node, component) of all texts that have a near copy.
+
+    A text without words is near to none. A long text is hashed piece by
+    piece; its set of hashes is held whole. The table may be empty.
+    """
+    spark = texts.sparkSession
+    prints = cut(simhash.fingerprints(texts, id_col="node", width=WIDTH))
+    first = cut(prints.groupBy("fp").agg(F.min("node").alias("first"), F.count("*").alias("n")))
+    close = simhash.links(first.select("fp"), 4)
+    ends = first.select("fp", "first")
+    proposed = close.join(ends.select(F.col("fp").alias("u"), F.col("first").alias("a")), "u").join(ends.select(F.col("fp").alias("v"), F.col("first").alias("b")), "v").select("a", "b")
+    twice = first.where("n > 1").select("fp", "first").repartition(partitions(spark))
+    proposed = proposed.unionByName(prints.join(twice, "fp").where("node <> first").select(F.col("node").alias("a"), F.col("first").alias("b")))
 
-    stars = shared.where("node <> pivot").select(F.col("node").alias("a"), F.col("pivot").alias("b")).select(*ordered).distinct()
-    near = cut(_confirmed(stars, sets))
-    labels = connected_components(near)
-    placed = cut(shared.join(labels, "node", "left").select("bucket", "node", F.coalesce("component", "node").alias("label")))
+    entries = cut(_entries(texts))
+    sizes = entries.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1").repartition(partitions(spark))
+    shared = cut(entries.join(sizes, "bucket").select("bucket", "node", "n"))
+    central = shared.groupBy("node").agg(F.sum("n").alias("c"))
+    pivots = shared.join(central, "node").groupBy("bucket").agg(F.max_by("node", F.struct("c", "node")).alias("pivot")).repartition(partitions(spark))
+    stars = shared.join(pivots, "bucket").where("node <> pivot").select(F.col("node").alias("a"), F.col("pivot").alias("b"))
 
-    major = placed.groupBy("bucket", "label").agg(F.count("*").alias("n")).groupBy("bucket").agg(F.max_by("label", F.struct("n", "label")).alias("major"), F.count("*").alias("k")).where("k > 1")
-    mixed = cut(placed.join(major, "bucket").drop("k"))
-    one = mixed.where("label <> major").select("bucket", F.col("node").alias("a"), F.col("label").alias("la"))
-    other = mixed.select("bucket", F.col("node").alias("b"), F.col("label").alias("lb"), "major")
-    apart = one.join(other, "bucket").where("la <> lb and (lb = major or a < b)").select(*ordered).distinct()
-    more = _confirmed(apart.join(stars, ["u", "v"], "left_anti"), sets)
+    ordered = (F.least("a", "b").alias("u"), F.greatest("a", "b").alias("v"))
+    pairs = cut(proposed.unionByName(stars).select(*ordered).distinct())
+    needed = pairs.select(F.explode(F.array("u", "v")).alias("node")).unionByName(shared.select("node")).distinct()
+    sets = cut(_sets(texts.join(needed, "node", "left_semi").select("node", "text")).where(F.size("shingles") > 0))
+    near = cut(_confirmed(pairs, sets))
+    more = _rest(shared.select("bucket", "node"), connected_components(near), pairs, sets)
     return connected_components(near.unionByName(more))

@@ -2,7 +2,10 @@
 
 import random
 
+import pytest
+
 import corpus_pipeline
+from rasterloom.llm import near_copies
 
 SF = "/root/testdata/sf0.01"
 
@@ -37,12 +40,16 @@ def wanted(rows):
 def test_no_near_copy_of_the_table_stays(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     rows = [(r["doc_id"], r["text"]) for r in docs.collect()]
-    kept = {r["doc_id"] for r in corpus_pipeline.drop_near_copies(spark, docs, SF).collect()}
+    kept = {r["doc_id"] for r in corpus_pipeline.drop_near_duplicates(spark, docs, SF).collect()}
     assert kept == wanted(rows) and len(kept) < len({t for _, t in rows})
-    assert ["near_copies", "source_mixing"] == [n for n, _ in corpus_pipeline.STAGES[3:5]]
+    assert [n for n, _ in corpus_pipeline.STAGES] == ["language_id", "near_duplicates", "secret_scan", "source_mixing", "sentencepiece"]
 
 
-def test_chains_large_groups_and_near_misses(spark, docs_of):
+@pytest.mark.parametrize("small", [0, near_copies.SMALL])
+def test_chains_large_groups_and_near_misses(spark, docs_of, monkeypatch, small):
+    monkeypatch.setattr(near_copies, "SMALL", small)
+    monkeypatch.setattr(near_copies, "ASKING", 16)
+    monkeypatch.setattr(near_copies, "ANSWERING", 32)
     rng = random.Random(3)
     base = [f"w{rng.randrange(5000)}" for _ in range(200)]
     rows = []
@@ -54,12 +61,12 @@ def test_chains_large_groups_and_near_misses(spark, docs_of):
     chain = [f"c{k}" for k in range(300)]
     rows += [(1000 + k, " ".join(chain[k * 15 : k * 15 + 200])) for k in range(6)]
     docs = docs_of([(i, t, "en", "a") for i, t in rows]).select(corpus_pipeline.COLUMNS)
-    assert {r["doc_id"] for r in corpus_pipeline.drop_near_copies(spark, docs, SF).collect()} == wanted(rows)
+    assert {r["doc_id"] for r in corpus_pipeline.drop_near_duplicates(spark, docs, SF).collect()} == wanted(rows)
 
 
 def test_rows_without_words_or_id(spark, docs_of):
     rows = [(1, None), (2, ""), (3, "  "), (None, "a b c d e f"), (None, "g h i j k l"), (4, "g h i j k l"), (4, "m n o p q r")]
     docs = docs_of([(i, t, "en", "a") for i, t in rows]).select(corpus_pipeline.COLUMNS)
-    kept = {(r["doc_id"], r["text"]) for r in corpus_pipeline.drop_near_copies(spark, docs, SF).collect()}
+    kept = {(r["doc_id"], r["text"]) for r in corpus_pipeline.drop_near_duplicates(spark, docs, SF).collect()}
     assert kept == {*rows} - {(None, "g h i j k l")}
-    assert corpus_pipeline.drop_near_copies(spark, docs.limit(0), SF).count() == 0
+    assert corpus_pipeline.drop_near_duplicates(spark, docs.limit(0), SF).count() == 0

@@ -49,11 +49,10 @@ def test_language_stage_drops_only_texts_without_language(stages):
 
 
 def test_one_document_of_each_group_stays(stages):
-    from test_simhash import fingerprint, groups
+    from test_near_copies import wanted
 
-    rows = sorted(stages["language_id"].collect(), key=lambda r: r["doc_id"])
-    label = groups([fingerprint(r["text"]) for r in rows])
-    assert {r["doc_id"] for r in stages["near_duplicates"].collect()} == {rows[g]["doc_id"] for g in label}
+    rows = [(r["doc_id"], r["text"]) for r in stages["language_id"].collect()]
+    assert {r["doc_id"] for r in stages["near_duplicates"].collect()} == wanted(rows)
 
 
 def test_secrets_are_gone_and_documents_stay(stages):
@@ -107,11 +106,9 @@ def _keyed(docs_of):
 
 
 def test_one_row_of_each_group_stays_whatever_its_id(spark, docs_of):
-    from test_simhash import fingerprint, groups
-
     kept = sorted(((r["doc_id"], r["text"]) for r in corpus_pipeline.drop_near_duplicates(spark, _keyed(docs_of), SF).collect()), key=str)
     rows = sorted(KEYED, key=lambda r: (r[0] is None, r[0] or 0))
-    label = groups([fingerprint(r[1]) for r in rows])
+    label = [next(i for i, other in enumerate(rows) if other[1] == r[1]) for r in rows]  # equal texts only; no two others are near
     found = [next(g for g, r in zip(label, rows, strict=True) if r[:2] == k) for k in kept]
     assert sorted(found) == sorted(set(label))  # every group once
     assert [k[0] for k in kept] == [rows[g][0] for g in found]
