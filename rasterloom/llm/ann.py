@@ -1,14 +1,16 @@
 """Approximate nearest neighbours by inner product: one HNSW graph per shard.
 
-Equal vectors collapse to one node, nodes are dealt to shards of bounded size
-by a hash, and each shard's hierarchical navigable small-world graph is kept
-as one row of flat arrays. Queries, packed in blocks, are joined to every
-shard; a block walks a graph in lockstep (greedy through the upper layers, a
-beam in the lowest), shard results are scored exactly and merged.
+Equal vectors collapse to one node. Nodes are dealt to shards of bounded size
+by the power of two of their length and a hash, so that lengths inside a shard
+differ by a factor of two at most; each shard's hierarchical navigable
+small-world graph is kept as one row of flat arrays. Queries, packed in
+blocks, are joined to every shard; a block walks a graph in lockstep (greedy
+through the upper layers, a beam in the lowest), the whole beam is scored
+exactly, and shard results are merged.
 
 Largest inner product becomes nearest distance by one extra coordinate,
 sqrt(longest^2 - length^2), which is 0 for queries; graphs are built and
-walked in that space.
+walked in that space, each shard scaled to its own longest vector.
 """
 
 from __future__ import annotations
@@ -20,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ._common import cut
+from ._common import cut, partitions
 
 
 @dataclass(frozen=True)
@@ -42,6 +44,13 @@ def usable(vector: Column) -> Column:
     return F.coalesce(vector.isNotNull() & fine & F.exists(vector, lambda x: x != 0), F.lit(False))
 
 
+def band(vector: Column) -> Column:
+    """The power of two of the vector's length; taken over its largest component first, so that nothing overflows."""
+    top = F.array_max(F.transform(vector, F.abs))
+    squares = F.aggregate(vector, F.lit(0.0), lambda total, x: total + (x / top) * (x / top))
+    return F.floor(F.log2(top) + F.log2(squares) / 2).cast("int")
+
+
 # ---- graphs, in numpy -------------------------------------------------------
 
 
@@ -88,16 +97,17 @@ def _layer(points: np.ndarray, links: int, candidates: int) -> np.ndarray:
 class Graph:
     """Layers of one shard: `members[i]` are rows of layer i (layer 0 has all), `links[i]` their neighbours as rows."""
 
-    def __init__(self, vectors: np.ndarray, layers: list[tuple[np.ndarray, np.ndarray]], longest: float):
+    def __init__(self, vectors: np.ndarray, layers: list[tuple[np.ndarray, np.ndarray]]):
         self.vectors, self.layers = vectors, layers
-        lengths = np.einsum("nd,nd->n", vectors, vectors)
-        extra = np.sqrt(np.maximum(longest**2 - lengths, 0))
-        self.points = np.hstack([vectors, extra[:, None]]).astype(np.float32)
+        scaled = vectors / np.abs(vectors).max()
+        lengths = np.einsum("nd,nd->n", scaled, scaled)
+        longest = lengths.max()
+        extra = np.sqrt(np.maximum(1 - lengths / longest, 0))
+        self.points = np.hstack([scaled / np.sqrt(longest), extra[:, None]]).astype(np.float32)
 
     @classmethod
     def build(cls, vectors: np.ndarray, options: GraphOptions) -> Graph:
-        longest = float(np.sqrt(np.einsum("nd,nd->n", vectors, vectors).max()))
-        graph = cls(vectors, [], longest)
+        graph = cls(vectors, [])
         members, ratio = np.arange(len(vectors)), options.layer_ratio
         links = options.links
         while True:
@@ -109,10 +119,14 @@ class Graph:
             # every ratio-th row; rows come in hash order, so this is a random choice that reruns repeat
             members, links = members[::ratio], options.links // 2
 
-    def search(self, queries: np.ndarray, options: GraphOptions) -> tuple[np.ndarray, np.ndarray]:
-        """Rows (q, beam) and inner products, best first; -1 where a query found fewer."""
+    def search(self, queries: np.ndarray, options: GraphOptions) -> np.ndarray:
+        """Rows (q, beam) that the walk ends with, -1 where a query found fewer; a graph of a few beams is scanned."""
         q = len(queries)
-        asked = np.hstack([queries, np.zeros((q, 1))]).astype(np.float32)
+        scaled = queries / np.abs(queries).max(axis=1, keepdims=True)
+        asked = np.hstack([scaled, np.zeros((q, 1))]).astype(np.float32)
+        if len(self.points) <= 4 * options.beam:
+            width = min(options.beam, len(self.points))
+            return np.argpartition(-(asked @ self.points.T), width - 1, axis=1)[:, :width]
         at = np.repeat(self.layers[-1][0][:1], q).astype(np.int64)
         score = np.einsum("qd,qd->q", asked, self.points[at])
         for members, links in reversed(self.layers[1:]):
@@ -168,8 +182,7 @@ class Graph:
             value[active] = np.take_along_axis(pool, keep, 1)
             found[active] = np.take_along_axis(np.hstack([found[active], around]), keep, 1)
             done[active] = np.take_along_axis(np.hstack([done[active], np.zeros_like(fresh)]), keep, 1)
-        order = np.argsort(-value, axis=1, kind="stable")
-        return np.take_along_axis(found, order, 1), np.take_along_axis(value, order, 1)
+        return found
 
 
 # ---- index and search, in Spark ---------------------------------------------
@@ -187,8 +200,8 @@ def distinct_nodes(rows: DataFrame, k: int) -> DataFrame:
     return least.groupBy("v").agg(F.min("id").alias("node"), F.sort_array(F.collect_list("id")).alias("members"))
 
 
-def build_index(nodes: DataFrame, shards: int, options: GraphOptions) -> DataFrame:
-    """One row per (dim, shard): node ids, vectors and layers as bytes of flat arrays."""
+def build_index(nodes: DataFrame, bands: DataFrame, options: GraphOptions) -> DataFrame:
+    """One row per (dim, band, shard): node ids, vectors and layers as bytes of flat arrays."""
 
     def build(table):
         order = np.argsort(table.column("h").to_numpy(), kind="stable")
@@ -196,24 +209,26 @@ def build_index(nodes: DataFrame, shards: int, options: GraphOptions) -> DataFra
         vectors = np.stack(table.column("v").combine_chunks().values.to_numpy().reshape(len(order), -1))[order]
         graph = Graph.build(vectors, options)
         return pa.table({
-            "dim": pa.array([vectors.shape[1]], pa.int32()), "shard": table.column("shard").slice(0, 1), "ids": pa.array([ids.astype("<i8").tobytes()]),
+            "dim": pa.array([vectors.shape[1]], pa.int32()), "band": table.column("band").slice(0, 1), "shard": table.column("shard").slice(0, 1), "ids": pa.array([ids.astype("<i8").tobytes()]),
             "vectors": pa.array([vectors.astype("<f8").tobytes()]), "members": pa.array([[m.astype("<i4").tobytes() for m, _ in graph.layers]]),
             "links": pa.array([[x.astype("<i4").tobytes() for _, x in graph.layers]]),
         })
 
-    dealt = nodes.select("node", "v", F.size("v").alias("dim"), F.xxhash64("node").alias("h")).withColumn("shard", F.pmod("h", F.lit(shards)).cast("int"))
-    schema = "dim int, shard int, ids binary, vectors binary, members array<binary>, links array<binary>"
-    return dealt.groupBy("dim", "shard").applyInArrow(build, schema)
+    dealt = nodes.select("node", "v", "dim", "band", F.xxhash64("node").alias("h")).join(F.broadcast(bands), ["dim", "band"])
+    dealt = dealt.withColumn("shard", F.pmod("h", F.col("shards")).cast("int")).drop("shards")
+    schema = "dim int, band int, shard int, ids binary, vectors binary, members array<binary>, links array<binary>"
+    return dealt.groupBy("dim", "band", "shard").applyInArrow(build, schema)
 
 
-def search_index(index: DataFrame, queries: DataFrame, shards: int, blocks: int, k: int, options: GraphOptions) -> DataFrame:
-    """(query node, node, score): the best k + 1 nodes that each shard gives each query vector."""
+def search_index(index: DataFrame, queries: DataFrame, bands: DataFrame, blocks: int, options: GraphOptions) -> DataFrame:
+    """(query node, node, score): what each shard gives each query vector, with exact scores."""
     packed = (
         queries.withColumn("block", F.pmod(F.xxhash64("node", F.lit(1)), F.lit(blocks)))
-        .groupBy(F.size("v").alias("dim"), "block").agg(F.collect_list(F.struct("node", "v")).alias("asked"))
-        .withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))))
+        .groupBy("dim", "block").agg(F.collect_list(F.struct("node", "v")).alias("asked"))
+        .join(F.broadcast(bands), "dim").withColumn("shard", F.explode(F.expr("sequence(0, shards - 1)")))
     )
-    pairs = packed.join(index, ["dim", "shard"]).repartition(max(1, shards * blocks), "shard", "block")
+    shards = bands.agg(F.sum("shards")).first()[0] or 1
+    pairs = packed.join(index, ["dim", "band", "shard"]).repartition(max(partitions(index.sparkSession), min(shards * blocks, 10_000)), "band", "shard", "block")
 
     def search(batches):
         for batch in batches:
@@ -223,14 +238,13 @@ def search_index(index: DataFrame, queries: DataFrame, shards: int, blocks: int,
                 ids = np.frombuffer(row["ids"].as_buffer(), "<i8")
                 vectors = np.frombuffer(row["vectors"].as_buffer(), "<f8").reshape(-1, dim)
                 layers = [(m := np.frombuffer(a.as_buffer(), "<i4"), np.frombuffer(b.as_buffer(), "<i4").reshape(len(m), -1)) for a, b in zip(row["members"], row["links"], strict=True)]
-                graph = Graph(vectors, layers, float(np.sqrt(np.einsum("nd,nd->n", vectors, vectors).max())))
+                graph = Graph(vectors, layers)
                 asked = row["asked"].values
                 query_ids = asked.field("node").to_numpy()
                 query = asked.field("v").flatten().to_numpy().reshape(len(query_ids), dim)
                 for start in range(0, len(query_ids), 512):
                     part = query[start : start + 512]
-                    found, _ = graph.search(part, options)
-                    found = found[:, : k + 1]
+                    found = graph.search(part, options)
                     who, column = np.nonzero(found >= 0)
                     got = found[who, column]
                     exact = np.einsum("nd,nd->n", part[who], vectors[got])
@@ -246,20 +260,22 @@ def nearest(
 
     `query` defaults to ids divisible by 20. Vectors that are null, zero, or
     hold null or non-finite components take no part, nor do rows without an
-    id; vectors of another length are never compared. Equal scores go to the
-    smaller id. Repeated rows count once. An empty table gives no rows.
+    id; vectors of another length are never compared. Lengths may differ by
+    any factor; a product beyond the range of doubles is infinite. Equal
+    scores go to the smaller id. Repeated rows count once. An empty table
+    gives no rows, and other columns are not read.
     """
     rows = table.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).cast("array<double>").alias("v"), (query if query is not None else F.col(id_col) % 20 == 0).alias("asks"))
     rows = rows.where(F.col("id").isNotNull() & usable(F.col("v")))
-    nodes = cut(distinct_nodes(rows.select("id", "v"), k).withColumn("key", F.xxhash64("v")))
+    nodes = cut(distinct_nodes(rows.select("id", "v"), k).withColumns({"key": F.xxhash64("v"), "dim": F.size("v"), "band": band(F.col("v"))}))
     asking = rows.where("asks").select("id", "v").distinct().withColumn("key", F.xxhash64("v"))
     asking = cut(asking.join(nodes.select("key", F.col("v").alias("w"), "node"), "key").where(F.col("v") == F.col("w")).select("id", "node"))
-    count = nodes.agg(F.count("*")).first()[0]
-    shards = max(1, -(-count // options.shard_rows))
-    queries = nodes.select("node", "v").join(asking.select("node").distinct(), "node")
+    # one row for each length of vectors and power of two, of which doubles have 2,098: small enough to broadcast
+    bands = cut(nodes.groupBy("dim", "band").agg(F.ceil(F.count("*") / options.shard_rows).cast("int").alias("shards")))
+    queries = nodes.select("node", "v", "dim").join(asking.select("node").distinct(), "node")
     blocks = max(1, -(-asking.select("node").distinct().count() // options.block_queries))
-    index = cut(build_index(nodes, shards, options))
-    found = search_index(index, queries, shards, blocks, k, options)
+    index = cut(build_index(nodes, bands, options))
+    found = search_index(index, queries, bands, blocks, options)
     best = Window.partitionBy("query").orderBy(F.desc("score"), "node")
     found = found.withColumn("r", F.row_number().over(best)).where(F.col("r") <= k + 1).join(nodes.select("node", "members"), "node")
     lists = found.groupBy("query").agg(F.collect_list(F.struct("score", "members")).alias("hits"))

@@ -46,6 +46,28 @@ def test_recall_on_a_table(spark):
         assert np.mean([len(set(got[q]) & set(want[q])) / 20 for q in want]) >= 0.95
 
 
+@pytest.mark.parametrize("lengths", ["outlier 1e4", "outlier 1e200", "lognormal", "tiny"])
+def test_recall_whatever_the_lengths(spark, lengths):
+    rng = np.random.default_rng(11)
+    vectors = rng.normal(size=(3000, 24))
+    vectors /= np.linalg.norm(vectors, axis=1, keepdims=True)
+    if lengths.startswith("outlier"):
+        vectors[[7, 20]] *= float(lengths.split()[1])
+    elif lengths == "lognormal":
+        vectors *= rng.lognormal(0, 1.5, (3000, 1))
+    else:
+        vectors *= 1e-160
+        vectors[9] *= 1e150
+    rows = [(i, [float(x) for x in v]) for i, v in enumerate(vectors)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    want = brute_nearest(rows, 20)
+    if lengths == "tiny":  # their products fall below the least double, so scores do not tell them apart
+        want = {q: want[q][:1] for q in want}
+    got = ranked(frame, options=ann.GraphOptions(shard_rows=500, block_queries=64))
+    assert set(got) == set(want)
+    assert np.mean([len(set(got[q]) & set(want[q])) / len(want[q]) for q in want]) >= 0.95
+
+
 def test_awkward_vectors(spark):
     inf, nan = float("inf"), float("nan")
     rows = [(0, [1.0, 0.0]), (20, [1.0, 0.0]), (40, None), (60, [0.0, 0.0]), (80, [nan, 1.0]), (100, [inf, 1.0]), (120, [None, 1.0]), (140, []), (None, [1.0, 1.0])]
