@@ -24,13 +24,19 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._common import arrow_map, slices
+from ._common import arrow_map, cut, partitions, slices
 
 #: Stands for a null id; smaller than every other.
 NO_ID = -(1 << 63)
 BASE = 0x9E3779B97F4A7C15
-#: Anchors in more places than this are hot; their runs are cut into short blocks.
-HOT = 20_000
+#: Anchors in more places than these are hot, or very hot; their runs are cut into shorter parts.
+HOT, VERY_HOT = 20_000, 200_000
+#: Windows of one document that are looked at together.
+PIECE = 1 << 20
+#: The low bits of a hash give way to its place, so that the leftmost wins ties; what is left is the same for every text.
+PLACE_BITS = np.uint64(40)
+#: Runs that one group of the later shuffle holds, about.
+GROUP_RUNS = 100_000
 
 
 @cache
@@ -55,7 +61,21 @@ class Runs:
 
 
 def find_runs(symbols: np.ndarray, lengths: np.ndarray, width: int, gram: int) -> Runs:
-    """Runs of documents that lie end to end in `symbols` (uint64)."""
+    """Runs of documents that lie end to end in `symbols`. Runs of a long document also end at multiples of PIECE windows."""
+    if len(symbols) <= PIECE + width:
+        return _runs(symbols, lengths, width, gram)
+    found = []
+    for doc, (start, size) in enumerate(zip((np.cumsum(lengths) - lengths).tolist(), lengths.tolist(), strict=True)):
+        ordinals = 0
+        for at in range(0, max(1, size - width + 1), PIECE):
+            piece = symbols[start + at : start + min(size, at + PIECE + width - 1)]
+            runs = _runs(piece, np.array([len(piece)]), width, gram)
+            found.append(Runs(runs.doc + doc, runs.ordinal + ordinals, runs.first + at, runs.last + at, runs.anchor + at, runs.hash))
+            ordinals += len(runs.doc)
+    return Runs(*(np.concatenate([getattr(x, name) for x in found]) for name in Runs.__dataclass_fields__))
+
+
+def _runs(symbols: np.ndarray, lengths: np.ndarray, width: int, gram: int) -> Runs:
     total = len(symbols)
     offsets = np.cumsum(lengths) - lengths
     windows = np.maximum(lengths - width + 1, 0)
@@ -65,13 +85,12 @@ def find_runs(symbols: np.ndarray, lengths: np.ndarray, width: int, gram: int) -
         return Runs(none, none, none, none, none, none)
     start = np.arange(len(doc)) - np.repeat(np.cumsum(windows) - windows, windows) + offsets[doc]
     up, down = _powers(1 << max(16, int(total).bit_length()))
-    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum((symbols + np.uint64(1)) * up[:total])])
+    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum((symbols.astype(np.uint64) + np.uint64(1)) * up[:total])])
     grams = (sums[gram:] - sums[:-gram]) * down[: total - gram + 1]
     grams *= np.uint64(0xD6E8FEB86659FD93)
     grams ^= grams >> np.uint64(32)
     grams *= np.uint64(0xD6E8FEB86659FD93)
-    shift = np.uint64(max(24, int(total).bit_length()))  # low bits hold the place, so that the leftmost wins ties
-    low = np.uint64((1 << int(shift)) - 1)
+    low = (np.uint64(1) << PLACE_BITS) - np.uint64(1)
     least = (grams & ~low) | np.arange(len(grams), dtype=np.uint64)
     span, reach = width - gram + 1, 1
     while reach * 2 <= span:
@@ -111,8 +130,8 @@ class Corpus:
         firsts = same.groupBy("h", "h2").agg(F.min("k").alias("k"), F.count("*").alias("copies")).select("k", "h", "copies")
         return cls(rows, firsts)
 
-    def repeated_runs(self, symbols: Symbols, width: int, gram: int, hot: int = HOT) -> DataFrame:
-        """(k, h, runs): for each distinct text the runs with a repeated anchor, as 2 * ordinal, plus 1 if the anchor is hot."""
+    def repeated_runs(self, symbols: Symbols, width: int, gram: int) -> DataFrame:
+        """(k, h, runs): for each distinct text the runs with a repeated anchor, as 4 * ordinal, plus 1 if the anchor is hot or 2 if very hot."""
 
         def anchors(batches):
             for part in chunks(batches):
@@ -126,10 +145,15 @@ class Corpus:
         # counts are combined before their shuffle and dealt anew, so that the join does not inherit the
         # grouping's partitions and Spark can split the side of a frequent anchor
         places = found.groupBy("anchor").agg(F.count("*").alias("places")).where("places > 1")
-        places = places.repartition(int(found.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+        places = places.repartition(partitions(found.sparkSession))
         repeated = found.join(places, "anchor")
-        code = F.col("r") * 2 + (F.col("places") > hot).cast("int")
-        return repeated.groupBy("k", "h").agg(F.collect_list(code).alias("runs"))
+        code = F.col("r") * 4 + (F.col("places") > HOT).cast("int") + (F.col("places") > VERY_HOT).cast("int")
+        return cut(repeated.groupBy("k", "h").agg(F.collect_list(code).alias("runs")))
+
+    def groups(self, runs: DataFrame) -> int:
+        """Groups to deal the runs to, so that a group's size does not grow with the corpus."""
+        total = runs.agg(F.sum(F.size("runs"))).first()[0] or 0
+        return max(4 * partitions(runs.sparkSession), -(-total // GROUP_RUNS))
 
     def with_runs(self, runs: DataFrame) -> DataFrame:
         return self.rows.join(runs.hint("shuffle_hash"), ["k", "h"]).select("k", "h", "text", "runs")
@@ -141,12 +165,12 @@ class Corpus:
 
 
 def chosen(part: pa.RecordBatch, runs: Runs) -> tuple[np.ndarray, np.ndarray]:
-    """Indices of the runs that a chunk's `runs` column names, and whether each is hot."""
+    """Indices of the runs that a chunk's `runs` column names, and how hot each is: 0, 1 or 2."""
     lists = part.column("runs")
     codes = lists.flatten().to_numpy()
     owner = np.repeat(np.arange(part.num_rows), pa.compute.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int64))
     first = np.searchsorted(runs.doc, np.arange(part.num_rows))
-    return first[owner] + (codes >> 1), (codes & 1).astype(bool)
+    return first[owner] + (codes >> 2), codes & 3
 
 
 def merge_spans(spans: list[dict] | None, size: int) -> list[tuple[int, int]]:

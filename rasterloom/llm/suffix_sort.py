@@ -13,7 +13,9 @@ and common left contexts tell which windows are equal.
 
 Equal suffixes of one map task travel once, whatever their number. Runs of hot
 anchors are cut into blocks of a few windows, whose anchor is all that these
-windows share, so that a hot group splits by content.
+windows share, so that a hot group splits by content. Very hot ones, whose
+blocks could still meet in one group by the hundred thousand, go window by
+window, each named by a 128-bit hash.
 """
 
 from __future__ import annotations
@@ -23,6 +25,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -38,7 +41,7 @@ PAIRWISE = 40
 
 def byte_symbols(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, list]:
     joined = np.frombuffer(b"".join(texts), dtype=np.uint8)
-    return joined.astype(np.uint64), np.fromiter(map(len, texts), np.int64, len(texts)), texts
+    return joined, np.fromiter(map(len, texts), np.int64, len(texts)), texts
 
 
 # ---- front-coded runs ---------------------------------------------------------
@@ -201,15 +204,19 @@ def _spans(mask: int, left: int, at: int, width: int) -> Iterator[tuple[int, int
 
 
 def _suffixes(part: pa.RecordBatch, width: int) -> Iterator[tuple[int, bytes, bytes, int, int, int]]:
-    """(kind, right, left, k, h, first window) of the chosen runs; kind 1 is a block of a hot run."""
+    """(kind, right, left, k, h, first window) of the chosen runs; kind 1 is a block of a hot run, kind 2 the hash of a window of a very hot one."""
     texts = part.column("text").to_pylist()
     values, lengths, _ = byte_symbols(texts)
     runs = find_runs(values, lengths, width, GRAM)
     index, hot = chosen(part, runs)
     ks, hs = part.column("k").to_pylist(), part.column("h").to_pylist()
-    for doc, first, last, anchor, is_hot in zip(runs.doc[index].tolist(), runs.first[index].tolist(), runs.last[index].tolist(), runs.anchor[index].tolist(), hot.tolist(), strict=True):
+    for doc, first, last, anchor, heat in zip(runs.doc[index].tolist(), runs.first[index].tolist(), runs.last[index].tolist(), runs.anchor[index].tolist(), hot.tolist(), strict=True):
         text = texts[doc]
-        if not is_hot:
+        if heat == 2:
+            for at in range(first, last + 1):
+                yield 2, xxhash.xxh3_128_digest(text[at : at + width]), b"", ks[doc], hs[doc], at
+            continue
+        if not heat:
             yield 0, text[anchor : last + width], text[first:anchor], ks[doc], hs[doc], first
             continue
         for j in range((anchor - last) // BLOCK, (anchor - first) // BLOCK + 1):  # blocks are counted from the anchor
@@ -219,14 +226,21 @@ def _suffixes(part: pa.RecordBatch, width: int) -> Iterator[tuple[int, bytes, by
 
 
 def _core(kind: int, right: bytes, width: int) -> bytes:
-    return right[: width - BLOCK + 1] if kind else right[:GRAM]
+    return right[: _core_size(kind, width)]
+
+
+def _core_size(kind: int, width: int) -> int:
+    """What records of a kind must share to be compared: the anchor's gram, the bytes common to a block's windows, the whole hash."""
+    return (GRAM, width - BLOCK + 1, 16)[kind]
 
 
 SPAN_KIND = 9
 
 
-def removal_spans(corpus: Corpus, width: int, partitions: int, hold: int = 48 << 20) -> DataFrame:
+def removal_spans(corpus: Corpus, width: int, hold: int = 48 << 20) -> DataFrame:
     """(k, h, start, stop) of removed bytes of the distinct texts."""
+    runs = corpus.repeated_runs(byte_symbols, width, GRAM)
+    partitions = corpus.groups(runs)
 
     def sort_runs(batches):
         held: dict[tuple[int, bytes, bytes], list] = {}
@@ -261,7 +275,7 @@ def removal_spans(corpus: Corpus, width: int, partitions: int, hold: int = 48 <<
                     size += len(right) + len(left) + 300
                 elif known[:3] != [k, h, at]:  # seen twice by this task: this place is decided, the first one stands for both
                     known[3] = True
-                    sure.append((k, h, at, at + len(left) + len(right)))
+                    sure.append((k, h, at, at + (width if kind == 2 else len(left) + len(right))))
             if size > hold:
                 yield from table(flush())
         yield from table(flush())
@@ -274,13 +288,17 @@ def removal_spans(corpus: Corpus, width: int, partitions: int, hold: int = 48 <<
             parts = [np.column_stack([np.frombuffer(r["k"], "<i8"), np.frombuffer(r["h"], "<i8"), np.frombuffer(r["at"], "<i4").reshape(-1, 2)]) for r in rows]
             every = np.concatenate(parts)
         else:
-            core = width - BLOCK + 1 if kind else GRAM
+            core = _core_size(kind, width)
             group: list = []
             lefts: dict[bytes, list] = {}  # of the records with the right text at hand
 
             def settle():
                 if len(group) == 1 and not group[0][3]:
                     return
+                if kind == 2:  # equal hashes are one record, as their left texts are empty
+                    for *_, places in group:
+                        out.extend((k, h, at, at + width) for k, h, at in places)
+                    return
                 masks = decide([g[1] for g in group], [g[2] for g in group], [g[0] for g in group], [g[3] for g in group], width)
                 for mask, (_, _, left, _, places) in zip(masks, group, strict=True):
                     if mask:
@@ -304,7 +322,6 @@ def removal_spans(corpus: Corpus, width: int, partitions: int, hold: int = 48 <<
             every = np.array(out, dtype=np.int64).reshape(-1, 4)
         return pa.table({"k": every[:, 0], "h": every[:, 1], "start": every[:, 2].astype(np.int32), "stop": every[:, 3].astype(np.int32)})
 
-    runs = corpus.repeated_runs(byte_symbols, width, GRAM)
     schema = "kind int, part int, " + ", ".join(f"{c} binary" for c in RUN_COLUMNS)
     sorted_runs = arrow_map(corpus.with_runs(runs), sort_runs, schema)
     return sorted_runs.groupBy("kind", "part").applyInArrow(merge, "k long, h long, start int, stop int")
@@ -316,12 +333,12 @@ def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
     Texts are UTF-8 bytes, a null text is empty, and matches never cross rows.
     Rows are told apart by id and text; rows equal in both, like all rows that
     share a text of at least `width` bytes, are removed whole. `width` must be
-    at least 64. The table may be empty; other columns are not read.
+    at least 64. Long texts are searched piece by piece. The table may be
+    empty; other columns are not read.
     """
     if width < GRAM + BLOCK + 6:
         raise ValueError(f"width must be at least {GRAM + BLOCK + 6}")
     corpus = Corpus.of(docs, id_col, text_col)
-    partitions = 4 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
     def cut_out(batches):
         for part in chunks(batches):
@@ -340,6 +357,6 @@ def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
             columns = list(zip(*rows, strict=True))
             yield pa.RecordBatch.from_arrays([part.column("k"), *(pa.array(c, pa.int64()) for c in columns[:3]), pa.array(columns[3], pa.binary())], ["k", "n_bytes", "n_removed", "n_spans", "kept"])
 
-    spans = removal_spans(corpus, width, partitions)
+    spans = removal_spans(corpus, width)
     found = arrow_map(corpus.without(spans), cut_out, "k long, n_bytes long, n_removed long, n_spans long, kept binary")
     return found.select(F.nullif("k", F.lit(NO_ID)).alias(id_col), "n_bytes", "n_removed", "n_spans", "kept")

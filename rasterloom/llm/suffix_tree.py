@@ -3,12 +3,16 @@
 A window is `width` words in a row of one document; the words of a window
 whose sequence also starts earlier are removed. Suffixes reach a task by the
 words of their anchor (see `_repeats`), a prefix that is lengthened to the
-whole window for hot anchors. In the task, suffixes are split by first word,
-and groups too large to sort at once by further words, until each fits in
-memory. The subtree of a group is kept as sorted suffixes with their common
-prefixes: an internal node is a stretch of neighbours that share a prefix, and
-the nodes at least `width` words deep are the repeats. All suffixes below such
-a node but the earliest are repeats of that one.
+whole window for hot anchors, and there are as many groups as the number of
+suffixes asks for. In the task, suffixes are split by first word, and groups
+too large for one subtree by further words, until each fits in memory.
+
+A subtree is kept as its sorted suffixes and the lengths of the prefixes that
+neighbours share: an internal node is a stretch of neighbours that share a
+prefix of some length, its depth. Nodes at least `width` words deep are the
+repeats, as far as the text that travels with an anchor reaches; all suffixes
+below such a node but the earliest repeat that one for as many words as the
+node is deep.
 
 Equal stretches of one map task travel once, whatever their number.
 """
@@ -70,16 +74,29 @@ def prefix_groups(first_words: np.ndarray, rows: np.ndarray, width: int, limit:
         yield np.concatenate(pending)
 
 
-def deep_nodes(suffixes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Sorted order of the suffixes (rows, cut at the depth asked for), and for each place whether it continues the node before it.
+def subtree(suffixes: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted order of the suffixes (rows of word ids, filled up with 0) and the length of the prefix each shares with the one before it.
 
-    The order is stable, so inside a node suffixes keep the order they came in.
+    The order is stable, so equal suffixes keep the order they came in.
     """
     n, width = suffixes.shape
     keys = np.ascontiguousarray(suffixes.astype(">u4")).view(f"S{4 * width}").ravel()
     order = np.argsort(keys, kind="stable")
-    shared = (suffixes[order[1:]] == suffixes[order[:-1]]).all(axis=1)  # common prefix of neighbours reaches the depth
-    return order, np.concatenate([np.zeros(min(n, 1), dtype=bool), shared])
+    differ = suffixes[order[1:]] != suffixes[order[:-1]]
+    shared = np.where(differ.any(axis=1), differ.argmax(axis=1), width)
+    shared = np.minimum(shared, np.minimum(sizes[order[1:]], sizes[order[:-1]]))
+    return order, np.concatenate([np.zeros(min(n, 1), np.int64), shared])
+
+
+def internal_nodes(shared: np.ndarray, least: int) -> Iterator[tuple[np.ndarray, np.ndarray, int]]:
+    """All internal nodes at least `least` deep, level by level: first leaves, last leaves, depth."""
+    for depth in range(least, int(shared.max(initial=0)) + 1):
+        inside = np.concatenate([shared >= depth, [False]])
+        first = np.flatnonzero(~inside[:-1] & inside[1:])
+        last = np.flatnonzero(inside[:-1] & ~inside[1:])
+        if len(first):
+            branches = np.logical_or.reduceat(shared == depth, first + 1)
+            yield first[branches], last[branches], depth
 
 
 def later_windows(records: list[tuple[list[bytes], int, int, int]], width: int, limit: int = GROUP) -> tuple[np.ndarray, ...]:
@@ -92,28 +109,37 @@ def later_windows(records: list[tuple[list[bytes], int, int, int]], width: int,
     owner = np.repeat(np.arange(len(records)), counts)
     offset = np.arange(len(owner)) - np.repeat(np.cumsum(counts) - counts, counts)
     place = np.repeat(np.cumsum(sizes) - sizes, counts) + offset
+    length = sizes[owner] - offset
     order = np.lexsort((at[owner] + offset, h[owner], k[owner]))  # earliest first
-    owner, offset, place = owner[order], offset[order], place[order]
-    view = np.lib.stride_tricks.sliding_window_view(flat, width)
-    removed = np.zeros(len(owner), dtype=bool)
+    owner, offset, place, length = owner[order], offset[order], place[order], length[order]
+    deepest = int(length.max(initial=width))
+    view = np.lib.stride_tricks.sliding_window_view(np.concatenate([flat, np.zeros(deepest, np.uint32)]), deepest)
+    repeated = np.zeros(len(owner), dtype=np.int64)  # words from the suffix's start that also start earlier
     for rows in prefix_groups(_Lazy(view, place), np.arange(len(owner)), width, limit):
-        rows.sort()  # groups come in word order; inside a node the earliest must be first
-        sorted_rows, continues = deep_nodes(view[place[rows]])
-        # two rows of the input that are equal in id and text give the same place twice; neither is the earlier
-        later = np.flatnonzero(continues)
-        head = np.maximum.accumulate(np.where(continues, 0, np.arange(len(continues))))[later]
-        a, b = rows[sorted_rows[later]], rows[sorted_rows[head]]
-        same = (k[owner[a]] == k[owner[b]]) & (h[owner[a]] == h[owner[b]]) & (at[owner[a]] + offset[a] == at[owner[b]] + offset[b])
-        removed[a[~same]] = True
-    hit = np.flatnonzero(removed)
-    hit = hit[np.lexsort((offset[hit], owner[hit]))]
-    who, where = owner[hit], offset[hit]
-    new = np.concatenate([np.ones(min(len(hit), 1), dtype=bool), (np.diff(who) != 0) | (np.diff(where) != 1)])
+        rows.sort()  # groups come in word order; rows of one node must be compared by their place in the corpus
+        suffixes = np.where(np.arange(deepest) < length[rows, None], view[place[rows]], 0)
+        leaves, shared = subtree(suffixes, length[rows])
+        for first, last, depth in internal_nodes(shared, width):
+            below = np.repeat(np.arange(len(first)), last - first + 1)
+            leaf = rows[leaves[np.arange(len(below)) - np.repeat(np.cumsum(last - first + 1) - (last - first + 1), last - first + 1) + first[below]]]
+            head = np.full(len(first), len(owner))
+            np.minimum.at(head, below, leaf)
+            head = head[below]
+            # two rows of the input that are equal in id and text give the same place twice; neither is the earlier
+            same = (k[owner[leaf]] == k[owner[head]]) & (h[owner[leaf]] == h[owner[head]]) & (at[owner[leaf]] + offset[leaf] == at[owner[head]] + offset[head])
+            repeated[leaf[~same]] = depth
+    hit = np.flatnonzero(repeated)
+    start = (at[owner[hit]] + offset[hit]).astype(np.int32)
+    hit, start = hit[turn := np.lexsort((start, owner[hit]))], start[turn]
+    stop = (start + repeated[hit]).astype(np.int32)
+    # stops of one record's suffixes only grow where spans touch, so a span is new where it starts behind all stops before it
+    reach = np.maximum.accumulate(stop + owner[hit].astype(np.int64) * (1 << 32)) if len(hit) else stop
+    new = np.ones(len(hit), dtype=bool)
+    new[1:] = start[1:] + owner[hit][1:].astype(np.int64) * (1 << 32) > reach[:-1]
     first = np.flatnonzero(new)
-    last = np.append(first[1:], len(hit)) - 1
-    if not len(hit):
-        first = last = np.zeros(0, np.int64)
-    return k[who[first]], h[who[first]], (at[who[first]] + where[first]).astype(np.int32), (at[who[last]] + where[last] + width).astype(np.int32)
+    last = np.append(first[1:], len(hit))[: len(first)] - 1
+    who = owner[hit][first]
+    return k[who], h[who], start[first], (reach[last] - who.astype(np.int64) * (1 << 32)).astype(np.int32) if len(hit) else stop
 
 
 class _Lazy:
@@ -131,9 +157,9 @@ def _stretches(part: pa.RecordBatch, width: int) -> Iterator[tuple[int, bytes, b
     """(kind, prefix, words joined by a blank, k, h, first window) of the chosen runs; kind 1 is a single window of a hot run."""
     values, lengths, words = word_symbols(part.column("text").to_pylist())
     runs = find_runs(values, lengths, width, GRAM)
-    index, hot = chosen(part, runs)
+    index, heat = chosen(part, runs)
     ks, hs = part.column("k").to_pylist(), part.column("h").to_pylist()
-    for doc, first, last, anchor, is_hot in zip(runs.doc[index].tolist(), runs.first[index].tolist(), runs.last[index].tolist(), runs.anchor[index].tolist(), hot.tolist(), strict=True):
+    for doc, first, last, anchor, is_hot in zip(runs.doc[index].tolist(), runs.first[index].tolist(), runs.last[index].tolist(), runs.anchor[index].tolist(), heat.tolist(), strict=True):
         own = words[doc]
         if is_hot:
             for at in range(first, last + 1):
@@ -143,8 +169,10 @@ def _stretches(part: pa.RecordBatch, width: int) -> Iterator[tuple[int, bytes, b
             yield 0, b" ".join(own[anchor : anchor + GRAM]), b" ".join(own[first : last + width]), ks[doc], hs[doc], first
 
 
-def removal_spans(corpus: Corpus, width: int, partitions: int, hold: int = 48 << 20) -> DataFrame:
+def removal_spans(corpus: Corpus, width: int, hold: int = 48 << 20) -> DataFrame:
     """(k, h, start, stop), in words, of what is removed from the distinct texts."""
+    runs = corpus.repeated_runs(word_symbols, width, GRAM)
+    partitions = corpus.groups(runs)
 
     def gather(batches):
         held: dict[tuple[int, bytes], list] = {}
@@ -198,7 +226,6 @@ def removal_spans(corpus: Corpus, width: int, partitions: int, hold: int = 48 <<
         ]
         return pa.table(dict(zip(("k", "h", "start", "stop"), later_windows(records, width), strict=True)))
 
-    runs = corpus.repeated_runs(word_symbols, width, GRAM)
     schema = "kind int, part int, words binary, k binary, h binary, at binary"
     stretches = arrow_map(corpus.with_runs(runs), gather, schema)
     return stretches.groupBy("kind", "part").applyInArrow(subtrees, "k long, h long, start int, stop int")
@@ -211,12 +238,12 @@ def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
     null id comes before all others. Rows that share an id are ordered by a
     hash of their texts; rows equal in id and text count as one document seen
     twice and get equal results. A null text has no words. `width` must
-    exceed 8. The table may be empty; other columns are not read.
+    exceed 8. Long texts are searched piece by piece, but split into words
+    whole. The table may be empty; other columns are not read.
     """
     if width <= GRAM:
         raise ValueError(f"width must exceed {GRAM}")
     corpus = Corpus.of(docs, id_col, text_col)
-    partitions = 4 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
     def cut_out(batches):
         for part in chunks(batches):
@@ -236,5 +263,5 @@ def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
             n, removed, kept = zip(*rows, strict=True)
             yield pa.RecordBatch.from_arrays([part.column("k"), pa.array(n, pa.int64()), pa.array(removed, pa.int64()), pa.array(kept, pa.binary())], ["k", "n_words", "n_removed", "kept"])
 
-    found = arrow_map(corpus.without(removal_spans(corpus, width, partitions)), cut_out, "k long, n_words long, n_removed long, kept binary")
+    found = arrow_map(corpus.without(removal_spans(corpus, width)), cut_out, "k long, n_words long, n_removed long, kept binary")
     return found.select(F.nullif("k", F.lit(NO_ID)).alias(id_col), "n_words", "n_removed", "kept")

@@ -83,10 +83,11 @@ def spliced(seed, n=40, alphabet="abcdefgh "):
 
 
 @pytest.mark.parametrize("seed", [1, 2])
-@pytest.mark.parametrize("hot", [None, 1])
+@pytest.mark.parametrize("hot", [None, "hot", "very hot"])
 def test_spliced_passages(docs_of, monkeypatch, seed, hot):
-    if hot:  # every repeated anchor counts as hot
-        monkeypatch.setattr(_repeats.Corpus.repeated_runs, "__defaults__", (hot,))
+    if hot:  # every repeated anchor counts as such
+        monkeypatch.setattr(_repeats, "HOT", 1)
+        monkeypatch.setattr(_repeats, "VERY_HOT", 1 if hot == "very hot" else 10**9)
     rows = spliced(seed)
     assert by_bytes(docs_of(rows), 70) == brute_bytes(rows, 70)
     words = [(i, " ".join(t), *x) for i, t, *x in spliced(seed, 25, "abcd")]
@@ -148,3 +149,33 @@ def test_prefix_groups_bound_their_size():
         assert len(p) <= 40 or len(np.unique(words[p], axis=0)) == 1
     owner = {tuple(words[r]): i for i, p in enumerate(parts) for r in p}
     assert all(owner[tuple(words[r])] == i for i, p in enumerate(parts) for r in p)
+
+
+def test_long_texts_have_runs_of_their_own_whatever_is_beside_them(monkeypatch):
+    monkeypatch.setattr(_repeats, "PIECE", 64)
+    rng = np.random.default_rng(3)
+    long, short = rng.integers(0, 4, 500), rng.integers(0, 4, 30)
+    runs = lambda *docs: _repeats.find_runs(np.concatenate(docs), np.array([len(d) for d in docs]), 12, 4)
+    alone, beside = runs(long), runs(short, long, short)
+    mine = beside.doc == 1
+    for name in ("ordinal", "first", "last", "anchor", "hash"):
+        assert getattr(alone, name).tolist() == getattr(beside, name)[mine].tolist()
+    assert [w for a, b in zip(alone.first, alone.last, strict=True) for w in range(a, b + 1)] == list(range(489))
+    again = runs(short)
+    assert again.hash.tolist() == beside.hash[beside.doc == 0].tolist() == beside.hash[beside.doc == 2].tolist()
+
+
+def test_internal_nodes_equal_all_pairs():
+    rng = np.random.default_rng(4)
+    sizes = rng.integers(4, 9, 120)
+    suffixes = np.where(np.arange(8) < sizes[:, None], rng.integers(1, 3, (120, 8)), 0).astype(np.uint32)
+    order, shared = suffix_tree.subtree(suffixes, sizes)
+    prefix = lambda a, b: next((i for i in range(min(sizes[a], sizes[b])) if suffixes[a][i] != suffixes[b][i]), int(min(sizes[a], sizes[b])))
+    want = set()
+    for a in range(120):
+        for b in range(a):
+            depth = prefix(a, b)
+            if depth >= 4:
+                want.add((depth, frozenset(c for c in range(120) if prefix(a, c) >= depth or c == a)))
+    found = {(depth, frozenset(order[a : b + 1].tolist())) for first, last, depth in suffix_tree.internal_nodes(shared, 4) for a, b in zip(first.tolist(), last.tolist(), strict=True)}
+    assert found == want
