@@ -119,6 +119,31 @@ def test_naive_bayes_equals_plain_sums(spark):
     assert matrix[0, -1] == pytest.approx(math.log(2 / 3))
 
 
+def test_long_texts_count_like_short_ones(monkeypatch):
+    text = "Ein  Satz, und -- noch ein' Satz... \u00dcber a b c 12 x!  " * 30
+    want = Counter(language_id._grams([text], 16)[0].tolist())
+    for size in (1, 2, 3, 7, 50, 10_000):
+        monkeypatch.setattr(language_id, "CHUNK", size)
+        got = Counter()
+        for buckets, owners, _ in language_id._evidence(["", text], 16):
+            got.update(buckets.tolist())
+            assert set(owners.tolist()) <= {1}
+        assert got == want
+
+
+def test_many_languages_are_scored_in_blocks(spark, monkeypatch):
+    rng = random.Random(2)
+    words = {f"l{i:03}": ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(6)) for _ in range(4)] for i in range(150)}
+    rows = [(i, " ".join(rng.choices(own, k=30)), x) for i, (x, own) in enumerate(words.items())]
+    docs = spark.createDataFrame([*rows, (900, None, "l000"), (901, "12 34", "l001")], "doc_id long, text string, lang string")
+    found = {}
+    for block in (1000, 64):
+        monkeypatch.setattr(language_id, "BLOCK", block)
+        monkeypatch.setattr(language_id, "HELD", 500 if block == 64 else 1 << 20)
+        found[block] = sorted((r["doc_id"], r["lang_pred"], round(r["score"], 9)) for r in language_id.predict(docs, language_id.train(docs)).collect())
+    assert found[64] == found[1000] and [r[1] for r in found[64]] == [*words, "und", "und"]
+
+
 # ---- secrets ----------------------------------------------------------------------------
 
 BASE = [
