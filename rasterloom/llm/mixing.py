@@ -7,8 +7,9 @@ and slot rank r of a source is joined to block r of that source's shuffled
 documents, cut into blocks of equal word counts. A source that must repeat
 starts its shuffled stream again, at most `max_repeats` times over.
 
-Ranks and running sums are taken in two steps, inside small chunks and then
-over chunk totals, so that one large source does not end in one task.
+Ranks and running sums are taken in steps, inside small chunks, over the
+totals of a thousand chunks, and over the totals of those, so that one large
+source does not end in one task. Only one row a source reaches the driver.
 """
 
 from __future__ import annotations
@@ -22,32 +23,41 @@ from ._common import WORD_PATTERN, cut
 
 #: Weights by the source's place in code-point order, repeating.
 WEIGHTS = (3.0, 1.0, 2.0)
-MAX_SOURCES = 65_536
 #: Documents whose running sum one window takes, over all sources.
 CHUNK = 1_024
+#: Chunks whose totals one window takes.
+FAN = 1_024
 #: Odd number nearest to 2**31 / golden ratio: i * GOLDEN mod 2**31 is a golden-ratio sequence in exact integers.
 GOLDEN, MODULUS = 1_327_217_885, 1 << 31
 
 
-def targets(sizes: list[int], weights: list[float], total: float, cap: float) -> list[float]:
+def targets(sizes, weights, total: float, cap: float) -> np.ndarray:
     """Share `total` by weight; no share exceeds `cap` times its size, the excess going to the others by weight."""
-    found = [0.0] * len(sizes)
-    open_ = list(range(len(sizes)))
+    sizes, weights = np.asarray(sizes, dtype=np.float64), np.asarray(weights, dtype=np.float64)
+    found = np.zeros(len(sizes))
+    open_ = np.ones(len(sizes), dtype=bool)
     left = float(total)
-    while open_:
-        weight = sum(weights[i] for i in open_)
-        full = [i for i in open_ if left * weights[i] / weight > cap * sizes[i]]
-        if not full:
-            for i in open_:
-                found[i] = left * weights[i] / weight
+    while open_.any():
+        share = left * weights / weights[open_].sum()
+        full = open_ & (share > cap * sizes)
+        if not full.any():
+            found[open_] = share[open_]
             break
-        for i in full:
-            found[i] = float(cap * sizes[i])
-        left -= sum(found[i] for i in full)
-        open_ = [i for i in open_ if i not in set(full)]
+        found[full] = cap * sizes[full]
+        left -= found[full].sum()
+        open_ &= ~full
     return found
 
 
+def _before(totals: DataFrame) -> DataFrame:
+    """From (source_no, chunk, n) to (source_no, chunk, before): the sum of n over the source's smaller chunks."""
+    totals = totals.withColumn("fan", F.expr(f"chunk div {FAN}"))
+    above = totals.groupBy("source_no", "fan").agg(F.sum("n").alias("n"))
+    above = above.select("source_no", "fan", (F.sum("n").over(Window.partitionBy("source_no").orderBy("fan")) - F.col("n")).alias("above"))
+    inside = F.sum("n").over(Window.partitionBy("source_no", "fan").orderBy("chunk")) - F.col("n")
+    return totals.withColumn("inside", inside).join(above, ["source_no", "fan"]).select("source_no", "chunk", (F.col("above") + F.col("inside")).alias("before"))
+
+
 def _slot_count(total: int, block_words: int) -> int:
     """Slots of `block_words` words, but at least some 65,000 where blocks can be that small."""
     block = max(16, min(block_words, total // 65_536))
@@ -67,10 +77,7 @@ def schedule(spark, quotas: list[int], slots: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(source)], ["slot", "source_no"])
 
     dealt = spark.range(slots).mapInArrow(deal, "slot long, source_no int").withColumn("chunk", F.shiftright("slot", 12))
-    before = (
-        dealt.groupBy("source_no", "chunk").agg(F.count("*").alias("n"))
-        .select("source_no", "chunk", (F.sum("n").over(Window.partitionBy("source_no").orderBy("chunk")) - F.col("n")).alias("before"))
-    )
+    before = _before(dealt.groupBy("source_no", "chunk").agg(F.count("*").alias("n")))
     inside = F.row_number().over(Window.partitionBy("source_no", "chunk").orderBy("slot")) - 1
     return dealt.withColumn("inside", inside).join(before, ["source_no", "chunk"]).select("slot", "source_no", (F.col("before") + F.col("inside")).alias("rank"))
 
@@ -86,23 +93,23 @@ def mix(
     documents: one row per input row with `id`, `size`, `source_size`,
     `target`, `taken`. Size is the number of words, 0 for a null text. A null
     source is a source of its own, after all others. Rows that repeat an id
-    are separate documents. An empty table, or one without words, gives
-    targets of 0 and an empty plan.
+    are separate documents; only rows that are equal in id and text share a
+    place in the shuffle. An empty table, or one without words, gives targets
+    of 0 and an empty plan. Texts may be of any length; a document is cut where
+    a block ends.
     """
     spark = docs.sparkSession
     sized = cut(
         docs.select(
             F.col(id_col).alias("id"), F.col(source_col).alias("source"),
             F.coalesce(F.regexp_count(text_col, F.lit(WORD_PATTERN)), F.lit(0)).cast("long").alias("size"),
-            F.xxhash64(F.lit(seed), id_col).alias("key"),
+            F.xxhash64(F.lit(seed), id_col, text_col).alias("key"),
         )
     )
-    totals = sized.groupBy("source").agg(F.sum("size").alias("n"), F.count("*").alias("rows")).limit(MAX_SOURCES + 1).collect()
-    if len(totals) > MAX_SOURCES:
-        raise ValueError(f"more than {MAX_SOURCES} sources")
+    totals = sized.groupBy("source").agg(F.sum("size").alias("n"), F.count("*").alias("rows")).collect()
     totals.sort(key=lambda r: (r["source"] is None, r["source"] or ""))
     sizes = [r["n"] for r in totals]
-    wanted = targets(sizes, [weights[i % len(weights)] for i in range(len(sizes))], share * sum(sizes), max_repeats)
+    wanted = targets(sizes, [weights[i % len(weights)] for i in range(len(sizes))], share * sum(sizes), max_repeats).tolist()
     quotas = [min(round(t), max_repeats * n) for t, n in zip(wanted, sizes, strict=True)]
     slots = _slot_count(sum(quotas), block_words)
     drawn = schedule(spark, quotas if sum(quotas) else [1], slots if sum(quotas) else 0)
@@ -115,13 +122,9 @@ def mix(
         [(i, r["source"], r["n"], wanted[i], quotas[i], max(1, -(-quotas[i] // max(1, counts.get(i, 1))))) for i, r in enumerate(totals)],
         "source_no int, source string, source_size long, target double, quota long, block long",
     )
-    facts = F.broadcast(facts)  # at most MAX_SOURCES rows
     chunks = max(1, sum(r["rows"] for r in totals) // CHUNK)
     placed = sized.join(facts.withColumnRenamed("source", "named"), F.col("source").eqNullSafe(F.col("named"))).withColumn("chunk", F.pmod("key", F.lit(chunks)))
-    before = (
-        placed.groupBy("source_no", "chunk").agg(F.sum("size").alias("n"))
-        .select("source_no", "chunk", (F.sum("n").over(Window.partitionBy("source_no").orderBy("chunk")) - F.col("n")).alias("before"))
-    )
+    before = _before(placed.groupBy("source_no", "chunk").agg(F.sum("size").alias("n")))
     inside = F.sum("size").over(Window.partitionBy("source_no", "chunk").orderBy("key", "id", "size").rowsBetween(Window.unboundedPreceding, 0)) - F.col("size")
     placed = cut(placed.withColumn("inside", inside).join(before, ["source_no", "chunk"]).withColumn("at", F.col("before") + F.col("inside")).drop("named", "before", "inside"))
     turn = placed.where("size > 0").withColumn("turn", F.explode(F.sequence(F.lit(0), F.lit(max_repeats - 1))))

@@ -319,6 +319,67 @@ def test_mix_takes_what_it_plans(docs_of, small):
     assert [r["taken"] for r in mixing.mix(docs_of([(1, None), (2, " ")]))[1].collect()] == [0, 0]
 
 
+def brute_mix(rows, block_words):
+    """Targets, and the (slot, id, from_word, n_words) of every piece, by walking streams and slots one by one."""
+    sizes = {}
+    for _, source, size, _ in rows:
+        sizes[source] = sizes.get(source, 0) + size
+    names = sorted(sizes, key=lambda x: (x is None, x or ""))
+    weight = {x: mixing.WEIGHTS[i % 3] for i, x in enumerate(names)}
+    level, target = 1.5 * sum(sizes.values()), {}
+    while len(target) < len(names):
+        free = [x for x in names if x not in target]
+        share = {x: (level - sum(target.values())) * weight[x] / sum(weight[y] for y in free) for x in free}
+        over = {x: 2.0 * sizes[x] for x in free if share[x] > 2 * sizes[x]}
+        target |= over or share
+    quota = {x: min(round(target[x]), 2 * sizes[x]) for x in names}
+    total = sum(quota.values())
+    block = max(16, min(block_words, total // 65_536))
+    slots = -(-total // block)
+    edges = np.cumsum([quota[x] for x in names]) / total
+    owner = [names[min(int(np.searchsorted(edges, (i * mixing.GOLDEN % mixing.MODULUS + 0.5) / mixing.MODULUS, side="right")), len(names) - 1)] for i in range(slots)]
+    owner += [x for x in names if quota[x] and x not in owner]
+    chunks = max(1, len(rows) // mixing.CHUNK)
+    pieces = []
+    for x in names:
+        mine = [i for i, s in enumerate(owner) if s == x]
+        length = -(-quota[x] // max(1, len(mine)))
+        stream = [(r, w) for r in sorted((r for r in rows if r[1] == x), key=lambda r: (r[3] % chunks, r[3], r[0] is not None, r[0], r[2])) for w in range(r[2])] * 2
+        for rank, slot in enumerate(mine):
+            words = stream[rank * length : min((rank + 1) * length, quota[x])]
+            for i, (r, w) in enumerate(words):
+                if i and w:  # the same document goes on
+                    pieces[-1][3] += 1
+                else:
+                    pieces.append([slot, r[0], w, 1])
+    return target, sorted(map(tuple, pieces), key=str)
+
+
+@pytest.mark.parametrize("fan", [2, mixing.FAN])
+def test_mix_equals_a_plain_walk(spark, docs_of, small, monkeypatch, fan):
+    monkeypatch.setattr(mixing, "CHUNK", 8)
+    monkeypatch.setattr(mixing, "FAN", fan)
+    rows = [(r["doc_id"] + 100, r["text"], "en", r["source"]) for r in small.collect()] + [(None, "a b c d", "en", None), (3, None, "en", "web"), (4, "x y", "en", "tiny")]
+    docs = docs_of(rows)
+    sized = docs.select("doc_id", "source", F.xxhash64(F.lit(7), "doc_id", "text").alias("key"), "text").collect()
+    plain = [(r["doc_id"], r["source"], len((r["text"] or "").encode().split()), r["key"]) for r in sized]
+    target, pieces = brute_mix(plain, 64)
+    plan, documents = mixing.mix(docs, block_words=64)
+    assert sorted(((p["slot"], p["doc_id"], p["from_word"], p["n_words"]) for p in plan.collect()), key=str) == pieces
+    taken = Counter()
+    for _, i, _, n in pieces:
+        taken[i] += n
+    source = {r[0]: r[1] for r in plain}
+    for r in documents.collect():
+        assert r["taken"] == taken[r["doc_id"]] and r["target"] == pytest.approx(target[source[r["doc_id"]]])
+
+
+def test_many_sources(spark):
+    docs = spark.range(20_000).select(F.col("id").alias("doc_id"), F.concat(F.lit("s"), F.col("id") % 7_000).alias("source"), F.lit("a b c").alias("text"))
+    found = mixing.mix(docs)[1].agg(F.sum("taken"), F.count("*"), F.max("taken")).first()
+    assert found[1] == 20_000 and found[2] <= 6 and abs(found[0] - 90_000) <= 7_000
+
+
 def test_schedule_is_even_at_every_prefix(spark):
     quotas = [500, 300, 200]
     drawn = mixing.schedule(spark, quotas, 2000).orderBy("slot").collect()
