@@ -7,9 +7,11 @@ three doubles, attitudes unit quaternions (x, y, z, w).
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from . import ordered
+
 
 def line_time_us(line: Column, start_us: Column, line_period_us: Column, height: Column, scan_direction: Column) -> Column:
     """The imager clock at a line; a backward scan (direction below 0) takes the last line first."""
@@ -17,20 +19,16 @@ def line_time_us(line: Column, start_us: Column, line_period_us: Column, height:
     return start_us + step.cast("double") * line_period_us
 
 
-def bracket(times: DataFrame, states: DataFrame, keys: list[str]) -> DataFrame:
+def bracket(times: DataFrame, states: DataFrame, keys: list[str], *, span: float = 4096.0) -> DataFrame:
     """Join `times` (keys, t) to the two neighbouring `states` (keys, t, state): adds `t0`, `s0`, `t1`, `s1`.
 
-    One sort per key; before the first and after the last state the nearest
-    one stands on both sides.
+    One sort per `span` of t; before the first and after the last state the
+    nearest one stands on both sides.
     """
-    value = F.struct(F.col("t"), F.col("state"))
     kind = states.schema["state"].dataType
     both = states.select(*keys, "t", "state", F.lit(0).alias("kind")).unionByName(times.select(*keys, "t").distinct().withColumn("state", F.lit(None).cast(kind)).withColumn("kind", F.lit(1)))
-    along = Window.partitionBy(*keys).orderBy("t", "kind").rowsBetween(Window.unboundedPreceding, 0)
-    ahead = Window.partitionBy(*keys).orderBy(F.desc("t"), F.desc("kind")).rowsBetween(Window.unboundedPreceding, -1)
-    known = F.when(F.col("kind") == 0, value)
-    found = both.withColumn("a", F.last(known, True).over(along)).withColumn("b", F.last(known, True).over(ahead))
-    a, b = F.coalesce("a", "b"), F.coalesce("b", "a")
+    found = ordered.neighbours(both, keys, "t", ["kind"], F.col("kind") == 0, F.struct(F.col("t"), F.col("state")), span=span)
+    a, b = F.coalesce("before", "after"), F.coalesce("after", "before")
     found = found.where("kind = 1").select(*keys, "t", a["t"].alias("t0"), a["state"].alias("s0"), b["t"].alias("t1"), b["state"].alias("s1"))
     return times.join(found, [*keys, "t"])
 

@@ -11,11 +11,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.columns import item_id, micrometres, to_byte
-from ..operators import calibration, geometry, interpolation, preview, quality, raw_lines, reflectance, timing
+from ..operators import calibration, geometry, interpolation, ordered, preview, quality, raw_lines, reflectance, timing
 
 #: Start of the telemetry clock, and microseconds per line.
 ORIGIN_US, LINE_US = 1_704_153_600_000_000, 48_384_000_000
@@ -34,10 +34,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(band, line, dn array)."""
-    place = F.row_number().over(Window.partitionBy("label").orderBy("vec_id")) - 1
     count = lambda e: F.floor((e.cast("double") + 1) * 1024).cast("int")
     dn = F.transform("embedding", lambda e: F.when(count(e) % 97 == 0, F.lit(NODATA)).otherwise(count(e)))
-    return table(spark, sf_dir, "embeddings").select(F.col("label").alias("band"), place.alias("line"), dn.alias("dn"))
+    taken = table(spark, sf_dir, "embeddings").select(F.col("label").alias("band"), "vec_id", dn.alias("dn"))
+    return ordered.places(taken, ["band"], "vec_id", name="line").select("band", F.col("line").cast("int").alias("line"), "dn")
 
 
 def coefficients(spark: SparkSession, sf_dir: str, divide: float = 20.0) -> DataFrame:
@@ -208,11 +208,10 @@ USEG = "select x as x0, y as y0, lead(x) over (order by x, ord) as x1, lead(y) o
 
 @query("interp_temperature_uniform", sql("select l.line, cast(case when x1 is null or x0 = l.line then y0 else (y1 - y0) / (x1 - x0) * (l.line - x0) + y0 end as float) as t from (select unnest(range(1000)) as line) l, useg where x0 <= l.line and (x1 is null or l.line < x1)", uni=UNIFORM, spread=SPREAD, useg=USEG))
 def interp_temperature_uniform(spark, sf_dir):
-    """A thousand lines, samples without times."""
+    """A thousand lines, samples without times; as these are all events of the table, by the form for any number."""
     spread = interpolation.uniform_positions(samples(spark, sf_dir).select("scene", "ord", "y"), F.lit(1000), ["scene"])
-    held = interpolation.sample_array(spread, ["scene"])
-    every = spark.range(1000).select(F.col("id").alias("line"), F.lit("scene").alias("scene")).join(held, "scene")
-    return every.select("line", interpolation.by_array(F.col("line"), F.col("samples")).alias("t"))
+    every = spark.range(1000).select(F.col("id").alias("line"), F.lit("scene").alias("scene"))
+    return interpolation.by_window(every, spread, ["scene"]).select("line", "t")
 
 
 @query("single_sample_profile", sql("select e.event_type as scene, l.line, cast(e.value as float) as t from (select unnest(range(100)) as line) l, (select event_type, max(value) as value from events group by 1) e"))
@@ -505,7 +504,9 @@ def stretch_levels(spark, sf_dir):
 @query("line_times", sql("select band, line, cast(1000000 as double) + case when band % 2 = 1 then h - 1 - line else line end * cast(500 as double) as t_us from raw join (select band, max(line) + 1 as h from raw group by band) using (band)", "raw"))
 def line_times(spark, sf_dir):
     """Odd bands scan backwards."""
-    taken = lines(spark, sf_dir).withColumn("h", F.max("line").over(Window.partitionBy("band")) + 1)
+    taken = lines(spark, sf_dir)
+    tall = taken.groupBy("band").agg((F.max("line") + 1).alias("h"))
+    taken = taken.join(F.broadcast(tall), "band")  # a row per band
     time = geometry.line_time_us(F.col("line"), F.lit(1e6), F.lit(500.0), F.col("h"), F.when(F.col("band") % 2 == 1, -1).otherwise(1))
     return taken.select("band", "line", time.alias("t_us"))
 
