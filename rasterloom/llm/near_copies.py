@@ -9,9 +9,11 @@ times. Every link is confirmed on the whole shingle sets.
 
 Each text of a bucket first meets the bucket's most central text, that which
 shares the most buckets with others; this joins large groups at a linear cost.
-What is still outside its bucket's main group then meets all of the bucket:
-pair by pair in buckets of a few texts, in blocks inside a task in larger ones,
-so no candidate goes unseen and no list of a large bucket's pairs is written.
+What is still outside the main group then meets all others: pair by pair in
+buckets of a few texts; larger buckets with the same central text are taken
+together and compared in blocks inside a task. So no candidate goes unseen, no
+list of a large bucket's pairs is written, and texts that share many buckets
+are compared once.
 """
 
 from __future__ import annotations
@@ -30,9 +32,11 @@ BANDS, ROWS = 32, 5
 #: Shingles that are hashed at once.
 CHUNK = 50_000
 #: Texts of a block that asks, and of a block that answers.
-ASKING, ANSWERING = 128, 1024
+ASKING, ANSWERING = 64, 128
 #: Buckets up to this size are compared as pairs.
 SMALL = 12
+#: Distinct shingles that a product of two blocks takes at once.
+COLUMNS = 4096
 
 
 def _hashes(text: str | None) -> np.ndarray:
@@ -106,49 +110,55 @@ def _confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 def _block_links(key, table):
     """Stars of the links between the texts of a block that ask and those that answer."""
     nodes = table.column("node").to_numpy()
-    asks = table.column("asks").to_numpy()
     lists = table.column("shingles").combine_chunks()
-    flat = lists.flatten().to_numpy().view(np.uint64)
+    flat = lists.flatten().to_numpy()
     sizes = np.diff(lists.offsets.to_numpy())
-    ends = np.cumsum(sizes)
-    starts = ends - sizes
-    one, other = [], []
-    for i in np.flatnonzero(asks):
-        own = flat[starts[i] : ends[i]]
-        at = np.searchsorted(own, flat)
-        hit = own[np.minimum(at, len(own) - 1)] == flat
-        same = np.add.reduceat(hit, starts, dtype=np.int64)
-        near = np.flatnonzero((same >= SIMILARITY * (sizes + sizes[i] - same)) & (nodes != nodes[i]))
-        one.append(np.full(len(near), i))
-        other.append(near)
-    label = simhash._merge(np.arange(len(nodes)), np.concatenate(one or [np.zeros(0, int)]), np.concatenate(other or [np.zeros(0, int)]))
+    row = np.repeat(np.arange(len(nodes)), sizes)
+    asks = np.flatnonzero(table.column("asks").to_numpy(zero_copy_only=False))
+    words = np.unique(flat[np.isin(row, asks)])
+    column = np.searchsorted(words, flat)
+    known = words[np.minimum(column, len(words) - 1)] == flat
+    row, column = row[known], column[known]
+    same = np.zeros((len(asks), len(nodes)), dtype=np.float32)
+    for first in range(0, len(words), COLUMNS):  # counts are small, so single precision holds them exactly
+        part = (column >= first) & (column < first + COLUMNS)
+        holds = np.zeros((len(nodes), min(COLUMNS, len(words) - first)), dtype=np.float32)
+        holds[row[part], column[part] - first] = 1
+        same += holds[asks] @ holds.T
+    near = same >= SIMILARITY * (sizes[asks][:, None] + sizes[None, :] - same)
+    near[nodes[asks][:, None] == nodes[None, :]] = False
+    one, other = np.nonzero(near)
+    label = simhash._merge(np.arange(len(nodes)), asks[one], other)
     linked = np.flatnonzero(label != np.arange(len(nodes)))
     return pa.table({"u": nodes[linked], "v": nodes[label[linked]]})
 
 
+def _outside(members: DataFrame) -> DataFrame:
+    """Members (cluster, node, label) of clusters with several labels, with the most frequent one (`major`) and numbers of blocks."""
+    counts = members.groupBy("cluster", "label").agg(F.count("*").alias("n"))
+    mixed = counts.groupBy("cluster").agg(F.max_by("label", F.struct("n", "label")).alias("major"), F.max("n").alias("most"), F.sum("n").alias("n"), F.count("*").alias("k")).where("k > 1")
+    mixed = mixed.select(
+        "cluster", "major", F.ceil((F.col("n") - F.col("most")) / ASKING).cast("int").alias("askers"), F.ceil(F.col("n") / ANSWERING).cast("int").alias("answerers")
+    ).repartition(partitions(members.sparkSession))  # dealt anew, so that Spark can split a large cluster
+    return members.join(mixed, "cluster")
+
+
 def _rest(shared: DataFrame, labels: DataFrame, known: DataFrame, sets: DataFrame) -> DataFrame:
     """Links of texts that are outside the largest group of a bucket with any text of the bucket; `known` pairs are not compared again."""
-    spark = shared.sparkSession
-    placed = cut(shared.join(labels, "node", "left").select("bucket", "node", F.coalesce("component", "node").alias("label")))
-    counts = placed.groupBy("bucket", "label").agg(F.count("*").alias("n"))
-    mixed = counts.groupBy("bucket").agg(F.max_by("label", F.struct("n", "label")).alias("major"), F.max("n").alias("most"), F.sum("n").alias("n"), F.count("*").alias("k")).where("k > 1")
-    mixed = mixed.select(
-        "bucket", "major", "n", F.ceil((F.col("n") - F.col("most")) / ASKING).cast("int").alias("askers"), F.ceil(F.col("n") / ANSWERING).cast("int").alias("answerers")
-    ).repartition(partitions(spark))  # dealt anew, so that Spark can split a large bucket
-    rows = cut(placed.join(mixed, "bucket"))
-
-    few = rows.where(F.col("n") <= SMALL)
-    one = few.where("label <> major").select("bucket", F.col("node").alias("a"), F.col("label").alias("la"))
-    other = few.select("bucket", F.col("node").alias("b"), F.col("label").alias("lb"), "major")
-    pairs = one.join(other, "bucket").where("la <> lb and (lb = major or a < b)").select(F.least("a", "b").alias("u"), F.greatest("a", "b").alias("v")).distinct()
+    placed = cut(shared.join(labels, "node", "left").withColumn("label", F.coalesce("component", "node")).drop("component"))
+
+    few = cut(_outside(placed.where(F.col("n") <= SMALL).select(F.col("bucket").alias("cluster"), "node", "label")))
+    one = few.where("label <> major").select("cluster", F.col("node").alias("a"), F.col("label").alias("la"))
+    other = few.select("cluster", F.col("node").alias("b"), F.col("label").alias("lb"), "major")
+    pairs = one.join(other, "cluster").where("la <> lb and (lb = major or a < b)").select(F.least("a", "b").alias("u"), F.greatest("a", "b").alias("v")).distinct()
     linked = _confirmed(pairs.join(known, ["u", "v"], "left_anti"), sets)
 
-    many = rows.where(F.col("n") > SMALL)
+    many = cut(_outside(placed.where(F.col("n") > SMALL).select(F.col("pivot").alias("cluster"), "node", "label").distinct()))
     place = lambda salt, n: F.pmod(F.xxhash64(F.lit(salt), "node"), F.col(n)).cast("int")
-    asking = many.where("label <> major").select("bucket", "node", F.lit(True).alias("asks"), place(1, "askers").alias("a"), F.explode(F.sequence(F.lit(0), F.col("answerers") - 1)).alias("b"))
-    answering = many.select("bucket", "node", F.lit(False).alias("asks"), F.explode(F.sequence(F.lit(0), F.col("askers") - 1)).alias("a"), place(2, "answerers").alias("b"))
+    asking = many.where("label <> major").select("cluster", "node", F.lit(True).alias("asks"), place(1, "askers").alias("a"), F.explode(F.sequence(F.lit(0), F.col("answerers") - 1)).alias("b"))
+    answering = many.select("cluster", "node", F.lit(False).alias("asks"), F.explode(F.sequence(F.lit(0), F.col("askers") - 1)).alias("a"), place(2, "answerers").alias("b"))
     blocks = asking.unionByName(answering).join(sets, "node")
-    return linked.unionByName(blocks.groupBy("bucket", "a", "b").applyInArrow(_block_links, "u long, v long"))
+    return linked.unionByName(blocks.groupBy("cluster", "a", "b").applyInArrow(_block_links, "u long, v long"))
 
 
 def groups(texts: DataFrame) -> DataFrame:
@@ -168,15 +178,16 @@ def groups(texts: DataFrame) -> DataFrame:
 
     entries = cut(_entries(texts))
     sizes = entries.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1").repartition(partitions(spark))
-    shared = cut(entries.join(sizes, "bucket").select("bucket", "node", "n"))
+    shared = entries.join(sizes, "bucket").select("bucket", "node", "n")
     central = shared.groupBy("node").agg(F.sum("n").alias("c"))
     pivots = shared.join(central, "node").groupBy("bucket").agg(F.max_by("node", F.struct("c", "node")).alias("pivot")).repartition(partitions(spark))
-    stars = shared.join(pivots, "bucket").where("node <> pivot").select(F.col("node").alias("a"), F.col("pivot").alias("b"))
+    shared = cut(shared.join(pivots, "bucket"))
+    stars = shared.where("node <> pivot").select(F.col("node").alias("a"), F.col("pivot").alias("b"))
 
     ordered = (F.least("a", "b").alias("u"), F.greatest("a", "b").alias("v"))
     pairs = cut(proposed.unionByName(stars).select(*ordered).distinct())
     needed = pairs.select(F.explode(F.array("u", "v")).alias("node")).unionByName(shared.select("node")).distinct()
     sets = cut(_sets(texts.join(needed, "node", "left_semi").select("node", "text")).where(F.size("shingles") > 0))
     near = cut(_confirmed(pairs, sets))
-    more = _rest(shared.select("bucket", "node"), connected_components(near), pairs, sets)
+    more = _rest(shared, connected_components(near), pairs, sets)
     return connected_components(near.unionByName(more))
