@@ -1,12 +1,15 @@
 """Radiometric models: functions that build a radiance Column from a count, a temperature and coefficients.
 
-Register another model with `register`; plans take the name.
+Register another model with `register`; plans take the name. A model
+may also be given for whole lines as arrays (`LINE_MODELS`), in the same single
+precision and the same order of operations, so with the same bits.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
+import numpy as np
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -54,3 +57,21 @@ def radiance(model: str, count: Column, temperature: Column, coefficients: dict[
     value = MODELS[model](count, temperature, coefficients).cast("float")
     empty = nan() if fill != fill else F.lit(fill).cast("float")
     return F.when(count.cast("double") == nodata.cast("double"), empty).otherwise(value)
+
+
+# ---- whole lines --------------------------------------------------------------------
+
+#: (counts, temperature of each line, coefficients) -> radiance: float32 arrays (lines, columns), or (lines, 1) for what a line has once.
+LineModel = Callable[[np.ndarray, np.ndarray, dict[str, np.ndarray]], np.ndarray]
+
+
+def _above_dark(counts: np.ndarray, temperature: np.ndarray, c: dict[str, np.ndarray]) -> np.ndarray:
+    return counts - (c["intercept"] + c["gradient"] * temperature)
+
+
+def _linear_lines(counts: np.ndarray, temperature: np.ndarray, c: dict[str, np.ndarray]) -> np.ndarray:
+    return c["absolute"] * (_above_dark(counts, temperature, c) * c["non_uniformity"]) + c["absolute_offset"]
+
+
+#: Models that `calibrate_lines` runs on arrays; the others it evaluates as Columns, element by element.
+LINE_MODELS: dict[str, LineModel] = {"linear_thermal": _linear_lines}

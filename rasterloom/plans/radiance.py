@@ -66,9 +66,8 @@ def count_lines(spark: SparkSession, contexts: DataFrame, paths: list[str], opti
 def radiance_lines(spark: SparkSession, contexts: DataFrame, paths: list[str], options: Options = Options()) -> DataFrame:
     """(package, band, line, height, width, dn, radiance), arrays over columns."""
     lines = count_lines(spark, contexts, paths, options)
-    counts = F.col("dn").alias("counts")
-    value = calibration.calibrate_lines(lines.select("*", counts), model=options.model, fill=options.nodata)
-    return value.select("package", "band", "line", "height", "width", F.col("counts").alias("dn"), "radiance")
+    value = calibration.calibrate_lines(lines, model=options.model, fill=options.nodata, keep_dn=True)
+    return value.select("package", "band", "line", "height", "width", "dn", "radiance")
 
 
 def pixel_report(lines: DataFrame, keys: list[str], thresholds: quality.Thresholds) -> DataFrame:
