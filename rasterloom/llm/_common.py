@@ -18,10 +18,12 @@ WORD_PATTERN = rf"[^{SPACE_CLASS}]+"
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Use the shared folder of `spark.checkpoint.dir`; only where it is unset (tests), make one."""
+    """Use the shared folder of `spark.checkpoint.dir`. Where it is unset, a local session (tests) gets one of its own and a cluster an error."""
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
         configured = spark.conf.get("spark.checkpoint.dir", None)
+        if not configured and (not sc.master.startswith("local") or sc.master.startswith("local-cluster")):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         sc.setCheckpointDir(configured or tempfile.mkdtemp(prefix="spark-checkpoint-", dir="/tmp"))
 
 
@@ -36,18 +38,16 @@ def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def row_key(id_col: str, text_col: str) -> Column:
-    """Tells apart rows that share an id but not a text; equal rows share the key."""
-    return F.xxhash64(F.col(id_col), F.col(text_col))
-
-
 #: Bytes of an Arrow batch that goes to a Python worker.
 BATCH_BYTES = 8 << 20
 
 
 def arrow_map(rows: DataFrame, function, schema: str) -> DataFrame:
-    """`mapInArrow` with batches bounded in bytes, not only in rows: texts may be long. The bound is a session setting."""
-    rows.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    """`mapInArrow` with batches bounded in bytes, not only in rows: texts may be long. The bound is a session setting; a tighter one stays."""
+    conf, name = rows.sparkSession.conf, "spark.sql.execution.arrow.maxBytesPerBatch"
+    bound = conf.get(name)  # Spark has a default
+    if not bound.isdigit() or not 0 < int(bound) <= BATCH_BYTES:
+        conf.set(name, str(BATCH_BYTES))
     return rows.mapInArrow(function, schema)
 
 

@@ -87,7 +87,10 @@ class Pieces:
             elif number == 2:
                 model_type = dict(_fields(value)).get(3, UNIGRAM)
             elif number == 3:
-                add_blank = bool(dict(_fields(value)).get(3, 1))
+                rules = dict(_fields(value))  # 2: character map, 3: blank in front, 4: extra blanks go, 5: blanks are marked
+                if rules.get(2) or rules.get(4, 1) or not rules.get(5, 1):
+                    raise ValueError("only models that leave characters and blanks as they are are supported")
+                add_blank = bool(rules.get(3, 1))
         if model_type not in (UNIGRAM, BPE):
             raise ValueError("only unigram and byte-pair models are supported")
         return cls(text, np.array(score, np.float32), kind, model_type, add_blank)

@@ -64,3 +64,11 @@ def test_awkward_rows(docs_of):
 def test_long_word_without_blanks():
     text = "supercalifragilistic" * 300
     assert encode(OWN, text) == LIBRARY.encode(text)
+
+
+def test_a_model_with_other_normalisation_is_refused(tmp_path):
+    path = tmp_path / "m.model"
+    for rules in (b"\x12\x01x", b"\x20\x01", b"\x20\x00\x28\x00"):  # a character map, extra blanks removed, blanks not marked
+        path.write_bytes(b"\x1a" + bytes([len(rules)]) + rules)
+        with pytest.raises(ValueError, match="leave characters"):
+            codec.Pieces.load(str(path))
