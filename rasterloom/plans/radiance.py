@@ -51,21 +51,21 @@ def band_contexts(packages: source.Packages, options: Options = Options()) -> Da
     return found.join(samples, ["package", "band"], "left").withColumn("samples", interpolation.require_samples(F.col("samples")))
 
 
-def count_lines(spark: SparkSession, contexts: DataFrame, paths: list[str], options: Options = Options()) -> DataFrame:
+def count_lines(spark: SparkSession, contexts: DataFrame, paths: list[str], options: Options = Options(), heights: list[int] | None = None) -> DataFrame:
     """Lines of counts with their band's context and temperature `t`.
 
     The temperature is worked out before the join with the coefficients, else
     Spark would fold it into the per-pixel expression and repeat it there.
     """
-    lines = read_tiff(spark, paths, window_lines=options.window_lines).withColumnRenamed("values", "dn")
+    lines = read_tiff(spark, paths, window_lines=options.window_lines, heights=heights).withColumnRenamed("values", "dn")
     timed = lines.join(contexts.select("path", "samples"), "path")
     timed = timed.select("path", "line", "dn", interpolation.by_array(F.col("line"), F.col("samples")).alias("t"))
     return calibration.check_lines(timed.join(contexts.drop("samples"), "path"))
 
 
-def radiance_lines(spark: SparkSession, contexts: DataFrame, paths: list[str], options: Options = Options()) -> DataFrame:
-    """(package, band, line, height, width, dn, radiance), arrays over columns."""
-    lines = count_lines(spark, contexts, paths, options)
+def radiance_lines(spark: SparkSession, contexts: DataFrame, paths: list[str], options: Options = Options(), heights: list[int] | None = None) -> DataFrame:
+    """(package, band, line, height, width, dn, radiance), arrays over columns. With the rasters' heights the driver opens none of them."""
+    lines = count_lines(spark, contexts, paths, options, heights)
     value = calibration.calibrate_lines(lines, model=options.model, fill=options.nodata, keep_dn=True)
     return value.select("package", "band", "line", "height", "width", "dn", "radiance")
 
@@ -115,14 +115,14 @@ def run(spark: SparkSession, package: str, output: str, options: Options = Optio
     log.info("Read acquisition %s (%d bands to process)", scene["scene_id"], len(chosen))
     store = f"{output.rstrip('/')}/radiance.parquet"
     contexts = band_contexts(packages, options)
-    lines = radiance_lines(spark, contexts, [known[b]["path"] for b in chosen], options) if chosen else None
+    lines = radiance_lines(spark, contexts, [known[b]["path"] for b in chosen], options, [known[b]["height"] for b in chosen]) if chosen else None
     rows: list[dict] = []
     if lines is not None:
         lines.write.mode("overwrite").partitionBy("band").parquet(store)
         stored = spark.read.parquet(store)
         rows = [r.asDict() for r in pixel_report(stored, ["band"], options.thresholds).collect()]
         rows.sort(key=lambda r: chosen.index(r["band"]))
-        write_tiff(stored, output, options=options.tiff).select("path").collect()
+        write_tiff(stored, output, options=options.tiff)
     report = catalogue.quality_document(rows, scene["scene_id"], LEVEL)
     uuids = {r["band"]: r["uuid"] for r in calibration.last_uuids(packages.entries, ["band"]).collect()}
     product = {
@@ -147,7 +147,7 @@ def run(spark: SparkSession, package: str, output: str, options: Options = Optio
             _write_bytes(spark, f"{output}/quicklook.png", png.encode_png(png.collect_image(rgb, height, width)))
             thumbnail = "quicklook.png"
         else:
-            log.warning("Skipping quicklook: needs bands %s", RGB)
+            log.warning("No preview is written: it takes the bands %s, and not all of them are here.", ", ".join(RGB))
     if options.item:
         item = catalogue.catalogue_item(product, quicklook_href=thumbnail, qa_href="qa_report.json", created=created)
         _write_bytes(spark, f"{output}/{item['id']}.json", catalogue.to_json(item).encode())

@@ -3,8 +3,11 @@
 Tile rows are encoded in parallel: a group is one band's `block` lines, which
 become its tiles at full size and, as averages, at every overview factor (an
 overview's tiles are as much lower, so that no group needs a neighbour's
-lines). Then one task per band appends the encoded tiles to the file in order;
-it holds one tile at a time.
+lines). Then one task per band appends the encoded tiles to a file in order; it
+holds one tile at a time. That second step is a Spark data source for writing:
+every attempt of a task has files of its own, and only when all tasks are done
+are they renamed to their final places, so a task that is repeated or run twice
+leaves no trace.
 """
 
 from __future__ import annotations
@@ -15,9 +18,10 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyarrow import fs
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.datasource import DataSource, DataSourceWriter, WriterCommitMessage
 
 from ..operators.preview import OVERVIEW_FACTORS
 from ..sources import tiff as source
@@ -156,14 +160,83 @@ def encode_tiles(lines: DataFrame, keys: list[str], options: TiffOptions, value:
     return dealt.groupBy(*keys, "row").applyInArrow(encode, schema)
 
 
+@dataclass
+class Written(WriterCommitMessage):
+    """Files of one task: where they are, and where they belong."""
+
+    files: list[tuple[str, str]]
+
+
+class TileWriter(DataSourceWriter):
+    """Writes rows (path, height, width, data, layout), in file order: first a file's head (with `layout`), then its tiles."""
+
+    def __init__(self, folder: str, options: TiffOptions):
+        self.scratch, self.options = f"{folder}/_writing", options
+
+    def write(self, iterator):
+        task = TaskContext.get()
+        files, out = [], None
+        try:
+            for row in iterator:
+                if row.layout is not None:
+                    if out:
+                        out.close()
+                    place = f"{self.scratch}/{task.partitionId()}-{task.taskAttemptId()}-{len(files)}"
+                    files.append((place, row.path))
+                    system, inside = source.file_system(place)
+                    system.create_dir(inside.rpartition("/")[0], recursive=True)
+                    out = system.open_output_stream(inside)
+                    out.write(file_head(row.layout, row.height, row.width, self.options))
+                else:
+                    out.write(row.data)
+        finally:
+            if out:
+                out.close()
+        return Written(files)
+
+    def commit(self, messages):
+        for message in messages:
+            for place, path in message.files if message else ():
+                system, inside = source.file_system(place)
+                target = source.file_system(path)[1]
+                if system.get_file_info(target).is_file:
+                    system.delete_file(target)
+                system.move(inside, target)
+        self.abort(messages)
+
+    def abort(self, messages):
+        system, inside = source.file_system(self.scratch)
+        system.delete_dir_contents(inside, missing_dir_ok=True)
+        if system.get_file_info(inside).type.name == "Directory":
+            system.delete_dir(inside)
+
+
+class TileSink(DataSource):
+    """Options: `path` (the folder), `compress`, `block`, `factors`, `nodata`, `dtype`, as in `TiffOptions`."""
+
+    @classmethod
+    def name(cls) -> str:
+        return "tiff_tiles"
+
+    def writer(self, schema, overwrite):
+        o = self.options
+        factors = tuple(int(f) for f in o.get("factors", "").split(",") if f)
+        nodata = float(o["nodata"]) if o.get("nodata") else None
+        options = TiffOptions(o.get("compress", "deflate"), int(o.get("block", 512)), bool(factors), factors, nodata=nodata, dtype=o.get("dtype", "float32"))
+        return TileWriter(o["path"].rstrip("/"), options)
+
+
 def write_tiff(lines: DataFrame, folder: str, *, name: str = "band", keys: list[str] | None = None, options: TiffOptions = TiffOptions(), value: str = "radiance", scratch: str | None = None) -> DataFrame:
-    """Write one file per key to `folder`/<name><suffix>; returns (keys, path), computed and checked.
+    """Write one file per key to `folder`/<name><suffix>; returns (keys, path) of the files.
 
-    `scratch` is a shared folder for the encoded tiles (default: below `folder`).
+    `scratch` is a shared folder for the encoded tiles (default: below
+    `folder`); they are deleted when the files are there. The files appear
+    together, when all are written.
     """
     spark = lines.sparkSession
     keys = keys or [name]
-    work = (scratch or folder).rstrip("/") + "/_tiles"
+    given, folder = folder.rstrip("/"), source.qualified(spark, folder).rstrip("/")
+    work = source.qualified(spark, scratch or folder).rstrip("/") + "/_tiles"
     encode_tiles(lines, keys, options, value).write.mode("overwrite").parquet(work)
     tiles = spark.read.parquet(work)
     layout = F.array_sort(F.collect_list(F.struct("level", "row", "column", F.length("data").alias("size"))))
@@ -173,26 +246,11 @@ def write_tiff(lines: DataFrame, folder: str, *, name: str = "band", keys: list[
         tiles.withColumn("layout", none.cast(heads.schema["layout"].dataType))
     )
     ordered = stream.repartition(*keys).sortWithinPartitions(*keys, "level", "row", "column")
-    where = F.concat(F.lit(folder.rstrip("/") + "/"), F.col(name), F.lit(options.suffix))
-
-    def append(batches):
-        path, out = None, None
-        for batch in batches:
-            for i in range(batch.num_rows):
-                row = {n: batch.column(n)[i] for n in ("path", "height", "width", "data", "layout")}
-                if row["path"].as_py() != path:
-                    if out:
-                        out.close()
-                    path = row["path"].as_py()
-                    system, inside = fs.FileSystem.from_uri(path) if "://" in path else (fs.LocalFileSystem(), path)
-                    system.create_dir(inside.rpartition("/")[0], recursive=True)
-                    out = system.open_output_stream(inside)
-                    out.write(file_head(row["layout"].as_py(), row["height"].as_py(), row["width"].as_py(), options))
-                    yield pa.RecordBatch.from_arrays([pa.array([path])], ["path"])
-                else:
-                    out.write(row["data"].as_py())
-        if out:
-            out.close()
-
-    written = ordered.select(where.alias("path"), "height", "width", "data", "layout").mapInArrow(append, "path string")
-    return written.withColumn(name, F.regexp_extract("path", r"([^/]+)" + options.suffix.replace(".", r"\.") + "$", 1))
+    where = lambda top: F.concat(F.lit(top + "/"), F.col(name), F.lit(options.suffix)).alias("path")
+    spark.dataSource.register(TileSink)
+    settings = {"path": folder, "compress": options.compress, "block": options.block, "factors": ",".join(map(str, options.levels()[1:])), "nodata": "" if options.nodata is None else options.nodata, "dtype": options.dtype}
+    ordered.select(where(folder), "height", "width", "data", "layout").write.format("tiff_tiles").mode("append").options(**settings).save()
+    written = spark.createDataFrame(heads.select(*keys, where(given)).collect(), lines.select(*keys).schema.add("path", "string"))  # a row per file
+    system, inside = source.file_system(work)
+    system.delete_dir(inside)
+    return written

@@ -41,11 +41,22 @@ class Header:
     sizes: tuple[int, ...]
 
 
-def _open(path: str):
-    """A seekable input file of whatever file system the path names."""
+def qualified(spark: SparkSession, path: str) -> str:
+    """The path with its scheme, as Spark resolves it: one without a scheme belongs to the default file system, on whatever machine it is read."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(target).toString()
+
+
+def file_system(path: str) -> tuple[fs.FileSystem, str]:
+    """The file system that a path names, and the path inside it."""
     if "://" not in path and ":/" in path:
         path = path.replace(":/", ":///", 1)
-    system, inside = fs.FileSystem.from_uri(path) if "://" in path else (fs.LocalFileSystem(), path)
+    return fs.FileSystem.from_uri(path) if "://" in path else (fs.LocalFileSystem(), path)
+
+
+def _open(path: str):
+    """A seekable input file of whatever file system the path names."""
+    system, inside = file_system(path)
     return system.open_input_file(inside)
 
 
@@ -170,10 +181,13 @@ class LineRange(InputPartition):
 
 
 class LineReader(DataSourceReader):
-    """Plans one partition per file and block of lines; `path` and `line` filters prune partitions."""
+    """Plans one partition per file and block of lines; `path` and `line` filters prune partitions.
 
-    def __init__(self, paths: list[str], window: int, real: bool):
-        self.paths, self.window, self.real = paths, window, real
+    Heights that are given (0: not known) spare the driver a look into each file.
+    """
+
+    def __init__(self, paths: list[str], window: int, real: bool, heights: dict[str, int]):
+        self.paths, self.window, self.real, self.heights = paths, window, real, heights
         self.low, self.high = 0, 1 << 62
 
     def pushFilters(self, filters):
@@ -192,8 +206,10 @@ class LineReader(DataSourceReader):
     def partitions(self):
         found = []
         for path in self.paths:
-            with _open(path) as file:
-                height = read_header(file).height
+            height = self.heights.get(path, 0)
+            if not height:
+                with _open(path) as file:
+                    height = read_header(file).height
             for start in range(0, height, self.window):
                 stop = min(height, start + self.window)
                 if start < self.high and stop > self.low:
@@ -214,7 +230,7 @@ class LineReader(DataSourceReader):
 
 
 class LineSource(DataSource):
-    """Options: `paths` (newline-separated), `window_lines` (default 2048, in whole tiles of 512), `real` (read as float)."""
+    """Options: `paths` and `heights` (newline-separated), `window_lines` (default 2048, in whole tiles of 512), `real` (read as float)."""
 
     @classmethod
     def name(cls) -> str:
@@ -227,13 +243,16 @@ class LineSource(DataSource):
         return self.options.get("real", "false").lower() == "true"
 
     def reader(self, schema):
-        return LineReader([p for p in self.options.get("paths", "").split("\n") if p], int(self.options.get("window_lines", 2048)), self._real())
+        paths = [p for p in self.options.get("paths", "").split("\n") if p]
+        heights = [int(h) for h in self.options.get("heights", "").split("\n") if h]
+        return LineReader(paths, int(self.options.get("window_lines", 2048)), self._real(), dict(zip(paths, heights, strict=False)))
 
 
-def read_tiff(spark: SparkSession, paths: list[str], *, window_lines: int = 2048, real: bool = False) -> DataFrame:
-    """(path, line, values): every line of the rasters."""
+def read_tiff(spark: SparkSession, paths: list[str], *, window_lines: int = 2048, real: bool = False, heights: list[int] | None = None) -> DataFrame:
+    """(path, line, values): every line of the rasters. With `heights`, as `headers` finds them, the driver opens no file."""
     if window_lines < 1:
         raise ValueError("window_lines must be positive")
     spark.dataSource.register(LineSource)
     spark.conf.set("spark.sql.python.filterPushdown.enabled", True)
-    return spark.read.format("tiff_lines").option("paths", "\n".join(paths)).option("window_lines", window_lines).option("real", str(real).lower()).load()
+    options = {"paths": "\n".join(paths), "heights": "\n".join(map(str, heights or [])), "window_lines": window_lines, "real": str(real).lower()}
+    return spark.read.format("tiff_lines").options(**options).load()

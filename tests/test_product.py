@@ -124,7 +124,7 @@ def test_command_line(spark, tmp_path, capsys):
     package = three_bands(tmp_path / "p")
     assert cli.main(["-i", package, "-o", str(tmp_path / "a"), "-b", "R", "--no-quicklook", "--no-stac", "-q"]) == 0
     assert (tmp_path / "a" / "R.tif").exists() and not (tmp_path / "a" / "quicklook.png").exists()
-    assert "QA passed  : True" in capsys.readouterr().out
+    assert "quality passed" in capsys.readouterr().out
     assert cli.main(["-i", package, "-o", str(tmp_path / "b"), "--saturation-dn", "400", "-q"]) == 1
     with pytest.raises(KeyError):
         cli.main(["-i", package, "-o", str(tmp_path / "c"), "-b", "NIR", "-q"])
