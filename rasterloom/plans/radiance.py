@@ -114,7 +114,9 @@ def run(spark: SparkSession, package: str, output: str, options: Options = Optio
         log.warning("Discarding temperature timing: %d of %d samples lack a time; samples are spread evenly instead.", timing["missing"], timing["n"])
     log.info("Read acquisition %s (%d bands to process)", scene["scene_id"], len(chosen))
     store = f"{output.rstrip('/')}/radiance.parquet"
-    contexts = band_contexts(packages, options)
+    found = band_contexts(packages, options)
+    # one package's bands are few: worked out once, and small enough for Spark to broadcast to the lines
+    contexts = spark.createDataFrame(found.collect(), found.schema)
     lines = radiance_lines(spark, contexts, [known[b]["path"] for b in chosen], options, [known[b]["height"] for b in chosen]) if chosen else None
     rows: list[dict] = []
     if lines is not None:
