@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import item_id, micrometres, to_byte
 from ..operators import calibration, geometry, interpolation, ordered, preview, quality, raw_lines, reflectance, timing
+from ..sources import package
 
 #: Start of the telemetry clock, and microseconds per line.
 ORIGIN_US, LINE_US = 1_704_153_600_000_000, 48_384_000_000
@@ -534,3 +535,75 @@ def destripe_columns(spark, sf_dir):
     px = calibration.to_pixels(band_lines(spark, sf_dir), ["band", "line"]).select("band", "line", "col", F.col("dn").cast("double").alias("dn"))
     # the quarter keeps halves, on which engines round differently, off the edge
     return raw_lines.destripe(px, ["band"], "dn").select("band", "line", "col", F.floor(F.col("dn") * 1_000_000 + F.lit(0.25)).alias("dn_millionths"))
+
+
+# ---- documents of packages, and geometry ------------------------------------------------------------
+
+
+@query("filter_ids_last", sql("select cast(s_nationkey as varchar) as package, 'B' || s_suppkey % 5 as band, cast(max(s_suppkey) as int) as band_id from supplier group by all"))
+def filter_ids_last(spark, sf_dir):
+    """Nations as packages, their suppliers as a filter document; of a band name that occurs twice, the last."""
+    entry = F.struct("s_suppkey", F.concat(F.lit("B"), (F.col("s_suppkey") % 5).cast("string")).alias("name"), F.col("s_suppkey").cast("string").alias("id"))
+    listed = table(spark, sf_dir, "supplier").groupBy(F.col("s_nationkey").cast("string").alias("package")).agg(F.array_sort(F.collect_list(entry)).alias("f"))
+    text = F.to_json(F.transform("f", lambda f: F.struct(f["name"].alias("name"), f["id"].alias("id"))))
+    return package.filter_ids(listed.select("package", F.lit("calibration").alias("place"), F.lit("filters_1.json").alias("name"), text.alias("text")))
+
+
+IDENTITY = "select cast(s_suppkey as varchar) as package, 'S' || s_suppkey as scene_id, case when s_suppkey % 3 = 0 then '1970-01-01T00:00:' || lpad(cast(s_suppkey % 60 as varchar), 2, '0') || 'Z' else '1970-01-02T00:00:' || lpad(cast(s_suppkey % 60 as varchar), 2, '0') || 'Z' end as acquired_at, cast(case when s_suppkey % 3 = 0 then 0 else 86400000 end + s_suppkey % 60 * 1000 as double) as start_ms, s_suppkey / 10.0::double as offset_s, cast(s_suppkey + 100 as double) as line_period_us, '{\"_omitted\": true, \"count\": 2}' as scenes from supplier"
+
+
+@query("scene_identity", sql(IDENTITY))
+def scene_identity(spark, sf_dir):
+    """Suppliers as packages: identity, time (the start where it is given), clock offset, first session, trimmed provenance."""
+    key = F.col("s_suppkey")
+    second = F.concat(F.lpad((key % 60).cast("string"), 2, "0"), F.lit("Z"))
+    start = F.when(key % 3 == 0, F.lit("")).otherwise(F.concat(F.lit("1970-01-02T00:00:"), second))
+    properties = F.struct(start.alias("start_datetime"), F.concat(F.lit("1970-01-01T00:00:"), second).alias("datetime"), (key / 10).cast("string").alias("v:time_sync_offset"))
+    item = F.to_json(F.struct(F.lit("1.1.0").alias("stac_version"), F.concat(F.lit("S"), key.cast("string")).alias("id"), properties.alias("properties")))
+    one = lambda value: F.array(F.lit(value))
+    configuration = F.struct(
+        (key + 100).alias("LinePeriod"), F.lit(1).alias("SpectralBands"), one(4).alias("BandSetup"), one(0).alias("BandStartRow"), one(665.0).alias("BandCWL"), F.lit(1).alias("ScanDirection"), F.lit(0).alias("BinningFactor")
+    )
+    session = F.struct(configuration.alias("ImagerConfiguration"), F.struct(F.lit(1).alias("a"), F.lit(2).alias("b")).alias("Scenes"))
+    meta = F.to_json(F.struct(F.struct(session.alias("z"), F.struct(F.lit(0).alias("none")).alias("a")).alias("Sessions")))
+    files = F.explode(F.array(*[F.struct(F.lit(name).alias("name"), text.alias("text")) for name, text in (("item.json", item), ("metadata.json", meta))]))
+    docs = table(spark, sf_dir, "supplier").select(key.cast("string").alias("package"), F.lit("root").alias("place"), files.alias("f")).select("package", "place", "f.*")
+    return package.scenes(docs).select("package", "scene_id", "acquired_at", "start_ms", "offset_s", "line_period_us", F.col("metadata")["Scenes"].alias("scenes"))
+
+
+HERMITE = "select l_orderkey, l_linenumber, round((2 * u ** 3 - 3 * u ** 2 + 1) * p0 + (3 * u ** 2 - 2 * u ** 3) * p1 + ((u ** 3 - 2 * u ** 2 + u) * v0 + (u ** 3 - u ** 2) * v1) * 10, 6) as x from (select *, l_quantity::double as p0, l_extendedprice::double / 1000 as p1, l_tax::double as v0, l_discount::double as v1, l_discount::double * 10 as u from lineitem)"
+
+
+@query("state_hermite", sql(HERMITE))
+def state_hermite(spark, sf_dir):
+    """Positions between states with velocities, ten seconds apart; line items as pairs of states."""
+    real = lambda name: F.col(name).cast("double")
+    x = geometry.hermite(F.array(real("l_quantity")), F.array(real("l_tax")), F.array(real("l_extendedprice") / 1000), F.array(real("l_discount")), real("l_discount") * 10, F.lit(10.0))
+    return table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", F.round(x[0], 6).alias("x"))
+
+
+def _turn(angle):
+    """The attitude turned by an angle about the third axis."""
+    return F.array(F.lit(0.0), F.lit(0.0), F.sin(angle / 2), F.cos(angle / 2))
+
+
+TURNED = "select *, l_discount::double as a, l_discount::double + 0.5 + l_tax::double as b, l_quantity::double / 50 as u from lineitem"
+
+
+@query("attitude_slerp", sql("select l_orderkey, l_linenumber, round(sin((a + (b - a) * u) / 2), 9) as z, round(cos((a + (b - a) * u) / 2), 9) as w from t", t=TURNED))
+def attitude_slerp(spark, sf_dir):
+    """Attitudes about one axis, of which the angles are interpolated."""
+    start = F.col("l_discount").cast("double")
+    found = geometry.slerp(_turn(start), _turn(start + 0.5 + F.col("l_tax").cast("double")), F.col("l_quantity").cast("double") / 50)
+    return table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", F.round(found[2], 9).alias("z"), F.round(found[3], 9).alias("w"))
+
+
+RAY = "select l_orderkey, l_linenumber, round((x * cos(a) - y * sin(a)) / n, 9) as x, round((x * sin(a) + y * cos(a)) / n, 9) as y, round(2 / n, 9) as z from (select *, sqrt(x * x + y * y + 4) as n from (select *, l_linenumber * 0.01::double as y, (l_quantity::double - 25) * 0.01::double as x from t))"
+
+
+@query("viewing_rays", sql(RAY, t=TURNED))
+def viewing_rays(spark, sf_dir):
+    """Rays of detector pixels on a platform turned about its viewing axis."""
+    straight = F.array(*[F.array(*[F.lit(float(i == j)) for j in range(3)]) for i in range(3)])
+    ray = geometry.viewing_ray(F.col("l_quantity").cast("double"), F.col("l_linenumber").cast("double"), F.lit(25.0), F.lit(0.01), F.lit(2.0), straight, _turn(F.col("l_discount").cast("double")))
+    return table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", *[F.round(ray[i], 9).alias(c) for i, c in enumerate("xyz")])
