@@ -26,7 +26,7 @@ BLOCK = 64
 #: Distinct (language, bucket) pairs that a training task adds up before it passes them on.
 HELD = 4 << 20
 #: Bytes of text scored at once; the arrays over its n-grams take some 200 times as much.
-CHUNK = 1 << 19
+CHUNK = 1 << 18
 
 
 @cache
@@ -54,11 +54,11 @@ def _folded(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return folded[keep], owner[keep], has_letter
 
 
-def _grams(texts: list[str], bits: int, context: int = 0) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Bucket and document number of every n-gram that does not end in the first `context` characters, and whether each document has a letter."""
+def _gram_parts(texts: list[str], bits: int, context: int = 0) -> tuple[list[tuple[np.ndarray, np.ndarray]], np.ndarray]:
+    """For each length of n-grams their buckets and document numbers, in document order, without those that end in the first `context` characters; and whether each document has a letter."""
     codes, docs, has_letter = _folded(texts)
-    codes = codes.astype(np.uint64)
-    buckets, owners = [], []
+    codes, docs = codes.astype(np.uint64), docs.astype(np.int32)
+    parts = []
     hashed = np.zeros(len(codes), dtype=np.uint64)
     for n in (1, 2, 3):
         if len(codes) < n:
@@ -67,11 +67,15 @@ def _grams(texts: list[str], bits: int, context: int = 0) -> tuple[np.ndarray, n
         inside = docs[: len(hashed)] == docs[n - 1 :]
         inside[: max(0, context - n + 1)] = False
         mixed = (hashed * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - bits)
-        buckets.append(mixed[inside].astype(np.int64))
-        owners.append(docs[: len(hashed)][inside])
-    if not buckets:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64), has_letter
-    return np.concatenate(buckets), np.concatenate(owners), has_letter
+        parts.append((mixed[inside].astype(np.int32), docs[: len(hashed)][inside]))
+    return parts, has_letter
+
+
+def _grams(texts: list[str], bits: int, context: int = 0) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The same with all lengths in one."""
+    parts, has_letter = _gram_parts(texts, bits, context)
+    none = np.zeros(0, np.int32)
+    return np.concatenate([none, *(x for x, _ in parts)]), np.concatenate([none, *(x for _, x in parts)]), has_letter
 
 
 def _pieces(text: str) -> Iterator[tuple[str, int]]:
@@ -85,17 +89,19 @@ def _pieces(text: str) -> Iterator[tuple[str, int]]:
 
 
 def _evidence(texts: list[str], bits: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """Buckets, document numbers, and documents with a letter, of all texts: short ones together, long ones piece by piece."""
+    """Buckets, document numbers (in order), and documents with a letter, of all texts: short ones together by length of n-gram, long ones piece by piece."""
     short = [i for i, x in enumerate(texts) if len(x) <= CHUNK]
     if short:
-        buckets, owners, letter = _grams([texts[i] for i in short], bits)
+        parts, letter = _gram_parts([texts[i] for i in short], bits)
         place = np.array(short)
-        yield buckets, place[owners], place[letter]
+        for buckets, owners in parts:
+            yield buckets, place[owners], place[letter]
     for i, text in enumerate(texts):
         if len(text) > CHUNK:
             for piece, context in _pieces(text):
-                buckets, owners, letter = _grams([piece], bits, context)
-                yield buckets, owners + i, np.full(int(letter.any()), i)
+                parts, letter = _gram_parts([piece], bits, context)
+                for buckets, owners in parts:
+                    yield buckets, owners + i, np.full(int(letter.any()), i)
 
 
 def train(
@@ -188,11 +194,9 @@ def predict(docs: DataFrame, model: tuple[list[str], np.ndarray], *, text_col: s
                 known = np.zeros(len(texts), dtype=bool)
                 for buckets, owners, letter in _evidence(texts, bits):
                     known[letter] = True
-                    order = np.argsort(owners, kind="stable")
-                    owners = owners[order]
                     starts = np.flatnonzero(np.diff(owners, prepend=-1))
                     if len(starts):
-                        total[owners[starts]] += np.add.reduceat(table[buckets[order]], starts, axis=0, dtype=np.float64)
+                        total[owners[starts]] += np.add.reduceat(table[buckets], starts, axis=0, dtype=np.float64)
                 here, best = total.max(axis=1), total.argmax(axis=1)
                 before = part.column("top").to_numpy()
                 top = np.maximum(before, here)
