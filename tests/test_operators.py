@@ -1,13 +1,14 @@
 """Operators on the small fixtures, against values worked out by hand or by numpy."""
 
 import math
+import random
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from rasterloom.functions import columns, models
-from rasterloom.operators import calibration, geometry, interpolation, preview, quality, raw_lines, reflectance, timing
+from rasterloom.operators import calibration, geometry, interpolation, ordered, preview, quality, raw_lines, reflectance, timing
 
 NAN, INF = float("nan"), float("inf")
 
@@ -232,3 +233,37 @@ def test_geometry(spark):
     assert row["eighth"] == pytest.approx([0, 0, math.sin(math.pi / 8), math.cos(math.pi / 8)]) == row["shorter"]
     assert row["same"] == [0, 0, 0, 1] and row["ray"] == pytest.approx([0, 0, 1]) and row["backward"] == 16.0
     assert row["cubic"] == pytest.approx([0.5 * 8 + 2 * (0.125 * 1 - 0.125 * 12)])  # the four weights at the middle
+
+
+# ---- orders cut into ranges ---------------------------------------------------------------
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_interpolation_over_many_ranges_equals_arrays(spark, monkeypatch, seed):
+    monkeypatch.setattr(interpolation, "SORTED", 4)
+    monkeypatch.setattr(interpolation, "JOINED", 3)
+    rng = random.Random(seed)
+    samples = []
+    for key, n in (("a", 1), ("b", 12), ("c", 40)):
+        spread = [rng.choice([rng.uniform(-20, 70), float(rng.randint(-5, 60))]) for _ in range(n)]
+        samples += [(key, i, float(x), rng.uniform(-9, 9)) for i, x in enumerate(spread)]
+    samples += [("c", 40, samples[-1][2], 5.0), ("d", 0, 10.0, 1.0), ("d", 1, 900.0, 2.0)]  # a tie, and an empty stretch of many ranges
+    lines = [(key, line) for key in "abcd" for line in range(0, 50, 1 if key != "d" else 7)]
+    s, ln = spark.createDataFrame(samples, "k string, ord int, x double, y double"), spark.createDataFrame(lines, "k string, line int")
+    want = ln.join(interpolation.sample_array(s, ["k"]), "k").select("k", "line", interpolation.by_array(F.col("line"), F.col("samples")).alias("t"))
+    want = sorted(map(tuple, want.collect()))
+    for form in (interpolation.by_window, interpolation.by_segments):
+        assert sorted(tuple(r) for r in form(ln, s, ["k"]).select("k", "line", "t").collect()) == want
+
+
+def test_places_and_brackets_over_many_ranges(spark):
+    rows = [(k, o) for k in "ab" for o in random.Random(4).sample(range(-50, 90), 30 if k == "a" else 1)]
+    placed = ordered.places(spark.createDataFrame(rows, "k string, o int"), ["k"], "o", count="n", span=7).collect()
+    for k in "ab":
+        own = sorted(r["o"] for r in placed if r["k"] == k)
+        assert all((r["place"], r["n"]) == (own.index(r["o"]), len(own)) for r in placed if r["k"] == k)
+    states = spark.createDataFrame([("a", float(t), [float(t)]) for t in (3, 4, 50)], "k string, t double, state array<double>")
+    times = spark.createDataFrame([("a", float(t)) for t in (0, 3, 10, 49, 50, 99)], "k string, t double")
+    for span in (2.0, 4096.0):
+        found = {r["t"]: (r["t0"], r["t1"]) for r in geometry.bracket(times, states, ["k"], span=span).collect()}
+        assert found == {0.0: (3.0, 3.0), 3.0: (3.0, 4.0), 10.0: (4.0, 50.0), 49.0: (4.0, 50.0), 50.0: (50.0, 50.0), 99.0: (50.0, 50.0)}
