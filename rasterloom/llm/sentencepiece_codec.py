@@ -303,7 +303,9 @@ def encode(docs: DataFrame, *, model_path: str = DEFAULT_MODEL, id_col: str = "d
 
     Null and empty texts have no pieces. A literal U+2581 counts as a blank,
     as in the model's own normalisation. Columns besides id and text are not
-    read; repeated rows are encoded each for itself.
+    read; repeated rows are encoded each for itself, and an empty table gives
+    no rows. A long text is one row's work: its words are cut and encoded
+    together.
     """
     shared = docs.sparkSession.sparkContext.broadcast(Pieces.load(model_path))
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
