@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, html_text, language_id, mixing, quality_rules, secret_scan, sentencepiece_codec, simhash, suffix_sort, suffix_tree
+from . import ann, filter_audit, html_text, language_id, merkle, mixing, quality_rules, secret_scan, sentencepiece_codec, simhash, suffix_sort, suffix_tree
 from .sql import SQL
 
 
@@ -66,6 +66,23 @@ def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(_table(spark, sf_dir, "pages"))
 
 
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tampering adds 1 to n_chars of the rows that 7 divides the checksum of."""
+    fields = lambda n_chars: (F.col("doc_id"), F.col("source"), F.col("lang"), n_chars, F.col("text"))
+    tampered = F.crc32(F.col("doc_id").cast("string")) % 7 == 0
+    more = F.col("n_chars").cast("decimal(38,0)") + F.when(tampered, 1).otherwise(0)
+    docs = _table(spark, sf_dir, "documents").withColumn("presented", merkle.leaf(*fields(more)))
+    found = merkle.manifest(docs, merkle.leaf(*fields(F.col("n_chars"))), carry=["presented"])
+    folded = found.withColumn("folded_root", merkle.fold(F.col("presented"), F.col("siblings"), F.col("sides")))
+    return folded.select(
+        "doc_id", "leaf", "subroot", "root", F.sha2(F.array_join("siblings", ""), 256).alias("proof_sha256"), "folded_root", (F.col("folded_root") == F.col("root")).alias("verified")
+    )
+
+
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def queries() -> dict:
     found = {k: f for k, f in globals().items() if k.startswith("op") and callable(f)}
     return dict(sorted(found.items(), key=lambda x: int(x[0][2:].split("_")[0])))
