@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, filter_audit, html_text, language_id, merkle, mixing, quality_rules, secret_scan, sentencepiece_codec, simhash, suffix_sort, suffix_tree
+from . import ann, filter_audit, html_text, jaccard_join, language_id, merkle, mixing, quality_rules, secret_scan, sentencepiece_codec, simhash, suffix_sort, suffix_tree
 from .sql import SQL
 
 
@@ -66,6 +66,10 @@ def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(_table(spark, sf_dir, "pages"))
 
 
+def op11_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.join(_table(spark, sf_dir, "documents"))
+
+
 def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tampering adds 1 to n_chars of the rows that 7 divides the checksum of."""
     fields = lambda n_chars: (F.col("doc_id"), F.col("source"), F.col("lang"), n_chars, F.col("text"))
