@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from . import ordered
+
 
 def accumulate_rows(raw: DataFrame, setup: DataFrame, keys: list[str]) -> DataFrame:
     """Sum the rows [start_row, start_row + tdi) of raw pixels (keys, row, line, col, dn) for each band of `setup`, in 64 bits.
@@ -21,11 +23,14 @@ def bin_pixels(pixels: DataFrame, keys: list[str], factor: int) -> DataFrame:
     return pixels.groupBy(*keys, F.floor(F.col("line") / factor).alias("line"), F.floor(F.col("col") / factor).alias("col")).agg(F.sum(F.col("dn").cast("bigint")).alias("dn"))
 
 
-def line_gaps(lines: DataFrame, keys: list[str]) -> DataFrame:
-    """(keys, line, missing, repeated): lines after which some are missing, and lines that occur more than once."""
-    counted = lines.groupBy(*keys, "line").agg(F.count("*").alias("n"))
-    follow = F.lead("line").over(Window.partitionBy(*keys).orderBy("line"))
-    found = counted.select(*keys, "line", F.coalesce(follow - F.col("line") - 1, F.lit(0)).alias("missing"), (F.col("n") - 1).alias("repeated"))
+def line_gaps(lines: DataFrame, keys: list[str], *, line: str = "line", span: float = 65_536.0) -> DataFrame:
+    """(keys, line, missing, repeated): lines after which some are missing, and lines that occur more than once.
+
+    Lines are cut into ranges of `span`, so a scene of any length spreads over many tasks.
+    """
+    counted = lines.groupBy(*keys, line).agg(F.count("*").alias("n"))
+    near = ordered.neighbours(counted, keys, line, [], F.lit(True), F.col(line), span=span)
+    found = near.select(*keys, line, F.coalesce(F.col("after") - F.col(line) - 1, F.lit(0)).alias("missing"), (F.col("n") - 1).alias("repeated"))
     return found.where("missing > 0 or repeated > 0")
 
 

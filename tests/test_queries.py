@@ -3,7 +3,7 @@
 import pytest
 from oracle import connect, differences
 
-from rasterloom.plans import derived
+from rasterloom.plans import derived, derived_levels  # noqa: F401  (registers its queries)
 
 SF = __import__("os").environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
