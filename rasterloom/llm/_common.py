@@ -28,9 +28,15 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """Write `df` to the shared checkpoint folder and go on from there."""
+    """Write `df` to the shared checkpoint folder and go on from there.
+
+    Spark deletes shuffle files, and checkpoints where it is told to, once the
+    driver's JVM has found their owners unused; it is asked to look right away.
+    """
     ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    kept = df.checkpoint(eager=True)
+    df.sparkSession.sparkContext._jvm.System.gc()
+    return kept
 
 
 def partitions(spark: SparkSession) -> int:

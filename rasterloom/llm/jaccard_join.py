@@ -25,13 +25,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from . import _bitmap
 from ._common import arrow_map, cut, partitions, slices
 from ._graph import connected_components
 from .simhash import shingle_hashes
 
 WIDTH, PERCENT = 3, 90
-#: Shingles of a block of sets; a tile holds two blocks.
-BLOCK = 500_000
+#: Shingles of a cluster that is compared whole, and of such clusters in one tile.
+SMALL, BIN = 60_000, 500_000
+#: A larger cluster's band is dealt into blocks of SMALL shingles, up to so many, beyond which the blocks grow up to LARGE.
+BLOCKS, LARGE = 16, 1_000_000
 #: Bits of a signature, at least and at most.
 MIN_BITS, MAX_BITS = 256, 8192
 #: Upper ends of the bands of sizes grow by half.
@@ -136,8 +139,19 @@ def _sets(texts: DataFrame, width: int) -> DataFrame:
 def clusters(described: DataFrame) -> DataFrame:
     """(node, cluster): 64-bit hashes of sets that share a part with another, directly or through others."""
     n = partitions(described.sparkSession)
-    entries = described.where("node is not null").select(F.xxhash64("node").alias("node"), F.explode("keys").alias("key"))
-    shared = entries.groupBy("key").agg(F.min("node").alias("least"), F.max("node").alias("most")).where("least < most").select("key", "least")
+    held = described.where("node is not null").select(F.xxhash64("node").alias("node"), "keys")
+    entries = held.select("node", F.explode("keys").alias("key"))
+    shared = cut(entries.groupBy("key").agg(F.min("node").alias("least"), F.max("node").alias("most")).where("least < most").select("key", "least"))
+    known = _bitmap.of(shared.select("key"))
+
+    def run(batches):
+        for batch in batches:
+            lists = batch.column("keys")
+            keys, nodes = lists.flatten().to_numpy(), np.repeat(batch.column("node").to_numpy(), lists.value_lengths().to_numpy())
+            may = _bitmap.holds(known, keys)
+            yield pa.RecordBatch.from_arrays([pa.array(nodes[may]), pa.array(keys[may])], ["node", "key"])
+
+    entries = arrow_map(held, run, "node long, key long")
     # dealt anew, so that Spark can split a key of very many sets in the join
     edges = entries.join(shared.repartition(n), "key").select(F.col("node").alias("u"), F.col("least").alias("v")).distinct()
     return connected_components(edges).withColumnRenamed("component", "cluster")
@@ -213,17 +227,18 @@ def tiles(sets: DataFrame, percent: int) -> DataFrame:
     start = lambda b: F.element_at(bands, (b + 1).cast("int"))
     sized = sets.withColumn("band", (F.size(F.filter(bands, lambda x: x <= F.col("n"))) - 1).cast("int"))
     per_band = sized.groupBy("cluster", "band").agg(F.sum("n").alias("held"))
-    blocks = per_band.select("cluster", "band", F.ceil(F.col("held") / BLOCK).cast("int").alias("blocks"), "held")
+    n_blocks = F.greatest(F.least(F.ceil(F.col("held") / SMALL), F.lit(BLOCKS)), F.ceil(F.col("held") / LARGE))
+    blocks = per_band.select("cluster", "band", n_blocks.cast("int").alias("blocks"), "held")
     whole = cut(blocks.groupBy("cluster").agg(F.sum("held").alias("held"), F.map_from_entries(F.collect_list(F.struct("band", "blocks"))).alias("blocks")))
-    total = whole.agg(F.sum(F.when(F.col("held") <= BLOCK, F.col("held")))).first()[0] or 0
-    bins = max(partitions(spark), -(-total // BLOCK))
+    total = whole.agg(F.sum(F.when(F.col("held") <= SMALL, F.col("held")))).first()[0] or 0
+    bins = max(partitions(spark), -(-total // BIN))
     n = partitions(spark)
 
-    small = whole.where(F.col("held") <= BLOCK).select("cluster", F.pmod(F.xxhash64("cluster"), F.lit(bins)).cast("int").alias("bin"))
+    small = whole.where(F.col("held") <= SMALL).select("cluster", F.pmod(F.xxhash64("cluster"), F.lit(bins)).cast("int").alias("bin"))
     none = F.lit(-1)
     few = sized.join(small.repartition(n), "cluster").select("cluster", "node", "shingles", F.lit(0).alias("side"), F.col("bin").alias("a"), none.alias("b"), none.alias("i"), none.alias("j"))
 
-    large = whole.where(F.col("held") > BLOCK).select("cluster", "blocks").repartition(n)
+    large = whole.where(F.col("held") > SMALL).select("cluster", "blocks").repartition(n)
     of = lambda band: F.coalesce(F.element_at("blocks", band), F.lit(0))
     many = sized.join(large, "cluster").withColumn("own", F.pmod(F.xxhash64("node"), of(F.col("band")).cast("long")).cast("int"))
     upto = lambda k: F.when(k > 0, F.sequence(F.lit(0), k - 1)).otherwise(F.array().cast("array<int>"))
@@ -245,7 +260,15 @@ def links(docs: DataFrame, described: DataFrame, *, text_col: str = "text", widt
     # one text of each set that meets another; texts alike in their 64-bit hash but not in their set come along
     one = described.where("node is not null").groupBy("node").agg(F.min("said").alias("said")).select(F.xxhash64("node").alias("short"), "said")
     wanted = one.join(met.withColumnRenamed("node", "short"), "short").select("said").distinct()
-    texts = docs.select(F.col(text_col).alias("text"), F.xxhash64(text_col).alias("said")).join(wanted.repartition(n, "said"), "said", "left_semi").select("text", "said")
+    wanted = cut(wanted)
+    known = _bitmap.of(wanted)
+
+    def run(batches):
+        for batch in batches:
+            yield batch.filter(pa.array(_bitmap.holds(known, batch.column("said").to_numpy())))
+
+    texts = docs.where(F.col(text_col).isNotNull()).select(F.col(text_col).alias("text"), F.xxhash64(text_col).alias("said"))
+    texts = arrow_map(texts, run, "text string, said long").join(wanted.repartition(n, "said"), "said", "left_semi").select("text", "said")
     sets = _sets(texts, width).where("n > 0").withColumn("short", F.xxhash64("node"))
     once = cut(sets.dropDuplicates(["node"]).join(met.withColumnRenamed("node", "short"), "short").select("node", "n", "shingles", "cluster"))
     dealt = tiles(once, percent)
