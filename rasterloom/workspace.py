@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def folder(spark: SparkSession) -> str:
@@ -17,3 +17,13 @@ def folder(spark: SparkSession) -> str:
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         base = tempfile.mkdtemp(prefix="spark-work-", dir="/tmp")
     return f"{base.rstrip('/')}/{uuid.uuid4()}"
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """Write `df` to the checkpoint folder and go on from there; the shuffle files behind it can go."""
+    sc = df.sparkSession.sparkContext
+    if sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(folder(df.sparkSession))
+    kept = df.checkpoint(eager=True)
+    sc._jvm.System.gc()  # Spark deletes shuffle files once their owners are found unused
+    return kept
