@@ -10,9 +10,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import workspace
-from ..operators import compression, ordered
+from ..operators import compression, fit, ordered, terrain, warp
 from ..sources import packets
-from .derived import lines, query, sql, table
+from .derived import COLUMNS, lines, query, sql, table
 
 # ---- packets ----------------------------------------------------------------------
 
@@ -82,3 +82,121 @@ def packet_gaps(spark, sf_dir):
     """Sequence numbers that are missing after a packet, and packets received twice."""
     found = packets.sequence_gaps(stream(spark, sf_dir), ["channel"])
     return found.select(F.col("channel").alias("band"), F.col("sequence").alias("line"), "missing", "repeated")
+
+
+# ---- rays, fits, warps ---------------------------------------------------------------
+
+#: A square of 14 x 14 nodes, which the parts of every scale fill; heights of up to 2000 m from their sizes.
+NODE_SIDE = 14
+GROUND = terrain.Grid(45.0, 7.0, 0.08, cells=4)
+TOP = 2100.0
+SATELLITE = (45.5, 7.5, 500_000.0)
+
+
+def ground_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    node = F.col("p_partkey") % (NODE_SIDE * NODE_SIDE)
+    mean = table(spark, sf_dir, "part").groupBy(node.alias("node")).agg((F.sum("p_size") * 40 / F.count("*")).alias("height"))
+    return mean.select(F.floor(F.col("node") / NODE_SIDE).alias("row"), (F.col("node") % NODE_SIDE).alias("col"), "height")
+
+
+def order_rays(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(o_orderkey, origin, ray): from one platform towards places told by the orders; some look past the heights, some away from the Earth."""
+    key = F.col("o_orderkey")
+    lat = F.lit(45.02) + (key % 997) / F.lit(997.0) + F.when(key % 31 == 0, 2.0).otherwise(0.0)
+    lon = F.lit(7.02) + (F.col("o_custkey") % 991) / F.lit(991.0)
+    at = table(spark, sf_dir, "orders").select("o_orderkey", terrain.ecef(*map(F.lit, SATELLITE)).alias("origin"), terrain.ecef(lat, lon, F.lit(0.0)).alias("at"))
+    to = F.zip_with("at", "origin", lambda a, o: F.when(key % 29 == 0, o - a).otherwise(a - o))
+    length = F.sqrt(F.aggregate(F.col("to"), F.lit(0.0), lambda s, x: s + x * x))
+    return at.withColumn("to", to).select("o_orderkey", "origin", F.transform("to", lambda x: x / length).alias("ray"))
+
+
+E2, EP2 = "(1 - power(6356752.314245179 / 6378137.0, 2))", "(power(6378137.0 / 6356752.314245179, 2) - 1)"
+
+
+def _ecef_sql(lat: str, lon: str, height: str) -> str:
+    n = f"(6378137.0::double / sqrt(1 - {E2} * power(sin(radians({lat})), 2)))"
+    return f"({n} + {height}) * cos(radians({lat})) * cos(radians({lon})) as {{0}}x, ({n} + {height}) * cos(radians({lat})) * sin(radians({lon})) as {{0}}y, ({n} * (1 - {E2}) + {height}) * sin(radians({lat})) as {{0}}z"
+
+
+#: The ray's place is corrected 40 times by its gap to the ground, then reported; ground that is not there ends it.
+RAYS_SQL = f"""
+with recursive nodes as (select list(h order by node) as g from (select p_partkey % 196 as node, sum(p_size) * 40 / count(*)::double as h from part group by 1)),
+aims as (select o_orderkey, 45.02::double + (o_orderkey % 997) / 997.0::double + case when o_orderkey % 31 = 0 then 2 else 0 end as lat, 7.02::double + (o_custkey % 991) / 991.0::double as lon from orders),
+ends as (select o_orderkey, {_ecef_sql("lat", "lon", "0").format("a")}, {_ecef_sql("45.5::double", "7.5::double", "500000").format("o")} from aims),
+rays as (select o_orderkey, ox, oy, oz, (ax - ox) * s / l as dx, (ay - oy) * s / l as dy, (az - oz) * s / l as dz from (select *, case when o_orderkey % 29 = 0 then -1 else 1 end as s, sqrt(power(ax - ox, 2) + power(ay - oy, 2) + power(az - oz, 2)) as l from ends)),
+scaled as (select *, dx * dx / p + dy * dy / p + dz * dz / q as qa, ox * dx / p + oy * dy / p + oz * dz / q as qb, ox * ox / p + oy * oy / p + oz * oz / q - 1 as qc from (select *, power(6378137.0 + {TOP}, 2) as p, power(6356752.314245179 + {TOP}, 2) as q from rays)),
+starts as (select *, case when qb * qb - qa * qc >= 0 and qb < 0 then (-qb - sqrt(qb * qb - qa * qc)) / qa end as t from scaled),
+walk as (
+  select o_orderkey, 0 as n, t from starts where t is not null
+  union all
+  select o_orderkey, n + 1, t + (h - ground) / -(dx * cos(lat) * cos(lon) + dy * cos(lat) * sin(lon) + dz * sin(lat)) from (
+    select *, (1 - a) * ((1 - b) * g[k + 1] + b * g[k + 2]) + a * ((1 - b) * g[k + 15] + b * g[k + 16]) as ground from (
+      select *, u - floor(u) as a, v - floor(v) as b, cast(floor(u) as int) * 14 + cast(floor(v) as int) as k from (
+        select *, (degrees(lat) - 45) / 0.08::double as u, (degrees(lon) - 7) / 0.08::double as v, flat * cos(lat) + z * sin(lat) - 6378137.0::double * sqrt(1 - {E2} * power(sin(lat), 2)) as h from (
+          select *, atan2(z + {EP2} * 6356752.314245179::double * power(sin(beta), 3), flat - {E2} * 6378137.0::double * power(cos(beta), 3)) as lat, atan2(y, x) as lon from (
+            select *, sqrt(x * x + y * y) as flat, atan2(z * 6378137.0::double, sqrt(x * x + y * y) * 6356752.314245179::double) as beta from (
+              select walk.o_orderkey, n, walk.t, dx, dy, dz, ox + walk.t * dx as x, oy + walk.t * dy as y, oz + walk.t * dz as z from walk join starts using (o_orderkey) where n < 40))))
+      where u >= 0 and u < 13 and v >= 0 and v < 13), nodes)),
+last as (select o_orderkey, max(n) as n, arg_max(t, n) as t from walk group by o_orderkey),
+spots as (select o_orderkey, n, case when n = 40 then ox + last.t * dx end as x, case when n = 40 then oy + last.t * dy end as y, case when n = 40 then oz + last.t * dz end as z from last join starts using (o_orderkey)),
+seen as (select *, sqrt(x * x + y * y) as flat, atan2(z * 6378137.0::double, sqrt(x * x + y * y) * 6356752.314245179::double) as beta from spots),
+told as (select *, atan2(z + {EP2} * 6356752.314245179::double * power(sin(beta), 3), flat - {E2} * 6378137.0::double * power(cos(beta), 3)) as lat, atan2(y, x) as lon from seen)
+select o_orderkey, case when n is null then 'miss' when n < 40 then 'no terrain' else 'hit' end as status,
+  cast(floor(degrees(lat) * 10000000 + 0.25) as bigint) as lat_e7, cast(floor(degrees(lon) * 10000000 + 0.25) as bigint) as lon_e7,
+  cast(floor((flat * cos(lat) + z * sin(lat) - 6378137.0::double * sqrt(1 - {E2} * power(sin(lat), 2))) * 100 + 0.25) as bigint) as height_cm
+from orders left join told using (o_orderkey)
+"""
+
+
+@query("terrain_rays", RAYS_SQL)
+def terrain_rays(spark, sf_dir):
+    """Where the rays of orders meet ground whose heights are the sizes of parts."""
+    tiles = terrain.height_tiles(ground_nodes(spark, sf_dir), GROUND)
+    found = terrain.intersect(order_rays(spark, sf_dir), tiles, GROUND, ["o_orderkey"], top=TOP)
+    whole = lambda c, scale: F.floor(F.col(c) * scale + F.lit(0.25))
+    return found.select("o_orderkey", "status", whole("lat", 10_000_000).alias("lat_e7"), whole("lon", 10_000_000).alias("lon_e7"), whole("height", 100).alias("height_cm"))
+
+
+#: The slopes of a plane in two variables, from covariances; a second round leaves out what is off by more than twice the root mean square.
+PLANE = "select l_returnflag, count(*) as used, (covar_pop(z, x) * var_pop(y) - covar_pop(z, y) * covar_pop(x, y)) / (var_pop(x) * var_pop(y) - power(covar_pop(x, y), 2)) as b, (covar_pop(z, y) * var_pop(x) - covar_pop(z, x) * covar_pop(x, y)) / (var_pop(x) * var_pop(y) - power(covar_pop(x, y), 2)) as c, avg(x) as mx, avg(y) as my, avg(z) as mz from {} group by l_returnflag"
+OFF = "select pts.*, z - (mz + b * (x - mx) + c * (y - my)) as off from pts join {} using (l_returnflag)"
+FIT_SQL = sql(
+    "select l_returnflag, used, round(mz - b * mx - c * my, 6) as at_zero, round(b, 9) as by_line, round(c, 9) as by_col from second",
+    pts="select l_returnflag, l_linenumber::double as x, l_quantity::double as y, 10 + 0.5 * l_linenumber::double + 0.25 * l_quantity::double + l_discount::double * 4 - l_tax::double * 3 + case when l_orderkey % 40 = 0 then 30 else 0 end as z from lineitem",
+    first=PLANE.format("pts"), off=OFF.format("first"), spread="select l_returnflag, 2 * sqrt(avg(off * off)) as most from off group by 1",
+    kept="select off.* from off join spread using (l_returnflag) where abs(off) <= most", second=PLANE.format("kept"),
+)
+
+
+@query("sensor_fit", FIT_SQL)
+def sensor_fit(spark, sf_dir):
+    """A linear model of places by line and column, fitted twice; line items as tie points, some of them far off."""
+    real = lambda c: F.col(c).cast("double")
+    z = 10 + 0.5 * real("l_linenumber") + 0.25 * real("l_quantity") + real("l_discount") * 4 - real("l_tax") * 3 + F.when(F.col("l_orderkey") % 40 == 0, 30).otherwise(0)
+    points = table(spark, sf_dir, "lineitem").select("l_returnflag", real("l_linenumber").alias("x"), real("l_quantity").alias("y"), z.alias("z"))
+    found = fit.robust(points, ["l_returnflag"], fit.monomials([F.col("x"), F.col("y")], 1), F.col("z"), sigmas=2.0, rounds=2)
+    c = F.col("coefficients")
+    return found.select("l_returnflag", "used", F.round(c[0], 6).alias("at_zero"), F.round(c[1], 9).alias("by_line"), F.round(c[2], 9).alias("by_col"))
+
+
+#: An output pixel's place in the source, the four counts around it, and their weights; places outside the source have no value.
+WARP_SQL = sql(
+    "select spots.band, spots.line, spots.col, case when y >= 0 and y <= h - 1 and x >= 0 and x <= 63 then cast((1 - u) * ((1 - v) * p00.dn + case when v > 0 then v * p01.dn else 0 end) + case when u > 0 then u * ((1 - v) * p10.dn + case when v > 0 then v * p11.dn else 0 end) else 0 end as float) else cast('nan' as float) end as dn from spots "
+    + " ".join(f"left join px p{a}{b} on p{a}{b}.band = spots.band and p{a}{b}.line = spots.i + {a} and p{a}{b}.col = spots.j + {b}" for a in (0, 1) for b in (0, 1)),
+    "px",
+    tall="select band, max(line) + 1 as h from raw group by band",
+    cells="select band, h, line, unnest(range(48)) as col from (select band, h, unnest(range(h)) as line from tall)",
+    spots="select *, y - floor(y) as u, x - floor(x) as v, cast(floor(y) as bigint) as i, cast(floor(x) as bigint) as j from (select *, 0.3::double + 0.1::double * col + 0.75::double * line as y, 1.25::double + 1.375::double * col + -0.0625::double * line as x from cells)",
+)
+
+
+@query("warp_lines", WARP_SQL)
+def warp_lines(spark, sf_dir):
+    """The bands' counts on a turned and stretched grid, bilinear."""
+    taken = lines(spark, sf_dir)
+    models = taken.groupBy("band").agg((F.max("line") + 1).alias("height")).select(
+        "band", "height", F.lit(COLUMNS).alias("width"), F.col("height").alias("out_height"), F.lit(48).alias("out_width"),
+        F.array(*map(F.lit, (0.3, 0.1, 0.75))).alias("to_line"), F.array(*map(F.lit, (1.25, 1.375, -0.0625))).alias("to_col"),
+    )
+    found = warp.warp(taken, models, ["band"], value="dn", tile=32)
+    return found.select("band", F.col("line").cast("long").alias("line"), F.posexplode("values").alias("col", "dn"))
