@@ -27,7 +27,7 @@ from ._common import cut, partitions
 #: Leaves of a partition of the sorted table.
 LEAVES = 20_000
 #: Neighbouring partitions whose end nodes meet in the first round, as a power of two.
-NEAR = 8
+NEAR = 4
 
 
 def join_digests(text: str) -> str:
