@@ -11,6 +11,7 @@ import logging
 import time
 from dataclasses import dataclass
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,6 +20,7 @@ from ..operators import calibration, interpolation, preview, quality
 from ..sinks import catalogue, png
 from ..sinks.tiff import TiffOptions, write_tiff
 from ..sources import package as source
+from ..sources import tiff as source_tiff
 from ..sources.tiff import read_tiff
 
 log = logging.getLogger(__name__)
@@ -77,15 +79,22 @@ def pixel_report(lines: DataFrame, keys: list[str], thresholds: quality.Threshol
     return quality.band_report(pixels, keys, thresholds)
 
 
-def quicklook_pixels(lines: DataFrame, height: int, width: int, options: Options) -> tuple[DataFrame, int, int]:
-    """RGB bytes of the preview and its size; averages are combined before the shuffle. An error if a band is missing."""
-    if missing := preview.missing_bands(lines.select("band").distinct(), RGB).first()["missing"]:
+def quicklook(spark: SparkSession, paths: dict[str, str], options: Options = Options()) -> np.ndarray:
+    """The RGB preview of rasters by band, as bytes. An error if a band is missing.
+
+    The smallest overview that is still larger than the preview is read, as
+    lines; no pixel becomes a row.
+    """
+    if missing := [b for b in RGB if b not in paths]:
         raise KeyError(f"missing bands for the quicklook: {missing}")
+    first = source_tiff.images_of(paths[RGB[0]])
+    _, height, width = first[0]
     out_height, out_width = preview.output_shape(height, width, options.quicklook_size)
-    picked = lines.where(F.col("band").isin(*RGB)).select("band", "line", F.posexplode("radiance").alias("col", "radiance"))
-    small = preview.decimate(picked, ["band"], F.lit(height), F.lit(width), F.lit(out_height), F.lit(out_width))
-    levels = preview.stretched(small, ["band"], *options.stretch)
-    return preview.stack_rgb(levels, [], RGB), out_height, out_width
+    directory, tall, wide = source_tiff.choose_image(first, out_height, out_width)
+    picked = [paths[b] for b in RGB]
+    lines = read_tiff(spark, picked, real=True, heights=[tall] * len(picked), directory=directory, window_lines=512)
+    small = preview.decimate_lines(lines, ["path"], tall, wide, out_height, out_width)
+    return png.collect_channels(preview.stretch_lines(small, ["path"], *options.stretch), "path", tuple(picked), out_height, out_width)
 
 
 def _write_bytes(spark: SparkSession, path: str, data: bytes) -> None:
@@ -100,7 +109,7 @@ def _write_bytes(spark: SparkSession, path: str, data: bytes) -> None:
 def run(spark: SparkSession, package: str, output: str, options: Options = Options(), *, created: str | None = None) -> dict:
     """Write the product of one package to the folder `output`; returns the product with its report."""
     began = time.perf_counter()
-    packages = source.read_packages(spark, package)
+    packages = source.kept(source.read_packages(spark, package))
     for row in packages.unmatched.collect():  # one package's bands
         log.warning("Skipping band %r: the filter map does not have it, so it cannot be calibrated.", row["band"])
     scene = packages.scenes.first()
@@ -144,23 +153,24 @@ def run(spark: SparkSession, package: str, output: str, options: Options = Optio
     thumbnail = None
     if options.quicklook:
         if all(b in product["bands"] for b in RGB):
-            first = known[RGB[0]]
-            rgb, height, width = quicklook_pixels(spark.read.parquet(store), first["height"], first["width"], options)
-            _write_bytes(spark, f"{output}/quicklook.png", png.encode_png(png.collect_image(rgb, height, width)))
+            places = {b: source_tiff.qualified(spark, product["bands"][b]) for b in RGB}
+            _write_bytes(spark, f"{output}/quicklook.png", png.encode_png(quicklook(spark, places, options)))
             thumbnail = "quicklook.png"
         else:
             log.warning("No preview is written: it takes the bands %s, and not all of them are here.", ", ".join(RGB))
     if options.item:
         item = catalogue.catalogue_item(product, quicklook_href=thumbnail, qa_href="qa_report.json", created=created)
         _write_bytes(spark, f"{output}/{item['id']}.json", catalogue.to_json(item).encode())
+    source.release(packages)
     product["metadata"]["runtime_seconds"] = round(time.perf_counter() - began, 2)
     return product
 
 
 def validate(spark: SparkSession, product: dict, thresholds: quality.Thresholds = quality.Thresholds()) -> dict:
     """Quality of a written product, from its rasters; counts are not at hand, so saturation is not checked."""
-    bands = spark.createDataFrame(list(product["bands"].items()), "band string, path string")
-    lines = read_tiff(spark, list(product["bands"].values()), real=True).join(bands, "path").select("band", F.col("values").alias("radiance"))
+    paths = {b: source_tiff.qualified(spark, p) for b, p in product["bands"].items()}
+    bands = spark.createDataFrame(list(paths.items()), "band string, path string")
+    lines = read_tiff(spark, list(paths.values()), real=True).join(bands, "path").select("band", F.col("values").alias("radiance"))
     rows = [r.asDict() for r in pixel_report(lines, ["band"], quality.Thresholds(None, thresholds.max_negative_fraction, thresholds.max_nodata_fraction)).collect()]
     rows.sort(key=lambda r: list(product["bands"]).index(r["band"]))
     return catalogue.quality_document(rows, product["scene_id"], product["level"])

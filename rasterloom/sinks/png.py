@@ -32,3 +32,13 @@ def collect_image(rgb: DataFrame, height: int, width: int) -> np.ndarray:
         for k, c in enumerate("rgb"):
             image[line, cols, k] = table.column(c)[i].values.to_numpy()
     return image
+
+
+def collect_channels(lines: DataFrame, channel: str, order: tuple, height: int, width: int) -> np.ndarray:
+    """Lines of bytes (channel, line, data) as an image whose channels are those of `order`; the caller bounds height and width. Missing lines are black."""
+    image = np.zeros((height, width, len(order)), dtype=np.uint8)
+    table = lines.select(channel, "line", "data").toArrow()
+    for name, line, data in zip(*(table.column(i).to_pylist() for i in range(3)), strict=True):
+        for k in [k for k, wanted in enumerate(order) if wanted == name]:
+            image[line, :, k] = np.frombuffer(data, np.uint8)
+    return image

@@ -9,7 +9,7 @@ in several rules, so JSON objects are read as maps, which keep it.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, fields
 from functools import reduce
 
 from pyspark.errors import AnalysisException
@@ -191,6 +191,16 @@ def read_packages(spark: SparkSession, root: str, *, calibration: str = "calibra
     return Packages(scene, bands, unmatched, calibration_entries(docs), timed_samples(scene))
 
 
+def kept(packages: Packages) -> Packages:
+    """The same tables, held by Spark once they are worked out, as several steps ask for each; `release` lets them go."""
+    return Packages(**{f.name: getattr(packages, f.name).persist() for f in fields(packages)})
+
+
+def release(packages: Packages) -> None:
+    for f in fields(packages):
+        getattr(packages, f.name).unpersist()
+
+
 def band_positions(samples: DataFrame, bands: DataFrame) -> DataFrame:
     """(package, band, samples): sorted sample arrays per band; a scene without positions is spread evenly over each band's lines."""
     timed = samples.withColumn("timed", F.min(F.col("sample_line").isNotNull()).over(Window.partitionBy("package")))

@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceReader, EqualTo, GreaterThan, GreaterThanOrEqual, In, InputPartition, LessThan, LessThanOrEqual
 
 # Tag numbers and field types of the TIFF format.
+SUBFILE, REDUCED = 254, 1
 WIDTH, HEIGHT, BITS, COMPRESSION, STRIP_OFFSETS, ROWS_PER_STRIP, STRIP_SIZES = 256, 257, 258, 259, 273, 278, 279
 PREDICTOR, TILE_WIDTH, TILE_HEIGHT, TILE_OFFSETS, TILE_SIZES, SAMPLE_FORMAT, NODATA = 317, 322, 323, 324, 325, 339, 42113
 FIELD = {1: "B", 2: "c", 3: "H", 4: "I", 5: "Q", 6: "b", 8: "h", 9: "i", 11: "f", 12: "d", 13: "I", 16: "Q", 17: "q", 18: "Q"}
@@ -39,6 +40,7 @@ class Header:
     block_height: int
     offsets: tuple[int, ...]
     sizes: tuple[int, ...]
+    subfile: int = 0
 
 
 def qualified(spark: SparkSession, path: str) -> str:
@@ -102,10 +104,39 @@ def read_header(file, directory: int = 0) -> Header:
     return Header(
         width, height, KINDS[tags.get(SAMPLE_FORMAT, (1,))[0]] + str(tags.get(BITS, (8,))[0] // 8), float(nodata) if nodata else None, order, compression in DEFLATE,
         tags.get(PREDICTOR, (1,))[0], tags[TILE_WIDTH][0] if tiled else width, tags[TILE_HEIGHT][0] if tiled else min(tags.get(ROWS_PER_STRIP, (height,))[0], height),
-        tags[TILE_OFFSETS if tiled else STRIP_OFFSETS], tags[TILE_SIZES if tiled else STRIP_SIZES],
+        tags[TILE_OFFSETS if tiled else STRIP_OFFSETS], tags[TILE_SIZES if tiled else STRIP_SIZES], tags.get(SUBFILE, (0,))[0],
     )
 
 
+def images(file) -> list[tuple[int, int, int]]:
+    """(directory, height, width) of the full image of an open file and of its overviews, the largest first; masks and other pages are left out."""
+    found, directory = [], 0
+    while True:
+        file.seek(0)
+        try:
+            h = read_header(file, directory)
+        except ValueError:
+            if not directory:
+                raise
+            break
+        if not directory or h.subfile == REDUCED:
+            found.append((directory, h.height, h.width))
+        directory += 1
+    return sorted(found, key=lambda x: (-x[1] * x[2], x[0]))
+
+
+def images_of(path: str) -> list[tuple[int, int, int]]:
+    """`images` of a file by path."""
+    with _open(path) as file:
+        return images(file)
+
+
+def choose_image(sizes: list[tuple[int, int, int]], height: int, width: int) -> tuple[int, int, int]:
+    """Of `images`, the smallest that is at least as large as wanted in both directions; the full image if none else is."""
+    enough = [x for x in sizes if x[1] >= height and x[2] >= width]
+    return enough[-1] if enough else sizes[0]
+
+
 def undo_predictor(data: bytes, rows: int, width: int, dtype: np.dtype, predictor: int) -> np.ndarray:
     """Samples of one block: predictor 1 none, 2 differences, 3 differences of byte planes (high bytes first)."""
     if predictor == 3:
@@ -156,6 +187,21 @@ def read_lines(file, header: Header, start: int, stop: int) -> np.ndarray:
     return out
 
 
+def read_images(paths: DataFrame) -> DataFrame:
+    """(path, images): directory, height and width of the full image and the overviews of the rasters in column `path`, read by the executors."""
+
+    def run(batches):
+        for batch in batches:
+            rows = []
+            for path in batch.column("path").to_pylist():
+                with _open(path) as file:
+                    rows.append([dict(zip(("directory", "height", "width"), x, strict=True)) for x in images(file)])
+            kind = pa.list_(pa.struct([("directory", pa.int32()), ("height", pa.int32()), ("width", pa.int32())]))
+            yield pa.RecordBatch.from_arrays([batch.column("path"), pa.array(rows, kind)], ["path", "images"])
+
+    return paths.select("path").mapInArrow(run, "path string, images array<struct<directory:int,height:int,width:int>>")
+
+
 def headers(paths: DataFrame) -> DataFrame:
     """(path, width, height, dtype, nodata) of the rasters named in column `path`, read by the executors."""
 
@@ -183,11 +229,13 @@ class LineRange(InputPartition):
 class LineReader(DataSourceReader):
     """Plans one partition per file and block of lines; `path` and `line` filters prune partitions.
 
-    Heights that are given (0: not known) spare the driver a look into each file.
+    Heights that are given (0: not known) spare the driver a look into each
+    file. With a directory other than 0, lines are those of that image, and no
+    block of another image is read.
     """
 
-    def __init__(self, paths: list[str], window: int, real: bool, heights: dict[str, int]):
-        self.paths, self.window, self.real, self.heights = paths, window, real, heights
+    def __init__(self, paths: list[str], window: int, real: bool, heights: dict[str, int], directory: int = 0):
+        self.paths, self.window, self.real, self.heights, self.directory = paths, window, real, heights, directory
         self.low, self.high = 0, 1 << 62
 
     def pushFilters(self, filters):
@@ -209,7 +257,7 @@ class LineReader(DataSourceReader):
             height = self.heights.get(path, 0)
             if not height:
                 with _open(path) as file:
-                    height = read_header(file).height
+                    height = read_header(file, self.directory).height
             for start in range(0, height, self.window):
                 stop = min(height, start + self.window)
                 if start < self.high and stop > self.low:
@@ -220,7 +268,7 @@ class LineReader(DataSourceReader):
         if not partition.path:
             return
         with _open(partition.path) as file:
-            header = read_header(file)
+            header = read_header(file, self.directory)
             step = max(1, (4 << 20) // (4 * header.width))
             for start in range(partition.start, partition.stop, step):
                 block = read_lines(file, header, start, min(partition.stop, start + step))
@@ -230,7 +278,7 @@ class LineReader(DataSourceReader):
 
 
 class LineSource(DataSource):
-    """Options: `paths` and `heights` (newline-separated), `window_lines` (default 2048, in whole tiles of 512), `real` (read as float)."""
+    """Options: `paths` and `heights` (newline-separated), `window_lines` (default 2048, in whole tiles of 512), `real` (read as float), `directory` (default 0, the full image)."""
 
     @classmethod
     def name(cls) -> str:
@@ -245,14 +293,19 @@ class LineSource(DataSource):
     def reader(self, schema):
         paths = [p for p in self.options.get("paths", "").split("\n") if p]
         heights = [int(h) for h in self.options.get("heights", "").split("\n") if h]
-        return LineReader(paths, int(self.options.get("window_lines", 2048)), self._real(), dict(zip(paths, heights, strict=False)))
+        return LineReader(paths, int(self.options.get("window_lines", 2048)), self._real(), dict(zip(paths, heights, strict=False)), int(self.options.get("directory", 0)))
 
 
-def read_tiff(spark: SparkSession, paths: list[str], *, window_lines: int = 2048, real: bool = False, heights: list[int] | None = None) -> DataFrame:
-    """(path, line, values): every line of the rasters. With `heights`, as `headers` finds them, the driver opens no file."""
+def read_tiff(spark: SparkSession, paths: list[str], *, window_lines: int = 2048, real: bool = False, heights: list[int] | None = None, directory: int = 0) -> DataFrame:
+    """(path, line, values): every line of the rasters, or of an overview of theirs (see `images`).
+
+    Paths are opened by the executors as they are given; `qualified` gives one
+    without a scheme that of Spark's default file system. With `heights`, as
+    `headers` finds them, the driver opens no file.
+    """
     if window_lines < 1:
         raise ValueError("window_lines must be positive")
     spark.dataSource.register(LineSource)
     spark.conf.set("spark.sql.python.filterPushdown.enabled", True)
-    options = {"paths": "\n".join(paths), "heights": "\n".join(map(str, heights or [])), "window_lines": window_lines, "real": str(real).lower()}
+    options = {"paths": "\n".join(paths), "heights": "\n".join(map(str, heights or [])), "window_lines": window_lines, "real": str(real).lower(), "directory": directory}
     return spark.read.format("tiff_lines").options(**options).load()
