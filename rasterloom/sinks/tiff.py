@@ -3,23 +3,25 @@
 Tile rows are encoded in parallel: a group is one band's `block` lines, which
 become its tiles at full size and, as averages, at every overview factor (an
 overview's tiles are as much lower, so that no group needs a neighbour's
-lines). Then one task per band appends the encoded tiles to a file in order; it
-holds one tile at a time. That second step is a Spark data source for writing:
-every attempt of a task has files of its own, and only when all tasks are done
-are they renamed to their final places, so a task that is repeated or run twice
-leaves no trace.
+lines). Sizes of tiles, summed up, give each its place in the file, and a Spark
+data source for writing puts them there; files are renamed to their final
+places when all tasks are done, so a task that is repeated or run twice leaves
+no trace.
 """
 
 from __future__ import annotations
 
+import os
 import struct
+import uuid
 import zlib
 from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+from pyarrow import fs
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceWriter, WriterCommitMessage
 
@@ -168,89 +170,125 @@ class Written(WriterCommitMessage):
 
 
 class TileWriter(DataSourceWriter):
-    """Writes rows (path, height, width, data, layout), in file order: first a file's head (with `layout`), then its tiles."""
+    """Writes rows (path, at, data): bytes and where in the file they go.
+
+    In a file system of files that can be written anywhere (scheme `file`), all
+    tasks write into the same scratch file, each at its places; a repeated task
+    writes the same bytes there again. In others, a file's rows must come to
+    one task in order, and each attempt has a scratch file of its own. Either
+    way files move to their final places when all tasks are done, and the file
+    that was there before stays until then.
+    """
 
-    def __init__(self, folder: str, options: TiffOptions):
-        self.scratch, self.options = f"{folder}/_writing", options
+    def __init__(self, folder: str, job: str):
+        self.scratch = f"{folder}/_writing-{job}"
 
     def write(self, iterator):
-        task = TaskContext.get()
-        files, out = [], None
+        system, scratch = source.file_system(self.scratch)
+        system.create_dir(scratch, recursive=True)
+        put = self._anywhere if isinstance(system, fs.LocalFileSystem) else self._in_order
+        return Written(put(iterator, system, scratch))
+
+    def _anywhere(self, iterator, system, scratch):
+        files: dict[str, tuple[str, int]] = {}
+        try:
+            for row in iterator:
+                if row.path not in files:
+                    place = f"{scratch}/{row.path.rpartition('/')[2]}"
+                    files[row.path] = (place, os.open(place, os.O_WRONLY | os.O_CREAT, 0o666))
+                left, at = memoryview(row.data), row.at
+                while len(left):
+                    done = os.pwrite(files[row.path][1], left, at)
+                    left, at = left[done:], at + done
+        finally:
+            for _, number in files.values():
+                os.close(number)
+        return [(place, path) for path, (place, _) in files.items()]
+
+    def _in_order(self, iterator, system, scratch):
+        task, files, out, at = TaskContext.get(), [], None, 0
         try:
             for row in iterator:
-                if row.layout is not None:
+                if not files or files[-1][1] != row.path:
                     if out:
                         out.close()
-                    place = f"{self.scratch}/{task.partitionId()}-{task.taskAttemptId()}-{len(files)}"
-                    files.append((place, row.path))
-                    system, inside = source.file_system(place)
-                    system.create_dir(inside.rpartition("/")[0], recursive=True)
-                    out = system.open_output_stream(inside)
-                    out.write(file_head(row.layout, row.height, row.width, self.options))
-                else:
-                    out.write(row.data)
+                    files.append((f"{scratch}/{task.partitionId()}-{task.taskAttemptId()}-{len(files)}", row.path))
+                    out, at = system.open_output_stream(files[-1][0]), 0
+                if row.at != at:
+                    raise ValueError("the bytes of a file must come in order")
+                out.write(row.data)
+                at += len(row.data)
         finally:
             if out:
                 out.close()
-        return Written(files)
+        return files
 
     def commit(self, messages):
-        for message in messages:
-            for place, path in message.files if message else ():
-                system, inside = source.file_system(place)
-                target = source.file_system(path)[1]
-                if system.get_file_info(target).is_file:
-                    system.delete_file(target)
-                system.move(inside, target)
+        system, scratch = source.file_system(self.scratch)
+        for place, path in sorted({pair for message in messages if message for pair in message.files}):
+            target = source.file_system(path)[1]
+            if system.get_file_info(target).is_file:
+                system.move(target, f"{scratch}/before-{target.rpartition('/')[2]}")
+            system.move(place, target)
         self.abort(messages)
 
     def abort(self, messages):
-        system, inside = source.file_system(self.scratch)
-        system.delete_dir_contents(inside, missing_dir_ok=True)
-        if system.get_file_info(inside).type.name == "Directory":
-            system.delete_dir(inside)
+        system, scratch = source.file_system(self.scratch)
+        if system.get_file_info(scratch).type == fs.FileType.Directory:
+            system.delete_dir(scratch)
 
 
 class TileSink(DataSource):
-    """Options: `path` (the folder), `compress`, `block`, `factors`, `nodata`, `dtype`, as in `TiffOptions`."""
+    """Options: `path` (the folder), `job` (a name of its own for each write)."""
 
     @classmethod
     def name(cls) -> str:
         return "tiff_tiles"
 
     def writer(self, schema, overwrite):
-        o = self.options
-        factors = tuple(int(f) for f in o.get("factors", "").split(",") if f)
-        nodata = float(o["nodata"]) if o.get("nodata") else None
-        options = TiffOptions(o.get("compress", "deflate"), int(o.get("block", 512)), bool(factors), factors, nodata=nodata, dtype=o.get("dtype", "float32"))
-        return TileWriter(o["path"].rstrip("/"), options)
+        return TileWriter(self.options["path"].rstrip("/"), self.options["job"])
+
+
+def _heads(keys: list[str], kinds: list[str], sized: DataFrame, options: TiffOptions) -> DataFrame:
+    """(keys, head): everything before the tiles of each file."""
+    layout = F.array_sort(F.collect_list(F.struct("level", "row", "column", "size")))
+    files = sized.groupBy(*keys).agg(layout.alias("layout"), F.first("height").alias("height"), F.first("width").alias("width"))
+
+    def run(batches):
+        for batch in batches:
+            made = [file_head(*row, options) for row in zip(*(batch.column(c).to_pylist() for c in ("layout", "height", "width")), strict=True)]
+            yield pa.RecordBatch.from_arrays([*(batch.column(k) for k in keys), pa.array(made, pa.binary())], [*keys, "head"])
+
+    return files.mapInArrow(run, ", ".join([*(f"`{k}` {t}" for k, t in zip(keys, kinds, strict=True)), "head binary"]))
 
 
 def write_tiff(lines: DataFrame, folder: str, *, name: str = "band", keys: list[str] | None = None, options: TiffOptions = TiffOptions(), value: str = "radiance", scratch: str | None = None) -> DataFrame:
     """Write one file per key to `folder`/<name><suffix>; returns (keys, path) of the files.
 
-    `scratch` is a shared folder for the encoded tiles (default: below
-    `folder`); they are deleted when the files are there. The files appear
-    together, when all are written.
+    Tiles are encoded once and kept below `scratch`, a shared folder (default:
+    below `folder`), until the files are there. The place of a tile in its file
+    is the sum of the sizes before it, so all tasks write tiles of all files
+    where the file system lets them. The files appear when all are written.
     """
     spark = lines.sparkSession
     keys = keys or [name]
-    given, folder = folder.rstrip("/"), source.qualified(spark, folder).rstrip("/")
-    work = source.qualified(spark, scratch or folder).rstrip("/") + "/_tiles"
-    encode_tiles(lines, keys, options, value).write.mode("overwrite").parquet(work)
+    given, folder, job = folder.rstrip("/"), source.qualified(spark, folder).rstrip("/"), str(uuid.uuid4())
+    work = source.qualified(spark, scratch or folder).rstrip("/") + f"/_tiles-{job}"
+    encode_tiles(lines, keys, options, value).write.parquet(work)
     tiles = spark.read.parquet(work)
-    layout = F.array_sort(F.collect_list(F.struct("level", "row", "column", F.length("data").alias("size"))))
-    heads = tiles.groupBy(*keys).agg(layout.alias("layout"), F.first("height").alias("height"), F.first("width").alias("width"))
-    none = F.lit(None)
-    stream = heads.select(*keys, F.lit(0).alias("level"), F.lit(0).alias("row"), F.lit(0).alias("column"), "height", "width", none.cast("binary").alias("data"), "layout").unionByName(
-        tiles.withColumn("layout", none.cast(heads.schema["layout"].dataType))
-    )
-    ordered = stream.repartition(*keys).sortWithinPartitions(*keys, "level", "row", "column")
+    sized = tiles.select(*keys, "level", "row", "column", "height", "width", F.length("data").cast("long").alias("size"))
+    heads = _heads(keys, [lines.schema[k].dataType.simpleString() for k in keys], sized, options).persist()  # a row per file
+    before = F.sum("size").over(Window.partitionBy(*keys).orderBy("level", "row", "column")) - F.col("size")  # a row per tile, without its bytes
+    placed = sized.withColumn("before", before).join(heads.select(*keys, F.length("head").alias("start")), keys)
+    place = placed.select(*keys, "level", "row", "column", (F.col("before") + F.col("start")).alias("at"))
+    rows = tiles.join(place, [*keys, "level", "row", "column"]).select(*keys, "at", "data").unionByName(heads.select(*keys, F.lit(0).cast("long").alias("at"), F.col("head").alias("data")))
+    if not isinstance(source.file_system(folder)[0], fs.LocalFileSystem):
+        rows = rows.repartition(*keys).sortWithinPartitions(*keys, "at")
     where = lambda top: F.concat(F.lit(top + "/"), F.col(name), F.lit(options.suffix)).alias("path")
     spark.dataSource.register(TileSink)
-    settings = {"path": folder, "compress": options.compress, "block": options.block, "factors": ",".join(map(str, options.levels()[1:])), "nodata": "" if options.nodata is None else options.nodata, "dtype": options.dtype}
-    ordered.select(where(folder), "height", "width", "data", "layout").write.format("tiff_tiles").mode("append").options(**settings).save()
-    written = spark.createDataFrame(heads.select(*keys, where(given)).collect(), lines.select(*keys).schema.add("path", "string"))  # a row per file
+    rows.select(where(folder), "at", "data").write.format("tiff_tiles").mode("append").options(path=folder, job=job).save()
+    written = spark.createDataFrame(heads.select(*keys, where(given)).collect(), lines.select(*keys).schema.add("path", "string"))
+    heads.unpersist()
     system, inside = source.file_system(work)
     system.delete_dir(inside)
     return written
