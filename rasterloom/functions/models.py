@@ -75,3 +75,24 @@ def _linear_lines(counts: np.ndarray, temperature: np.ndarray, c: dict[str, np.n
 
 #: Models that `calibrate_lines` runs on arrays; the others it evaluates as Columns, element by element.
 LINE_MODELS: dict[str, LineModel] = {"linear_thermal": _linear_lines}
+
+
+def _polynomial_lines(counts: np.ndarray, temperature: np.ndarray, c: dict[str, np.ndarray]) -> np.ndarray:
+    x = _above_dark(counts, temperature, c)
+    total = np.zeros_like(x)
+    for coefficient in c["polynomial"][::-1]:
+        total = total * x + coefficient
+    return total
+
+
+def _table_lines(counts: np.ndarray, temperature: np.ndarray, c: dict[str, np.ndarray]) -> np.ndarray:
+    """Radiance by a table over counts, in between by a straight line, the ends held."""
+    return np.interp(counts, c["counts"], c["radiances"]).astype(np.float32)
+
+
+#: Models over a container of named arrays: the coefficients that they need, and the function. A new sensor's model is one entry here.
+CONTAINER_MODELS: dict[str, tuple[tuple[str, ...], LineModel]] = {
+    "linear_thermal": (("intercept", "gradient", "non_uniformity", "absolute", "absolute_offset"), _linear_lines),
+    "polynomial": (("intercept", "gradient", "polynomial"), _polynomial_lines),
+    "table": (("counts", "radiances"), _table_lines),
+}

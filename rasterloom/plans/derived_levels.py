@@ -10,9 +10,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import workspace
-from ..operators import compression, fit, ordered, terrain, warp
+from ..functions import profiles
+from ..operators import compression, fit, interpolation, ordered, regions, terrain, warp
 from ..sources import packets
-from .derived import COLUMNS, lines, query, sql, table
+from .derived import COLUMNS, NODATA, _lines_of_scene, coefficients, lines, query, samples, scalars, sql, table
 
 # ---- packets ----------------------------------------------------------------------
 
@@ -200,3 +201,78 @@ def warp_lines(spark, sf_dir):
     )
     found = warp.warp(taken, models, ["band"], value="dn", tile=32)
     return found.select("band", F.col("line").cast("long").alias("line"), F.posexplode("values").alias("col", "dn"))
+
+
+# ---- profiles and regions --------------------------------------------------------------
+
+#: Even bands are of a sensor with the linear model, found by band and setting; odd ones of a sensor with a polynomial, found by band alone.
+SENSORS = (
+    profiles.Profile("even", "linear_thermal", ("band", "tdi"), {"intercept": "thermal_intercept", "gradient": "thermal_gradient"}),
+    profiles.Profile("odd", "polynomial", ("band",), {"intercept": "dark", "gradient": "drift", "polynomial": "series"}, fill=-1.0),
+)
+SENSOR_SQL = sql(
+    "select px.band, px.line, px.col, case when px.dn = 0 then case when px.band % 2 = 0 then cast('nan' as float) else cast(-1 as float) end when px.band % 2 = 0 then cast(sc.a * ((cast(px.dn as float) - (co.ti + co.tg * temp.t)) * co.nu) + sc.o as float) else (cast(0.001 as float) * (cast(px.dn as float) - (co.ti + co.tg * temp.t)) + sc.a) * (cast(px.dn as float) - (co.ti + co.tg * temp.t)) + sc.o end as radiance from px join co using (col) join sc using (band) join temp on px.line = temp.line",
+    "px", "co", "sc", "temp",
+)
+
+
+@query("sensor_profiles", SENSOR_SQL)
+def sensor_profiles(spark, sf_dir):
+    """Two sensors with different models, coefficient names and keys in one plan."""
+    context = scalars(spark, sf_dir).crossJoin(F.broadcast(coefficients(spark, sf_dir)))  # one row
+    sensor = F.when(F.col("band") % 2 == 0, "even").otherwise("odd")
+    plain = lambda c: F.col(c).cast("array<double>")
+    one = lambda c: F.array(F.col(c).cast("double"))
+    linear = F.create_map(*[x for c in ("non_uniformity", "thermal_intercept", "thermal_gradient") for x in (F.lit(c), plain(c))], *[x for c in ("absolute", "absolute_offset") for x in (F.lit(c), one(c))])
+    series = F.array(F.col("absolute_offset").cast("double"), F.col("absolute").cast("double"), F.lit(0.001))
+    other = F.create_map(F.lit("dark"), plain("thermal_intercept"), F.lit("drift"), plain("thermal_gradient"), F.lit("series"), series)
+    # of the entries of one key the first counts; those of another setting serve the sensor whose key leaves it out
+    listed = context.select(F.col("band").cast("int").alias("band"), sensor.alias("sensor"), F.when(sensor == "even", linear).otherwise(other).alias("coefficients"), F.explode(F.array(F.lit(4), F.lit(8))).alias("tdi"))
+    entries = listed.withColumn("ord", F.col("tdi")).withColumn("coefficients", F.when(F.col("tdi") == 4, F.col("coefficients")))
+    known = interpolation.by_window(_lines_of_scene(spark, sf_dir), samples(spark, sf_dir), ["scene"]).select("line", "t")
+    taken = lines(spark, sf_dir)
+    bands = taken.select(F.col("band").cast("int").alias("band")).distinct().withColumn("sensor", F.when(F.col("band") % 2 == 0, "even").otherwise("odd")).withColumn("tdi", F.lit(4))
+    found = profiles.look_up(bands, entries, profiles.profile_table(spark, SENSORS))
+    values = profiles.calibrate_lines(taken.join(known, "line").join(found, "band").withColumn("nodata", F.lit(float(NODATA))), ["sensor", "band"])
+    return values.select("band", "line", F.posexplode("radiance").alias("col", "radiance"))
+
+
+#: A cell is set if its count is high; regions are what four neighbours lead to.
+BRIGHT = 1180
+REGION_SQL = sql(
+    "select band, root // 64 as line, cast(root % 64 as int) as start, count(*) as pixels, min(line) as top, max(line) as bottom, cast(min(col) as int) as left, cast(max(col) as int) as right from (select band, line, col, min(root) as root from reach group by band, line, col) group by band, root",
+    "px",
+    on_="select band, line, col, line * 64 + col as id from px where dn >= 1180",
+    reach="select band, line, col, id as root from on_ union select n.band, n.line, n.col, reach.root from reach join on_ n on n.band = reach.band and abs(n.line - reach.line) + abs(n.col - reach.col) = 1",
+).replace("with raw", "with recursive raw", 1).replace("on_", "lit")
+
+
+def bright_regions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mask = lines(spark, sf_dir).select("band", "line", F.transform("dn", lambda d: d >= BRIGHT).alias("mask"))
+    return regions.label(regions.runs(mask, ["band"]), ["band"], strip=16)
+
+
+@query("bright_regions", REGION_SQL)
+def bright_region_sizes(spark, sf_dir):
+    """Connected regions of high counts, over strips of 16 lines: first pixel, size and box."""
+    found = regions.measure(bright_regions(spark, sf_dir), ["band"])
+    return found.select("band", F.col("region.line").alias("line"), F.col("region.start").alias("start"), "pixels", "top", "bottom", "left", "right")
+
+
+SHADOW_SQL = sql(
+    "select distinct s.band, s.line + cast(floor(m * 0.0125::double + 0.5) as bigint) as line, s.col + cast(floor(m * -0.00625::double + 0.5) as bigint) as col from (select * from labelled join (select band, root from labelled group by band, root having count(*) >= 3) using (band, root)) s, (select unnest([200, 300, 400]) as m), tall where tall.band = s.band and s.line + cast(floor(m * 0.0125::double + 0.5) as bigint) between 0 and h - 1 and s.col + cast(floor(m * -0.00625::double + 0.5) as bigint) between 0 and 63",
+    "px",
+    tall="select band, max(line) + 1 as h from raw group by band",
+    on_="select band, line, col, line * 64 + col as id from px where dn >= 1180",
+    reach="select band, line, col, id as root from on_ union select n.band, n.line, n.col, reach.root from reach join on_ n on n.band = reach.band and abs(n.line - reach.line) + abs(n.col - reach.col) = 1",
+    labelled="select band, line, col, min(root) as root from reach group by band, line, col",
+).replace("with raw", "with recursive raw", 1).replace("on_", "lit")
+
+
+@query("region_shadows", SHADOW_SQL)
+def region_shadows(spark, sf_dir):
+    """Where regions of three pixels or more throw shadows, from 200 to 400 metres up."""
+    tall = lines(spark, sf_dir).groupBy("band").agg((F.max("line") + 1).alias("h"))
+    found = regions.large(bright_regions(spark, sf_dir), ["band"], 3).join(tall, "band")
+    thrown = regions.cast_shadows(found, ["band"], (F.lit(0.0125), F.lit(-0.00625)), 200, 400, step=100, height=F.col("h"), width=F.lit(COLUMNS))
+    return thrown.select("band", "line", F.explode(F.sequence(F.col("start"), F.col("stop") - 1)).alias("col"))
