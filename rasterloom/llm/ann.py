@@ -27,14 +27,16 @@ from ._common import cut, partitions
 
 @dataclass(frozen=True)
 class GraphOptions:
-    """`links`: neighbours a node keeps in the lowest layer (half of it above); `beam`: candidates kept in a search."""
+    """`links`: neighbours a node keeps in the lowest layer (half of it above); `beam`, `upper_beam`: candidates kept in a search of the lowest layer and of those above; the beam is doubled while the `settled` nearest still change."""
 
     shard_rows: int = 8192
-    links: int = 32
-    candidates: int = 64
+    links: int = 48
+    candidates: int = 96
     beam: int = 64
+    upper_beam: int = 64
+    settled: int = 21
     expand: int = 4
-    layer_ratio: int = 16
+    layer_ratio: int = 4
     block_queries: int = 2048
 
 
@@ -54,44 +56,69 @@ def band(vector: Column) -> Column:
 # ---- graphs, in numpy -------------------------------------------------------
 
 
+#: Nodes that one node leads to so that all can be reached.
+TREE = 4
+#: A beam sees some so many times its width.
+SCAN = 16
+
+
+def _diverse(points: np.ndarray, rows: np.ndarray, pick: np.ndarray, value: np.ndarray, links: int) -> np.ndarray:
+    """Of candidates in order of nearness, those nearer to the row than to every candidate kept before; if these are few, the nearest of the rest follow."""
+    among = np.einsum("rcd,red->rce", points[pick], points[pick])
+    width = pick.shape[1]
+    stays = np.zeros(pick.shape, dtype=bool)
+    for c in range(width):
+        closest = np.where(stays[:, :c], among[:, c, :c], -np.inf).max(axis=1, initial=-np.inf)
+        stays[:, c] = value[:, c] > closest
+    rank = np.where(stays, 0, width) + np.arange(width)
+    order = np.argsort(rank, axis=1)[:, :links]
+    first = np.take_along_axis(pick, order, 1)
+    first[np.take_along_axis(value, order, 1) == -np.inf] = -1
+    return first
+
+
 def _layer(points: np.ndarray, links: int, candidates: int) -> np.ndarray:
-    """Neighbour rows (n, links) of the points of one layer, -1 where there are fewer."""
+    """Neighbour rows (n, links + TREE) of the points of one layer, -1 where there are fewer.
+
+    Nodes are inserted in the order of rows: a node links to the nearest nodes
+    before it, chosen for diversity, and these link back while they have room,
+    nearest first. The links of early nodes are long, those of late ones short.
+    Last come tree links: each node but the first is led to by one before it,
+    so that all can be reached from the first.
+    """
     n = len(points)
-    width = min(candidates, n - 1)
-    if width < 1:
-        return np.full((n, links), -1, np.int32)
-    ahead = np.full((n, links // 2), -1, np.int32)
-    for start in range(0, n, 256):
+    half = links // 2
+    ahead, parent = np.full((n, half), -1, np.int32), np.zeros(n, np.int64)
+    room = np.full(n, TREE)
+    tree = np.full((n, TREE), -1, np.int32)
+    for start in range(1, n, 256):
         rows = np.arange(start, min(n, start + 256))
-        near = points[rows] @ points.T
-        near[np.arange(len(rows)), rows] = -np.inf
+        near = points[rows] @ points[: rows[-1]].T
+        near[np.arange(rows[-1])[None, :] >= rows[:, None]] = -np.inf
+        width = min(candidates, near.shape[1])
         pick = np.argpartition(-near, width - 1, axis=1)[:, :width]
         value = np.take_along_axis(near, pick, 1)
         order = np.argsort(-value, axis=1, kind="stable")
         pick, value = np.take_along_axis(pick, order, 1), np.take_along_axis(value, order, 1)
-        among = np.einsum("rcd,red->rce", points[pick], points[pick])
-        # a candidate stays if it is nearer to the node than to every candidate that stayed before it
-        stays = np.zeros(pick.shape, dtype=bool)
-        for c in range(width):
-            closest = np.where(stays[:, :c], among[:, c, :c], -np.inf).max(axis=1, initial=-np.inf)
-            stays[:, c] = value[:, c] > closest
-        rank = np.where(stays, 0, width) + np.arange(width)  # those kept first, then the nearest of the rest
-        first = np.take_along_axis(pick, np.argsort(rank, axis=1)[:, : links // 2], 1)
+        first = _diverse(points, rows, pick, value, half)
         ahead[rows, : first.shape[1]] = first
-    source = np.repeat(np.arange(n), ahead.shape[1])
+        for i, own, known in zip(rows.tolist(), pick, value, strict=True):
+            free = own[(known > -np.inf) & (room[own] > 0)]
+            at = int(free[0]) if len(free) else int(np.flatnonzero(room[:i])[0])
+            parent[i] = at
+            tree[at, TREE - room[at]] = i
+            room[at] -= 1
+    source = np.repeat(np.arange(n), half)
     target = ahead.ravel()
     source, target = source[target >= 0], target[target >= 0]
-    a, b = np.concatenate([source, target]), np.concatenate([target, source])
-    back = np.repeat([0, 1], len(source))
-    code = np.unique(np.stack([a.astype(np.int64) * n + b, back]), axis=1)
-    code, back = code[:, np.append(True, np.diff(code[0]) != 0)]
-    a, b = code // n, code % n
-    order = np.lexsort((-np.einsum("nd,nd->n", points[a], points[b]), back, a))
-    a, b = a[order], b[order]
-    place = np.arange(len(a)) - np.searchsorted(a, a)
+    # newer nodes that chose a node, nearest first, as far as there is room
+    order = np.lexsort((-np.einsum("nd,nd->n", points[source], points[target]), target))
+    newer, older = source[order], target[order]
+    place = np.arange(len(older)) - np.searchsorted(older, older) + (ahead >= 0).sum(axis=1)[older]
     out = np.full((n, links), -1, np.int32)
-    out[a[place < links], place[place < links]] = b[place < links]
-    return out
+    out[:, :half] = ahead
+    out[older[place < links], place[place < links]] = newer[place < links]
+    return np.hstack([out, tree])
 
 
 class Graph:
@@ -120,42 +147,62 @@ class Graph:
             members, links = members[::ratio], options.links // 2
 
     def search(self, queries: np.ndarray, options: GraphOptions) -> np.ndarray:
-        """Rows (q, beam) that the walk ends with, -1 where a query found fewer; a graph of a few beams is scanned."""
+        """Rows (q, width) that the walk ends with, -1 where a query found fewer; a graph of a few beams is scanned."""
         q = len(queries)
         scaled = queries / np.abs(queries).max(axis=1, keepdims=True)
         asked = np.hstack([scaled, np.zeros((q, 1))]).astype(np.float32)
         if len(self.points) <= 4 * options.beam:
-            width = min(options.beam, len(self.points))
-            return np.argpartition(-(asked @ self.points.T), width - 1, axis=1)[:, :width]
-        at = np.repeat(self.layers[-1][0][:1], q).astype(np.int64)
-        score = np.einsum("qd,qd->q", asked, self.points[at])
-        for members, links in reversed(self.layers[1:]):
-            where = np.full(len(self.points), -1)
+            return self._scan(asked, options.beam)
+        found = np.repeat(self.layers[-1][0][:1], q).astype(np.int64)[:, None]
+        for level in range(len(self.layers) - 1, 0, -1):
+            found = self._beam(asked, found, level, options.upper_beam, options.expand)
+        width = options.beam
+        found = self._beam(asked, found, 0, width, options.expand)
+        # a query whose nearest change with a beam of twice the width goes on widening, until they do not;
+        # a beam that would see most of the graph is replaced by a scan
+        out, moving = found, np.arange(q)
+        while len(moving) and width < len(self.points):
+            width *= 2
+            scan = width * SCAN >= len(self.points)
+            wider = self._scan(asked[moving], width) if scan else self._beam(asked[moving], out[moving], 0, width, options.expand)
+            out = np.hstack([out, np.full((q, wider.shape[1] - out.shape[1]), -1)]) if wider.shape[1] > out.shape[1] else out
+            changed = (self._nearest(asked[moving], wider, options.settled) != self._nearest(asked[moving], out[moving], options.settled)).any(axis=1)
+            out[moving, : wider.shape[1]] = wider
+            out[moving, wider.shape[1] :] = -1
+            moving = moving[:0] if scan else moving[changed]
+        return out
+
+    def _scan(self, asked, width):
+        width = min(width, len(self.points))
+        return np.argpartition(-(asked @ self.points.T), width - 1, axis=1)[:, :width]
+
+    def _nearest(self, asked, rows, k):
+        """The k nearest of rows (q, any number, -1 for none), in the order of their numbers."""
+        value = np.where(rows >= 0, np.einsum("qd,qkd->qk", asked, self.points[rows]), -np.inf)
+        pick = np.argsort(-value, axis=1, kind="stable")[:, :k]
+        return np.sort(np.take_along_axis(rows, pick, 1), axis=1)
+
+    def _beam(self, asked, entries, level, width, expand):
+        """Rows (q, width) that a walk of one layer from all entries (q, any number, -1 for none) ends with."""
+        q, n, (members, links) = len(asked), len(self.points), self.layers[level]
+        width = min(width, len(members))
+        where = None
+        if level:
+            where = np.full(n, -1)
             where[members] = np.arange(len(members))
-            moving = np.arange(q)
-            while len(moving):
-                around = links[where[at[moving]]]
-                near = np.where(around >= 0, np.einsum("qd,qkd->qk", asked[moving], self.points[around]), -np.inf)
-                best = near.argmax(axis=1)
-                value = near[np.arange(len(moving)), best]
-                better = value > score[moving]
-                moving, best, around, value = moving[better], best[better], around[better], value[better]
-                at[moving], score[moving] = around[np.arange(len(moving)), best], value
-        return self._beam(asked, at, score, options)
-
-    def _beam(self, asked, at, score, options):
-        q, n, width = len(asked), len(self.points), min(options.beam, len(self.points))
-        links = self.layers[0][1]
+        entries = entries[:, :width] if entries.shape[1] > width else entries
         found = np.full((q, width), -1, np.int64)
         value = np.full((q, width), -np.inf, np.float32)
         done = np.zeros((q, width), dtype=bool)
         seen = np.zeros((q, n), dtype=bool)
-        found[:, 0], value[:, 0] = at, score
-        seen[np.arange(q), at] = True
+        row, column = np.nonzero(entries >= 0)
+        at = entries[row, column]
+        found[row, column], value[row, column] = at, np.einsum("qd,qd->q", asked[row], self.points[at])
+        seen[row, at] = True
         active = np.arange(q)
         while len(active):
             waiting = np.where(done[active] | (found[active] < 0), -np.inf, value[active])
-            pick = np.argsort(-waiting, axis=1, kind="stable")[:, : options.expand]
+            pick = np.argsort(-waiting, axis=1, kind="stable")[:, :expand]
             open_ = np.take_along_axis(waiting, pick, 1) > -np.inf
             going = open_[:, 0]
             active, pick, open_ = active[going], pick[going], open_[going]
@@ -163,7 +210,7 @@ class Graph:
                 break
             done[active[:, None], pick] = True
             node = np.where(open_, found[active[:, None], pick], -1)
-            around = np.where(node[:, :, None] >= 0, links[node], -1).reshape(len(active), -1)
+            around = np.where(node[:, :, None] >= 0, links[node if where is None else where[node]], -1).reshape(len(active), -1)
             fresh = (around >= 0) & ~seen[active[:, None], around]
             around = np.where(fresh, around, -1)
             row, column = np.nonzero(fresh)
