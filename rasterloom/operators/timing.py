@@ -5,7 +5,7 @@ Times of the imager are microseconds, platform and epoch times milliseconds.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: Time format that ties the imager clock to the platform's epoch clock.
@@ -27,8 +27,8 @@ def first_anchor(entries: DataFrame, keys: list[str]) -> DataFrame:
 def drop_partial_times(samples: DataFrame, keys: list[str]) -> DataFrame:
     """If any sample of a scene lacks its time, none of the scene's times counts; `n_missing` tells how many did."""
     missing = F.col("imager_time").isNull() | F.isnan("imager_time")
-    every = Window.partitionBy(*keys)
-    return samples.withColumn("n_missing", F.count_if(missing).over(every)).withColumn("imager_time", F.when(F.col("n_missing") == 0, F.col("imager_time")))
+    counted = samples.groupBy(*keys).agg(F.count_if(missing).alias("n_missing"))  # combined before the shuffle; a scene may have any number of samples
+    return samples.join(counted, keys).withColumn("imager_time", F.when(F.col("n_missing") == 0, F.col("imager_time")))
 
 
 def line_zero_us(imager_us: Column, platform_ms: Column, start_ms: Column, offset_s: Column) -> Column:

@@ -512,10 +512,10 @@ def line_times(spark, sf_dir):
     return taken.select("band", "line", time.alias("t_us"))
 
 
-@query("state_linear", sql("select cast(line as bigint) as line, round(case when x1 is null or x0 = line then y0 when x0 is null then y1 else y0 + (y1 - y0) * ((line - x0) / (x1 - x0)) end, 9) as x from ln, useg where (x0 is null or x0 <= line) and (x1 is null or line < x1)", "ln", tele2="select x, any_value(y) as y from (select (epoch_us(ts) - 1704153600000000) / cast(48384000000 as double) as x, value as y from events where event_type = 'view') group by x having count(*) = 1", pcs="select x as x0, y as y0, lead(x) over (order by x) as x1, lead(y) over (order by x) as y1, row_number() over (order by x) as n from tele2", useg="select x0, y0, x1, y1 from pcs union all select null, null, x0, y0 from pcs where n = 1"))
+@query("state_linear", sql("select cast(line as bigint) as line, round(case when x1 is null or x0 = line then y0 when x0 is null then y1 else y0 + (y1 - y0) * ((line - x0) / (x1 - x0)) end, 9) as x from ln, useg where (x0 is null or x0 <= line) and (x1 is null or line < x1)", "ln", tele2="select x, arg_min(y, ord) as y from (select event_id as ord, (epoch_us(ts) - 1704153600000000) / cast(48384000000 as double) as x, value as y from events where event_type = 'view') group by x", pcs="select x as x0, y as y0, lead(x) over (order by x) as x1, lead(y) over (order by x) as y1, row_number() over (order by x) as n from tele2", useg="select x0, y0, x1, y1 from pcs union all select null, null, x0, y0 from pcs where n = 1"))
 def state_linear(spark, sf_dir):
-    """Platform states (here one coordinate of the telemetry) between samples."""
-    unique = samples(spark, sf_dir).groupBy("scene", "x").agg(F.count("*").alias("n"), F.first("y").alias("y")).where("n = 1")
+    """Platform states (here one coordinate of the telemetry) between samples; of samples at the same time the first counts."""
+    unique = samples(spark, sf_dir).groupBy("scene", "x").agg(F.min_by("y", "ord").alias("y"))
     states = unique.select("scene", F.col("x").alias("t"), F.array("y").alias("state"))
     times = _lines_of_scene(spark, sf_dir).select("scene", F.col("line").cast("double").alias("t"))
     held = geometry.bracket(times, states, ["scene"])

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from .. import workspace
 from ..functions import profiles
-from ..operators import compression, fit, interpolation, ordered, regions, terrain, warp
+from ..operators import compression, fit, geometry, interpolation, ordered, regions, terrain, warp
 from ..sources import packets
 from .derived import COLUMNS, NODATA, _lines_of_scene, coefficients, lines, query, samples, scalars, sql, table
 
@@ -203,6 +203,43 @@ def warp_lines(spark, sf_dir):
     return found.select("band", F.col("line").cast("long").alias("line"), F.posexplode("values").alias("col", "dn"))
 
 
+# ---- platform states --------------------------------------------------------------------
+
+#: Samples of the platform at unequal times, the first of those at one time: position, velocity, and an attitude about an axis of its own.
+STATE_SQL = sql(
+    """select cast(line as bigint) as line, round((2 * u * u * u - 3 * u * u + 1) * p0 + (3 * u * u - 2 * u * u * u) * p1 + ((u * u * u - 2 * u * u + u) * v0 + (u * u * u - u * u) * v1) * dt, 5) as x,
+      round(qx / n, 7) as qx, round(qy / n, 7) as qy, round(qz / n, 7) as qz, round(qw / n, 7) as qw from (
+      select *, sqrt(qx * qx + qy * qy + qz * qz + qw * qw) as n from (
+        select *, w0 * a0 + w1 * a1 as qx, w0 * b0 + w1 * b1 as qy, w0 * c0 + w1 * c1 as qz, w0 * d0 + w1 * d1 as qw from (
+          select *, case when cosine < 0.9995 then sin((1 - u) * acos(cosine)) / sin(acos(cosine)) else 1 - u end as w0, sign * case when cosine < 0.9995 then sin(u * acos(cosine)) / sin(acos(cosine)) else u end as w1 from (
+            select *, least(abs(dotted), 1) as cosine, case when dotted < 0 then -1 else 1 end as sign from (
+              select *, a0 * a1 + b0 * b1 + c0 * c1 + d0 * d1 as dotted, case when t1 > t0 then (line - t0) / (t1 - t0) else 0 end as u, t1 - t0 as dt from near)))))""",
+    "ln",
+    told="select x as t, arg_min(y, ord) as p, min(ord) as o from (select event_id as ord, (epoch_us(ts) - 1704153600000000) / cast(48384000000 as double) as x, value as y from events where event_type = 'view') group by x",
+    unit="select t, p, (p / 100) as v, (o % 7 - 3) / n as a, (o % 5 - 2) / n as b, (o % 3 - 1) / n as c, 4 / n as d from (select *, sqrt(power(o % 7 - 3, 2) + power(o % 5 - 2, 2) + power(o % 3 - 1, 2) + 16) as n from told)",
+    pairs="select *, lead(t) over w as t_, lead(p) over w as p_, lead(v) over w as v_, lead(a) over w as a_, lead(b) over w as b_, lead(c) over w as c_, lead(d) over w as d_, row_number() over w as k from unit window w as (order by t)",
+    near="""select line, t as t0, coalesce(t_, t) as t1, p as p0, coalesce(p_, p) as p1, v as v0, coalesce(v_, v) as v1, a as a0, coalesce(a_, a) as a1, b as b0, coalesce(b_, b) as b1, c as c0, coalesce(c_, c) as c1, d as d0, coalesce(d_, d) as d1 from ln join pairs on t <= line and (t_ is null or line < t_)
+      union all select line, t, t, p, p, v, v, a, a, b, b, c, c, d, d from ln join pairs on k = 1 and line < t""",
+)
+
+
+@query("platform_states", STATE_SQL)
+def platform_states(spark, sf_dir):
+    """Position (Hermite) and attitude (SLERP) of each line between the states around it."""
+    told = samples(spark, sf_dir).groupBy("scene", "x").agg(F.min_by("y", "ord").alias("p"), F.min("ord").alias("o"))
+    turn = [(F.col("o") % n - k).cast("double") for n, k in ((7, 3), (5, 2), (3, 1))] + [F.lit(4.0)]
+    n = F.sqrt(sum((q * q for q in turn[1:]), turn[0] * turn[0]))
+    state = F.struct(F.array("p").alias("p"), F.array(F.col("p") / 100).alias("v"), F.array(*[q / n for q in turn]).alias("q"))
+    states = told.select("scene", F.col("x").alias("t"), state.alias("state"))
+    times = _lines_of_scene(spark, sf_dir).select("scene", F.col("line").cast("double").alias("t"))
+    held = geometry.bracket(times, states, ["scene"], span=64.0)
+    u = geometry.fraction(F.col("t"), F.col("t0"), F.col("t1"))
+    x = geometry.hermite(F.col("s0.p"), F.col("s0.v"), F.col("s1.p"), F.col("s1.v"), u, F.col("t1") - F.col("t0"))
+    q = geometry.slerp(F.col("s0.q"), F.col("s1.q"), u)
+    found = held.select(F.col("t").cast("long").alias("line"), x.alias("x"), q.alias("q"))
+    return found.select("line", F.round(F.col("x")[0], 5).alias("x"), *[F.round(F.col("q")[i], 7).alias(f"q{c}") for i, c in enumerate("xyzw")])
+
+
 # ---- profiles and regions --------------------------------------------------------------
 
 #: Even bands are of a sensor with the linear model, found by band and setting; odd ones of a sensor with a polynomial, found by band alone.
