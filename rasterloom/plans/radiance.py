@@ -66,17 +66,16 @@ def count_lines(spark: SparkSession, contexts: DataFrame, paths: list[str], opti
 
 
 def radiance_lines(spark: SparkSession, contexts: DataFrame, paths: list[str], options: Options = Options(), heights: list[int] | None = None) -> DataFrame:
-    """(package, band, line, height, width, dn, radiance), arrays over columns. With the rasters' heights the driver opens none of them."""
+    """(package, band, line, height, width, radiance), arrays over columns, and `dn` if saturation is checked. With the rasters' heights the driver opens none of them."""
     lines = count_lines(spark, contexts, paths, options, heights)
-    value = calibration.calibrate_lines(lines, model=options.model, fill=options.nodata, keep_dn=True)
-    return value.select("package", "band", "line", "height", "width", "dn", "radiance")
+    counts = ["dn"] if options.thresholds.saturation_dn is not None else []  # only saturation asks for them
+    value = calibration.calibrate_lines(lines, model=options.model, fill=options.nodata, keep_dn=bool(counts))
+    return value.select("package", "band", "line", "height", "width", *counts, "radiance")
 
 
 def pixel_report(lines: DataFrame, keys: list[str], thresholds: quality.Thresholds) -> DataFrame:
     """Quality of radiance lines, counts included where they are there."""
-    arrays = [c for c in ("dn", "radiance") if c in lines.columns]
-    pixels = lines.select(*keys, F.inline(F.arrays_zip(*arrays)))
-    return quality.band_report(pixels, keys, thresholds)
+    return quality.line_report(lines, keys, thresholds)
 
 
 def quicklook(spark: SparkSession, paths: dict[str, str], options: Options = Options()) -> np.ndarray:
@@ -129,7 +128,8 @@ def run(spark: SparkSession, package: str, output: str, options: Options = Optio
     lines = radiance_lines(spark, contexts, [known[b]["path"] for b in chosen], options, [known[b]["height"] for b in chosen]) if chosen else None
     rows: list[dict] = []
     if lines is not None:
-        lines.write.mode("overwrite").partitionBy("band").parquet(store)
+        # measured values hardly repeat: a dictionary would be built and thrown away
+        lines.write.mode("overwrite").option("parquet.enable.dictionary", "false").partitionBy("band").parquet(store)
         stored = spark.read.parquet(store)
         rows = [r.asDict() for r in pixel_report(stored, ["band"], options.thresholds).collect()]
         rows.sort(key=lambda r: chosen.index(r["band"]))

@@ -7,7 +7,8 @@ import pytest
 from packages import ENTRY, FILTERS, ITEM, SESSION, write_package
 from pyspark.sql import functions as F
 
-from rasterloom.operators import preview
+from rasterloom.operators import preview, quality
+from rasterloom.operators.quality import Thresholds
 from rasterloom.plans import radiance
 from rasterloom.sinks import tiff as sink
 from rasterloom.sources import tiff
@@ -130,3 +131,22 @@ def test_quicklook_of_a_product(spark, tmp_path):
         np.testing.assert_array_equal(full[:, :, k], (np.clip((values - low) / (high - low), 0, 1) * 255).astype(np.uint8))
     with pytest.raises(KeyError, match="missing bands"):
         radiance.quicklook(spark, {"R": product["bands"]["R"]})
+
+
+def test_quality_of_lines_equals_that_of_pixels(spark):
+    rng = np.random.default_rng(9)
+    bands = {"plain": rng.normal(40, 20, (60, 30)), "flat": np.full((5, 4), 3.7), "none": np.full((3, 3), np.nan), "odd": rng.normal(0, 1, (9, 7)), "one": np.array([[5.0]])}
+    bands["odd"][0, :3] = [np.nan, np.inf, -np.inf]
+    rows = [("s", k, i, r.astype(np.float32).tolist(), [int(x) for x in np.nan_to_num(r, posinf=0, neginf=0)]) for k, v in bands.items() for i, r in enumerate(v)]
+    lines = spark.createDataFrame(rows, "scene string, band string, line int, radiance array<float>, dn array<int>").repartition(7)
+    for given, thresholds in ((lines, Thresholds(30)), (lines.drop("dn"), Thresholds(30)), (lines, Thresholds())):
+        arrays = [c for c in ("dn", "radiance") if c in given.columns]
+        pixels = given.select("scene", "band", F.inline(F.arrays_zip(*arrays)))
+        want = {r["band"]: r.asDict() for r in quality.band_report(pixels, ["scene", "band"], thresholds).collect()}
+        got = {r["band"]: r.asDict() for r in quality.line_report(given, ["scene", "band"], thresholds).collect()}
+        assert got.keys() == want.keys() == bands.keys()
+        for band in bands:
+            assert got[band].keys() == want[band].keys()
+            for name, value in want[band].items():
+                assert got[band][name] == (pytest.approx(value, rel=1e-12, abs=1e-12, nan_ok=True) if isinstance(value, float) else value), (band, name)
+    assert quality.line_report(lines.where("false"), ["band"]).count() == 0
