@@ -17,6 +17,7 @@ become byte pieces.
 from __future__ import annotations
 
 import re
+from array import array
 from dataclasses import dataclass, field
 from itertools import chain
 from pathlib import Path
@@ -34,6 +35,8 @@ DEFAULT_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 UNIGRAM, BPE = 1, 2
 #: Added to the least score for a character outside a unigram vocabulary.
 UNKNOWN_PENALTY = 10.0
+#: Words of so many characters are cut one by one; ends whose pieces are probed at once.
+LONG, ENDS = 400, 8192
 MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 #: Piece types of the model file.
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
@@ -244,6 +247,60 @@ class Codec:
             out[i] = self._spell_unknown(words[i], path[i][kept[i]].tolist())
         return out
 
+    def _hits(self, prefix: np.ndarray, start: int, stop: int) -> tuple[list[int], list[int], list[int]]:
+        """Ends in (start, stop], lengths and ids of all pieces that end there, by end, the longest first; an end without a piece of one character has an unknown one."""
+        ends, sizes, pieces = [], [], []
+        alone = np.zeros(stop - start, dtype=bool)
+        for size in range(min(self.longest, stop), 0, -1):
+            j = np.arange(max(start + 1, size), stop + 1)
+            parts = prefix[j] - prefix[j - size] * self.powers[size]
+            some = np.flatnonzero(self.maybe[parts >> np.uint64(42)])
+            at = np.minimum(np.searchsorted(self.hashes, parts[some]), len(self.hashes) - 1)
+            hit = self.hashes[at] == parts[some]
+            found = j[some[hit]]
+            ends.append(found)
+            sizes.append(np.full(len(found), size))
+            pieces.append(self.ids[at[hit]])
+            if size == 1:
+                alone[found - start - 1] = True
+        lonely = np.flatnonzero(~alone) + start + 1
+        end, size, piece = np.concatenate([*ends, lonely]), np.concatenate([*sizes, np.ones(len(lonely), np.int64)]), np.concatenate([*pieces, np.full(len(lonely), self.unknown)])
+        order = np.lexsort((-size, end))
+        return end[order].tolist(), size[order].tolist(), piece[order].tolist()
+
+    def long_word(self, word: str) -> bytes:
+        """As `viterbi`, for one long word: pieces are probed for many ends at once, and what is left for each end is its few pieces."""
+        length = len(word)
+        prefix = _hash(_codes([word]))[0]
+        best, last, came = array("f", [-np.inf]) * (length + 1), array("q", [-1]) * (length + 1), array("q", [0]) * (length + 1)
+        best[0] = 0.0
+        score, pairs, ordered, base = self.score.tolist(), self._pairs, self.pieces.model_type == BPE, self.unknown + 2
+        total = array("f", [0.0])  # rounds to single precision
+        for start in range(0, length, ENDS):
+            for end, size, piece in zip(*self._hits(prefix, start, min(length, start + ENDS)), strict=True):
+                before = end - size
+                total[0] = best[before] + score[piece]
+                if total[0] <= best[end]:
+                    continue
+                if ordered:
+                    key = (last[before] + 1) * base + piece
+                    ok = pairs.get(key)
+                    if ok is None:
+                        if len(pairs) > 5 * self.remember:
+                            pairs.clear()
+                        ok = pairs[key] = self._may_follow(key)
+                    if not ok:
+                        continue
+                best[end], last[end], came[end] = total[0], piece, before
+        if best[length] == -np.inf:
+            raise ValueError(f"no segmentation of {word[:40]!r}")
+        path, at = [], length
+        while at:
+            path.append(last[at])
+            at = came[at]
+        path.reverse()
+        return self._spell_unknown(word, path) if self.unknown in path else np.array(path, dtype="<i4").tobytes()
+
     def _spell_unknown(self, word: str, ids: list[int]) -> bytes:
         """Replace unknown pieces, one character each, by byte pieces."""
         out, at = [], 0
@@ -269,6 +326,9 @@ class Codec:
         for word in here.difference(known):
             by_length.setdefault(len(word), []).append(word)
         for length, words in by_length.items():
+            if length >= LONG:
+                known.update((w, self.long_word(w)) for w in words)
+                continue
             step = max(1, 80_000 // (length + 1))
             for i in range(0, len(words), step):
                 known.update(zip(words[i : i + step], self.viterbi(words[i : i + step]), strict=True))

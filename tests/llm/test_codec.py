@@ -1,3 +1,5 @@
+import time
+
 import numpy as np
 import pytest
 import sentencepiece
@@ -72,3 +74,24 @@ def test_a_model_with_other_normalisation_is_refused(tmp_path):
         path.write_bytes(b"\x1a" + bytes([len(rules)]) + rules)
         with pytest.raises(ValueError, match="leave characters"):
             codec.Pieces.load(str(path))
+
+
+@pytest.mark.parametrize("kind", ["latin", "cjk", "digits", "mixed"])
+def test_long_words_are_cut_like_short_ones(kind, monkeypatch):
+    letters = {"latin": "aeinrstlo", "cjk": "的一是不了人我在有他这为之大来以个中上们", "digits": "0123456789+/", "mixed": "ab的1\U0001f600é☃z"}[kind]
+    rng = np.random.default_rng(3)
+    words = ["".join(rng.choice(list(letters), n)) for n in (400, 401, 900)]
+    monkeypatch.setattr(codec, "ENDS", 97)
+    assert [OWN.long_word(w) for w in words] == [OWN.viterbi([w])[0] for w in words]
+    for w in words:
+        assert encode(OWN, w) == LIBRARY.encode(w)
+
+
+@pytest.mark.parametrize("letters", ["aeinrstlo", "0123456789", "的一是不了人我在有他这为之大来以个中上们"])
+def test_a_million_unbroken_bytes_take_seconds(letters):
+    word = "".join(np.random.default_rng(1).choice(list(letters), 1_000_000 // len(letters[0].encode())))
+    own = codec.Codec(codec.Pieces.load(codec.DEFAULT_MODEL))
+    began = time.perf_counter()
+    ids = encode(own, word)
+    assert time.perf_counter() - began < 60
+    assert own.decode(ids) == word
