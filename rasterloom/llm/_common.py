@@ -5,10 +5,12 @@ from __future__ import annotations
 import ctypes
 import sys
 import tempfile
+import threading
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
+from pyspark import SparkContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -27,15 +29,33 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
         sc.setCheckpointDir(configured or tempfile.mkdtemp(prefix="spark-checkpoint-", dir="/tmp"))
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """Write `df` to the shared checkpoint folder and go on from there.
+#: Seconds after which what Python has let go of is known to the driver's JVM.
+SETTLED = 1.5
+_looking: list[threading.Timer] = []
+
+
+def _look_for_unused(sc: SparkContext) -> None:
+    """Spark deletes shuffle files, and checkpoints where it is told to, once the driver's JVM has found their owners unused: let it look now and a little later."""
+
+    def look() -> None:
+        _looking.clear()
+        if sc._jsc is not None:  # else the session has ended
+            sc._jvm.System.gc()
 
-    Spark deletes shuffle files, and checkpoints where it is told to, once the
-    driver's JVM has found their owners unused; it is asked to look right away.
-    """
+    sc._jvm.System.gc()
+    if not _looking:
+        timer = threading.Timer(SETTLED, look)
+        timer.daemon = True
+        _looking.append(timer)
+        timer.start()
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """Write `df` to the shared checkpoint folder and go on from there; the shuffle files behind it can go."""
     ensure_checkpoint_dir(df.sparkSession)
     kept = df.checkpoint(eager=True)
-    df.sparkSession.sparkContext._jvm.System.gc()
+    del df  # else the plan behind it is in use
+    _look_for_unused(kept.sparkSession.sparkContext)
     return kept
 
 
