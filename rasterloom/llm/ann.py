@@ -32,10 +32,10 @@ class GraphOptions:
     shard_rows: int = 8192
     links: int = 48
     candidates: int = 96
-    beam: int = 64
+    beam: int = 48
     upper_beam: int = 64
     settled: int = 21
-    expand: int = 4
+    expand: int = 8
     layer_ratio: int = 4
     block_queries: int = 2048
 
@@ -153,8 +153,10 @@ class Graph:
         asked = np.hstack([scaled, np.zeros((q, 1))]).astype(np.float32)
         if len(self.points) <= 4 * options.beam:
             return self._scan(asked, options.beam)
-        found = np.repeat(self.layers[-1][0][:1], q).astype(np.int64)[:, None]
-        for level in range(len(self.layers) - 1, 0, -1):
+        # the highest layer of which a beam would not see most is the first that is walked
+        top = next(i for i, (members, _) in enumerate(self.layers) if len(members) <= SCAN * options.upper_beam or i == len(self.layers) - 1)
+        found = self._scan(asked, options.upper_beam, self.layers[top][0])
+        for level in range(top - 1, 0, -1):
             found = self._beam(asked, found, level, options.upper_beam, options.expand)
         width = options.beam
         found = self._beam(asked, found, 0, width, options.expand)
@@ -172,9 +174,11 @@ class Graph:
             moving = moving[:0] if scan else moving[changed]
         return out
 
-    def _scan(self, asked, width):
-        width = min(width, len(self.points))
-        return np.argpartition(-(asked @ self.points.T), width - 1, axis=1)[:, :width]
+    def _scan(self, asked, width, members=None):
+        points = self.points if members is None else self.points[members]
+        width = min(width, len(points))
+        near = np.argpartition(-(asked @ points.T), width - 1, axis=1)[:, :width]
+        return near if members is None else members[near].astype(np.int64)
 
     def _nearest(self, asked, rows, k):
         """The k nearest of rows (q, any number, -1 for none), in the order of their numbers."""
@@ -267,8 +271,8 @@ def build_index(nodes: DataFrame, bands: DataFrame, options: GraphOptions) -> Da
     return dealt.groupBy("dim", "band", "shard").applyInArrow(build, schema)
 
 
-def search_index(index: DataFrame, queries: DataFrame, bands: DataFrame, blocks: int, options: GraphOptions) -> DataFrame:
-    """(query node, node, score): what each shard gives each query vector, with exact scores."""
+def search_index(index: DataFrame, queries: DataFrame, bands: DataFrame, blocks: int, keep: int, options: GraphOptions) -> DataFrame:
+    """(query node, node, score): the `keep` best that each shard gives each query vector, with exact scores."""
     packed = (
         queries.withColumn("block", F.pmod(F.xxhash64("node", F.lit(1)), F.lit(blocks)))
         .groupBy("dim", "block").agg(F.collect_list(F.struct("node", "v")).alias("asked"))
@@ -295,7 +299,10 @@ def search_index(index: DataFrame, queries: DataFrame, bands: DataFrame, blocks:
                     who, column = np.nonzero(found >= 0)
                     got = found[who, column]
                     exact = np.einsum("nd,nd->n", part[who], vectors[got])
-                    yield pa.RecordBatch.from_arrays([pa.array(query_ids[start + who]), pa.array(ids[got]), pa.array(exact)], ["query", "node", "score"])
+                    order = np.lexsort((ids[got], -exact, who))  # a shard's best are enough
+                    place = np.arange(len(who)) - np.searchsorted(who[order], who[order])
+                    best = order[place < keep]
+                    yield pa.RecordBatch.from_arrays([pa.array(query_ids[start + who[best]]), pa.array(ids[got[best]]), pa.array(exact[best])], ["query", "node", "score"])
 
     return pairs.select("dim", "ids", "vectors", "members", "links", "asked").mapInArrow(search, "query long, node long, score double")
 
@@ -322,7 +329,7 @@ def nearest(
     queries = nodes.select("node", "v", "dim").join(asking.select("node").distinct(), "node")
     blocks = max(1, -(-asking.select("node").distinct().count() // options.block_queries))
     index = cut(build_index(nodes, bands, options))
-    found = search_index(index, queries, bands, blocks, options)
+    found = search_index(index, queries, bands, blocks, k + 1, options)
     best = Window.partitionBy("query").orderBy(F.desc("score"), "node")
     found = found.withColumn("r", F.row_number().over(best)).where(F.col("r") <= k + 1).join(nodes.select("node", "members"), "node")
     lists = found.groupBy("query").agg(F.collect_list(F.struct("score", "members")).alias("hits"))

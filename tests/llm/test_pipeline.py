@@ -29,7 +29,7 @@ def stages(spark, tmp_path_factory):
 
 def test_registration():
     names = list(queries.queries())
-    assert [int(n[2:].split("_")[0]) for n in names] == list(range(1, 11))
+    assert [int(n[2:].split("_")[0]) for n in names] == list(range(1, 14))
     assert set(names) | {"pipeline"} <= set(__spark_entry__.queries())
     assert set(__spark_entry__.oracle_sql()) <= set(__spark_entry__.queries())
 
