@@ -7,12 +7,20 @@ three doubles, attitudes unit quaternions (x, y, z, w).
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import ordered
 
 
+def _once(then: Callable[..., Column], **values: Column) -> Column:
+    """`then` of values that are worked out once a row; a Column used several times is worked out as often, and once an element inside a lambda."""
+    bound = F.array(F.struct(*[value.alias(name) for name, value in values.items()]))
+    return F.transform(bound, lambda held: then(**{name: held[name] for name in values}))[0]
+
+
 def line_time_us(line: Column, start_us: Column, line_period_us: Column, height: Column, scan_direction: Column) -> Column:
     """The imager clock at a line; a backward scan (direction below 0) takes the last line first."""
     step = F.when(scan_direction < 0, height - 1 - line).otherwise(line)
@@ -55,16 +63,26 @@ def dot(a: Column, b: Column) -> Column:
     return F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda total, x: total + x)
 
 
+def unit(v: Column) -> Column:
+    """A vector scaled to unit length."""
+    scaled = lambda v, length: F.transform(v, lambda x: x / length)
+    return _once(lambda v: _once(scaled, v=v, length=F.sqrt(dot(v, v))), v=v)
+
+
 def slerp(q0: Column, q1: Column, u: Column) -> Column:
     """Spherical interpolation along the shorter arc; nearly equal attitudes are interpolated linearly and scaled back to unit length."""
-    straight = dot(q0, q1)
-    near = F.when(straight < 0, F.transform(q1, lambda x: -x)).otherwise(q1)
-    cosine = F.least(F.abs(straight), F.lit(1.0))
-    angle = F.acos(cosine)
-    sine = F.when(cosine < 0.9995, F.sin(angle))
-    w0, w1 = F.coalesce(F.sin((1 - u) * angle) / sine, 1 - u), F.coalesce(F.sin(u * angle) / sine, u)
-    mixed = F.zip_with(q0, near, lambda a, b: a * w0 + b * w1)
-    return F.transform(mixed, lambda x: x / F.sqrt(dot(mixed, mixed)))
+
+    def turned(q0, q1, u, straight):
+        near = F.when(straight < 0, F.transform(q1, lambda x: -x)).otherwise(q1)
+        cosine = F.least(F.abs(straight), F.lit(1.0))
+        return _once(weighed, q0=q0, near=near, u=u, cosine=cosine, angle=F.acos(cosine))
+
+    def weighed(q0, near, u, cosine, angle):
+        sine = F.when(cosine < 0.9995, F.sin(angle))
+        w0, w1 = F.coalesce(F.sin((1 - u) * angle) / sine, 1 - u), F.coalesce(F.sin(u * angle) / sine, u)
+        return _once(lambda q0, near, w0, w1: F.zip_with(q0, near, lambda a, b: a * w0 + b * w1), q0=q0, near=near, w0=w0, w1=w1)
+
+    return unit(_once(lambda q0, q1, u: _once(turned, q0=q0, q1=q1, u=u, straight=dot(q0, q1)), q0=q0, q1=q1, u=u))
 
 
 def rotate(q: Column, v: Column) -> Column:

@@ -595,7 +595,8 @@ def attitude_slerp(spark, sf_dir):
     """Attitudes about one axis, of which the angles are interpolated."""
     start = F.col("l_discount").cast("double")
     found = geometry.slerp(_turn(start), _turn(start + 0.5 + F.col("l_tax").cast("double")), F.col("l_quantity").cast("double") / 50)
-    return table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", F.round(found[2], 9).alias("z"), F.round(found[3], 9).alias("w"))
+    turned = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", found.alias("q"))
+    return turned.select("l_orderkey", "l_linenumber", F.round(F.col("q")[2], 9).alias("z"), F.round(F.col("q")[3], 9).alias("w"))
 
 
 RAY = "select l_orderkey, l_linenumber, round((x * cos(a) - y * sin(a)) / n, 9) as x, round((x * sin(a) + y * cos(a)) / n, 9) as y, round(2 / n, 9) as z from (select *, sqrt(x * x + y * y + 4) as n from (select *, l_linenumber * 0.01::double as y, (l_quantity::double - 25) * 0.01::double as x from t))"

@@ -267,3 +267,22 @@ def test_places_and_brackets_over_many_ranges(spark):
     for span in (2.0, 4096.0):
         found = {r["t"]: (r["t0"], r["t1"]) for r in geometry.bracket(times, states, ["k"], span=span).collect()}
         assert found == {0.0: (3.0, 3.0), 3.0: (3.0, 4.0), 10.0: (4.0, 50.0), 49.0: (4.0, 50.0), 50.0: (50.0, 50.0), 99.0: (50.0, 50.0)}
+
+
+def test_attitudes_are_worked_out_once_a_row(spark):
+    rng = np.random.default_rng(5)
+    q = rng.normal(size=(2, 40, 4))
+    q /= np.linalg.norm(q, axis=2, keepdims=True)
+    rows = spark.createDataFrame([(i, a.tolist(), b.tolist(), float(u)) for i, (a, b, u) in enumerate(zip(*q, rng.random(40), strict=True))] + [(40, None, [0.0, 0.0, 0.0, 1.0], 0.5)], "i int, a array<double>, b array<double>, u double")
+    turned = geometry.slerp(F.col("a"), F.col("b"), F.col("u"))
+    found = rows.select("i", turned.alias("q"))
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("ACOS") == 1
+    for r in sorted(found.collect())[:40]:
+        a, b, u = q[0, r["i"]], q[1, r["i"]], rows.where(F.col("i") == r["i"]).first()["u"] if r["i"] < 3 else None
+        assert np.linalg.norm(r["q"]) == pytest.approx(1)
+        if u is not None:
+            b = b if a @ b >= 0 else -b
+            angle = math.acos(a @ b)
+            assert r["q"] == pytest.approx((a * math.sin((1 - u) * angle) + b * math.sin(u * angle)) / math.sin(angle))
+    assert [r["q"] for r in found.collect() if r["i"] == 40] == [None]
