@@ -87,22 +87,24 @@ def slerp(q0: Column, q1: Column, u: Column) -> Column:
 
 def rotate(q: Column, v: Column) -> Column:
     """A vector turned by a unit quaternion."""
-    x, y, z, w = (q[i] for i in range(4))
-    rows = (
-        (1 - 2 * (y * y + z * z), 2 * (x * y - z * w), 2 * (x * z + y * w)),
-        (2 * (x * y + z * w), 1 - 2 * (x * x + z * z), 2 * (y * z - x * w)),
-        (2 * (x * z - y * w), 2 * (y * z + x * w), 1 - 2 * (x * x + y * y)),
-    )
-    return F.array(*[a * v[0] + b * v[1] + c * v[2] for a, b, c in rows])
+
+    def turned(v, x, y, z, w):
+        rows = (
+            (1 - 2 * (y * y + z * z), 2 * (x * y - z * w), 2 * (x * z + y * w)),
+            (2 * (x * y + z * w), 1 - 2 * (x * x + z * z), 2 * (y * z - x * w)),
+            (2 * (x * z - y * w), 2 * (y * z + x * w), 1 - 2 * (x * x + y * y)),
+        )
+        return F.array(*[a * v[0] + b * v[1] + c * v[2] for a, b, c in rows])
+
+    return _once(lambda q, v: _once(turned, v=v, **{name: q[i] for i, name in enumerate("xyzw")}), q=q, v=v)
 
 
 def transform3(matrix: Column, v: Column) -> Column:
     """A 3 x 3 matrix (array of rows) times a vector."""
-    return F.transform(matrix, lambda row: dot(row, v))
+    return _once(lambda matrix, v: F.transform(matrix, lambda row: dot(row, v)), matrix=matrix, v=v)
 
 
 def viewing_ray(column: Column, row: Column, centre: Column, pitch: Column, focal: Column, boresight: Column, attitude: Column) -> Column:
     """Unit direction in which a detector pixel looks: through the lens, the boresight matrix, and the platform's attitude."""
     camera = F.array((column - centre) * pitch, row * pitch, focal)
-    seen = rotate(attitude, transform3(boresight, camera))
-    return F.transform(seen, lambda x: x / F.sqrt(dot(seen, seen)))
+    return unit(rotate(attitude, transform3(boresight, camera)))

@@ -607,4 +607,5 @@ def viewing_rays(spark, sf_dir):
     """Rays of detector pixels on a platform turned about its viewing axis."""
     straight = F.array(*[F.array(*[F.lit(float(i == j)) for j in range(3)]) for i in range(3)])
     ray = geometry.viewing_ray(F.col("l_quantity").cast("double"), F.col("l_linenumber").cast("double"), F.lit(25.0), F.lit(0.01), F.lit(2.0), straight, _turn(F.col("l_discount").cast("double")))
-    return table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", *[F.round(ray[i], 9).alias(c) for i, c in enumerate("xyz")])
+    seen = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", ray.alias("ray"))
+    return seen.select("l_orderkey", "l_linenumber", *[F.round(F.col("ray")[i], 9).alias(c) for i, c in enumerate("xyz")])

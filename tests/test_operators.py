@@ -274,13 +274,15 @@ def test_attitudes_are_worked_out_once_a_row(spark):
     q = rng.normal(size=(2, 40, 4))
     q /= np.linalg.norm(q, axis=2, keepdims=True)
     rows = spark.createDataFrame([(i, a.tolist(), b.tolist(), float(u)) for i, (a, b, u) in enumerate(zip(*q, rng.random(40), strict=True))] + [(40, None, [0.0, 0.0, 0.0, 1.0], 0.5)], "i int, a array<double>, b array<double>, u double")
+    eye = F.array(*[F.array(*[F.lit(float(i == j)) for j in range(3)]) for i in range(3)])
     turned = geometry.slerp(F.col("a"), F.col("b"), F.col("u"))
-    found = rows.select("i", turned.alias("q"))
+    ray = geometry.viewing_ray(F.col("i"), F.lit(1.0), F.lit(20.0), F.lit(0.01), F.lit(2.0), eye, F.transform("a", lambda x: F.cbrt(x * x * x)))
+    found = rows.select("i", turned.alias("q"), ray.alias("ray"))
     plan = found._jdf.queryExecution().optimizedPlan().toString()
-    assert plan.count("ACOS") == 1
+    assert plan.count("ACOS") == 1 and plan.count("CBRT") == 1
     for r in sorted(found.collect())[:40]:
         a, b, u = q[0, r["i"]], q[1, r["i"]], rows.where(F.col("i") == r["i"]).first()["u"] if r["i"] < 3 else None
-        assert np.linalg.norm(r["q"]) == pytest.approx(1)
+        assert np.linalg.norm(r["q"]) == pytest.approx(1) and np.linalg.norm(r["ray"]) == pytest.approx(1)
         if u is not None:
             b = b if a @ b >= 0 else -b
             angle = math.acos(a @ b)
