@@ -18,6 +18,15 @@ from pyspark.sql import functions as F
 from .. import workspace
 
 
+#: Keys whose facts go to every task, some ten MB; facts of more keys are joined by key, where Spark splits what is large.
+BROADCAST = 100_000
+
+
+def _beside(rows: DataFrame, facts: DataFrame, keys: list[str]) -> DataFrame:
+    """Join `facts`, one checkpointed row a key, to the rows; these stay where they are, as a key may have very many."""
+    return rows.join(F.broadcast(facts) if facts.count() <= BROADCAST else facts, keys)
+
+
 def monomials(variables: Sequence[Column], degree: int) -> list[Column]:
     """All products of the variables up to a degree, from the constant on: 1, x, y, x x, x y, y y, ..."""
     found = [F.lit(1.0)]
@@ -95,11 +104,11 @@ def robust(rows: DataFrame, keys: list[str], terms: Sequence[Column], target: Co
     used, before = held, None
     for _ in range(rounds):
         found = workspace.cut(least_squares(used, keys, xs, y).withColumnRenamed("n", "used"))
-        off = held.join(found.select(*keys, "coefficients"), keys).withColumn("off", y - predict(F.col("coefficients"), xs))
-        inside = off if before is None else off.join(limit, keys).where(F.abs("off") <= F.col("limit"))
+        off = _beside(held, found.select(*keys, "coefficients"), keys).withColumn("off", y - predict(F.col("coefficients"), xs))
+        inside = off if before is None else _beside(off, limit, keys).where(F.abs("off") <= F.col("limit"))
         spread = workspace.cut(inside.groupBy(*keys).agg(F.sqrt(F.avg(F.col("off") * F.col("off"))).alias("rms")))
         limit = spread.select(*keys, (F.col("rms") * sigmas).alias("limit"))
-        used = off.join(limit, keys).where(F.abs("off") <= F.col("limit"))
+        used = _beside(off, limit, keys).where(F.abs("off") <= F.col("limit"))
         now = found.agg(F.sum("used")).first()[0]
         if now == before:
             break
@@ -120,6 +129,6 @@ def rational(rows: DataFrame, keys: list[str], numerator: Sequence[Column], deno
     for _ in range(rounds):
         found = workspace.cut(least_squares(weighed, keys, linear, y, weight=weight))
         under = 1 + predict(F.slice("coefficients", size + 1, len(b)), b)
-        weighed = held.join(found.select(*keys, "coefficients"), keys).withColumn("under", under)
+        weighed = _beside(held, found.select(*keys, "coefficients"), keys).withColumn("under", under)
         weight = 1 / (F.col("under") * F.col("under"))
     return found.select(*keys, "n", F.slice("coefficients", 1, size).alias("numerator"), F.slice("coefficients", size + 1, len(b)).alias("denominator"))

@@ -186,3 +186,28 @@ def test_warp_without_lines(spark):
     assert all(np.isnan(r["values"]).all() and len(r["values"]) == 2 for r in warp.warp(table, models, ["band"]).collect())
     with pytest.raises(ValueError, match="kernel"):
         warp.warp(table, models, ["band"], how="nearest")
+
+
+def test_fits_leave_the_rows_of_a_key_where_they_are(spark, monkeypatch):
+    rng = np.random.default_rng(8)
+    rows = [(k, float(x), 3 + 2 * float(x) + (50 if i % 30 == 0 else 0)) for k in "ab" for i, x in enumerate(rng.random(200))]
+    table = spark.createDataFrame(rows, "k string, x double, y double").repartition(5)
+    terms, plans, cut = fit.monomials([F.col("x")], 1), [], fit.workspace.cut
+
+    def seen(frame):
+        plans.append(frame._jdf.queryExecution().executedPlan().toString())
+        return cut(frame)
+
+    monkeypatch.setattr(fit.workspace, "cut", seen)
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = sorted(map(tuple, fit.robust(table, ["k"], terms, F.col("y")).collect()))
+        fit.rational(table, ["k"], terms, [F.col("x")], F.col("y")).collect()
+        assert plans and not any("SortMergeJoin" in p or "ShuffledHashJoin" in p for p in plans)
+        monkeypatch.setattr(fit, "BROADCAST", 1)  # as if the keys were many
+        many = sorted(map(tuple, fit.robust(table, ["k"], terms, F.col("y")).collect()))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    assert [r[0] for r in found] == ["a", "b"] and all(r[2] == 193 and r[3] == pytest.approx([3, 2]) for r in found)
+    assert [r[:3] for r in many] == [r[:3] for r in found] and "SortMergeJoin" in "".join(plans)
