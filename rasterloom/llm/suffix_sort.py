@@ -237,6 +237,19 @@ def _core_size(kind: int, width: int) -> int:
 SPAN_KIND = 9
 
 
+def union(spans: np.ndarray) -> np.ndarray:
+    """Of (k, h, start, stop) the maximal stretches of each text; neighbouring windows of a repeat overlap, so they become one."""
+    spans = spans[np.lexsort((spans[:, 2], spans[:, 1], spans[:, 0]))]
+    if len(spans) < 2:
+        return spans
+    other = np.concatenate([[True], (spans[1:, :2] != spans[:-1, :2]).any(axis=1)])
+    shift = np.cumsum(other) << 32  # a text's places lie behind those of the texts before it
+    reach = np.maximum.accumulate(spans[:, 3] + shift)
+    head = np.flatnonzero(np.concatenate([[True], spans[1:, 2] + shift[1:] > reach[:-1]]))
+    last = np.append(head[1:], len(spans)) - 1
+    return np.column_stack([spans[head, :3], reach[last] - shift[last]])
+
+
 def removal_spans(corpus: Corpus, width: int, hold: int = 48 << 20) -> DataFrame:
     """(k, h, start, stop) of removed bytes of the distinct texts."""
     runs = corpus.repeated_runs(byte_symbols, width, GRAM)
@@ -244,7 +257,7 @@ def removal_spans(corpus: Corpus, width: int, hold: int = 48 << 20) -> DataFrame
 
     def sort_runs(batches):
         held: dict[tuple[int, bytes, bytes], list] = {}
-        sure: list[tuple[int, int, int, int]] = []
+        sure: list[list[int]] = []
         size = 0
 
         def flush():
@@ -255,8 +268,9 @@ def removal_spans(corpus: Corpus, width: int, hold: int = 48 << 20) -> DataFrame
             for (kind, part), records in by_part.items():
                 records.sort(key=lambda r: (r[0], r[1]))
                 yield {"kind": kind, "part": part} | pack_run(records)
-            for i in range(0, len(sure), 5000):
-                some = np.array(sure[i : i + 5000], dtype=np.int64)
+            whole = union(np.array(sure, dtype=np.int64).reshape(-1, 4))
+            for i in range(0, len(whole), 5000):
+                some = whole[i : i + 5000]
                 empty = dict.fromkeys(RUN_COLUMNS, b"")
                 yield empty | {"kind": SPAN_KIND, "part": zlib.crc32(some[:1].tobytes()) % partitions, "k": some[:, 0].tobytes(), "h": some[:, 1].tobytes(), "at": some[:, 2:].astype("<i4").tobytes()}
             held.clear(), sure.clear()
@@ -275,7 +289,11 @@ def removal_spans(corpus: Corpus, width: int, hold: int = 48 << 20) -> DataFrame
                     size += len(right) + len(left) + 300
                 elif known[:3] != [k, h, at]:  # seen twice by this task: this place is decided, the first one stands for both
                     known[3] = True
-                    sure.append((k, h, at, at + (width if kind == 2 else len(left) + len(right))))
+                    stop = at + (width if kind == 2 else len(left) + len(right))
+                    if sure and sure[-1][:2] == [k, h] and sure[-1][2] <= at <= sure[-1][3]:  # goes on where the last one ends
+                        sure[-1][3] = max(stop, sure[-1][3])
+                    else:
+                        sure.append([k, h, at, stop])
             if size > hold:
                 yield from table(flush())
         yield from table(flush())
@@ -320,6 +338,7 @@ def removal_spans(corpus: Corpus, width: int, hold: int = 48 << 20) -> DataFrame
                     group.append(lefts[left])
             settle()
             every = np.array(out, dtype=np.int64).reshape(-1, 4)
+        every = union(every)
         return pa.table({"k": every[:, 0], "h": every[:, 1], "start": every[:, 2].astype(np.int32), "stop": every[:, 3].astype(np.int32)})
 
     schema = "kind int, part int, " + ", ".join(f"{c} binary" for c in RUN_COLUMNS)

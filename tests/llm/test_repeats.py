@@ -179,3 +179,26 @@ def test_internal_nodes_equal_all_pairs():
                 want.add((depth, frozenset(c for c in range(120) if prefix(a, c) >= depth or c == a)))
     found = {(depth, frozenset(order[a : b + 1].tolist())) for first, last, depth in suffix_tree.internal_nodes(shared, 4) for a, b in zip(first.tolist(), last.tolist(), strict=True)}
     assert found == want
+
+
+def test_neighbouring_windows_travel_as_one_span(spark, docs_of):
+    rng = random.Random(6)
+    shared = "".join(rng.choice("abcdefgh ") for _ in range(3000))
+    docs = docs_of([(i, f"{i} head {shared} tail {i}") for i in range(60)])
+    corpus = _repeats.Corpus.of(docs, "doc_id", "text")
+    found = suffix_sort.removal_spans(corpus, 200).groupBy("k").count().collect()
+    # the copies of a task are one span each; only the first one of a task has spans from every merge
+    assert len(found) == 60 and sum(r["count"] for r in found) < 60 * 10
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_union_of_spans(seed):
+    rng = np.random.default_rng(seed)
+    start = rng.integers(0, 300, 200)
+    spans = np.column_stack([rng.integers(-2, 2, 200), rng.integers(-2, 2, 200), start, start + rng.integers(1, 30, 200)])
+    want = []
+    for k, h in sorted({(int(k), int(h)) for k, h, *_ in spans}):
+        own = [{"start": int(a), "stop": int(b)} for i, j, a, b in spans if (i, j) == (k, h)]
+        want += [(k, h, a, b) for a, b in _repeats.merge_spans(own, 1000)]
+    assert list(map(tuple, suffix_sort.union(spans).tolist())) == want
+    assert suffix_sort.union(spans[:0]).shape == (0, 4) and suffix_sort.union(spans[:1]).tolist() == spans[:1].tolist()
